@@ -36,7 +36,7 @@ def clf_instant(date_time: Column) -> Column:
 def clf_local_date(date_time: Column) -> Column:
     """Calendar date in the line's own offset, taken from the text (not from the instant,
     which the session zone would shift)."""
-    return F.try_to_date(F.substring(date_time, 1, 11), F.lit("dd/MMM/yyyy"))
+    return F.try_to_date(F.substring(date_time, 1, 11), "dd/MMM/yyyy")
 
 
 def clf_columns(value: Column) -> list[Column]:

@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf, udtf
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tidewater.functions.clf import CLF_FIELDS
 from tidewater.functions.tokens import NON_WORD
@@ -323,7 +324,7 @@ def topk_long_words(spark, sf):
     return T.top_long_words(T.word_count(_docs(spark, sf), "stripped"), 20, 5)
 
 
-@udtf(returnType="word: string", useArrow=True)
+@udtf(returnType=StructType([StructField("word", StringType())]), useArrow=True)
 class WordTokens:
     """Row-generating function form of the lower-case word tokenizer."""
 
@@ -409,7 +410,7 @@ def most_active_per_weekday(spark, sf):
     return L.most_active_per_weekday(_logs_day(spark, sf))
 
 
-@pandas_udf("int")
+@pandas_udf(IntegerType())
 def weekday_udf(date_time: pd.Series) -> pd.Series:
     """Vectorised weekday of ``dd/Mon/yyyy:HH:MM:SS ±hhmm`` in the line's own offset."""
     return pd.to_datetime(date_time.str.slice(0, 11), format="%d/%b/%Y").dt.weekday.astype("int32")
