@@ -15,6 +15,11 @@ CLF_FIELDS = ["ipAddress", "clientIdentd", "userId", "dateTime", "timestamp", "d
               "method", "endpoint", "protocol", "responseCode", "contentSize"]
 
 
+# Separator for the one-pass split; lines that contain it take the per-group path.
+_SEP = "\u0001"
+_JOINED = _SEP.join(f"${i}" for i in range(1, 10))
+
+
 def clf_group(value: Column, i: int) -> Column:
     return F.regexp_extract(value, CLF_PATTERN, i)
 
@@ -23,6 +28,18 @@ def clf_matches(value: Column) -> Column:
     return value.rlike(CLF_PATTERN)
 
 
+def clf_groups(value: Column) -> Column:
+    """The nine groups as ``array<string>``, null when the line does not match.
+
+    One regex pass per line: the match is rewritten to the groups joined by a
+    control character and split again. A line that already contains that character
+    (never a real log line) is parsed group by group instead.
+    """
+    fast = F.split(F.regexp_replace(value, CLF_PATTERN + r"[\s\S]*", _JOINED), _SEP)
+    slow = F.when(clf_matches(value), F.array(*[clf_group(value, i) for i in range(1, 10)]))
+    return F.when(value.contains(_SEP), slow).otherwise(F.when(F.size(fast) == 9, fast))
+
+
 def content_size(text: Column) -> Column:
     """``-`` → 0, otherwise an int; anything else is null (the row is then rejected)."""
     return F.when(text == "-", F.lit(0)).otherwise(text.try_cast("int"))
@@ -39,22 +56,22 @@ def clf_local_date(date_time: Column) -> Column:
     return F.try_to_date(F.substring(date_time, 1, 11), "dd/MMM/yyyy")
 
 
-def clf_columns(value: Column) -> list[Column]:
-    """The eleven typed columns of a parsed line (valid only where ``clf_matches``)."""
-    dt = clf_group(value, 4)
-    instant = clf_instant(dt)
+def clf_columns(groups: Column) -> list[Column]:
+    """The eleven typed columns from the nine groups (see ``clf_groups``)."""
+    g = lambda i: groups.getItem(i - 1)
+    dt = g(4)
     return [
-        clf_group(value, 1).alias("ipAddress"),
-        clf_group(value, 2).alias("clientIdentd"),
-        clf_group(value, 3).alias("userId"),
+        g(1).alias("ipAddress"),
+        g(2).alias("clientIdentd"),
+        g(3).alias("userId"),
         dt.alias("dateTime"),
-        instant.cast("double").alias("timestamp"),
+        clf_instant(dt).cast("double").alias("timestamp"),
         F.date_format(clf_local_date(dt), "yyyy-MM-dd").alias("date"),
-        clf_group(value, 5).alias("method"),
-        clf_group(value, 6).alias("endpoint"),
-        clf_group(value, 7).alias("protocol"),
-        clf_group(value, 8).cast("int").alias("responseCode"),
-        content_size(clf_group(value, 9)).alias("contentSize"),
+        g(5).alias("method"),
+        g(6).alias("endpoint"),
+        g(7).alias("protocol"),
+        g(8).cast("int").alias("responseCode"),
+        content_size(g(9)).alias("contentSize"),
     ]
 
 

@@ -83,21 +83,35 @@ def undirected(edges: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- iteration helpers
 
 class _Rounds:
-    """Persist each round's frame, checkpoint every ``every`` rounds, release the old."""
+    """Lineage control for driver loops: persist each round's frame, and every
+    ``every`` rounds write it to ``spark.checkpoint.dir`` (reliable; keeps its
+    partitioning) and drop the older caches. A lost executor then costs at most the
+    rounds since the last written state. Loops read the previous state once per
+    round, so the plan grows linearly between checkpoints."""
 
     def __init__(self, every: int):
         self.every = max(1, every)
         self.held: list[DataFrame] = []
 
+    def due(self, round_no: int) -> bool:
+        return round_no % self.every == 0
+
     def keep(self, df: DataFrame, round_no: int) -> DataFrame:
-        if round_no % self.every == 0:
-            df = df.checkpoint(eager=True)
-        else:
-            df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
         self.held.append(df)
-        if len(self.held) > 2:
-            self.held.pop(0).unpersist()
-        return df
+        if not self.due(round_no):
+            return df
+        # The checkpoint job counts the frame (filling the cache) and then writes the
+        # files from the cache, so the round is computed once.
+        saved = df.checkpoint(eager=True)
+        self.release()
+        return saved
+
+    def finish(self, df: DataFrame) -> DataFrame:
+        """Write the result, release every cache, return the written frame."""
+        out = df.checkpoint(eager=True)
+        self.release()
+        return out
 
     def release(self) -> None:
         for d in self.held:
@@ -130,14 +144,17 @@ def connected_components(edges: DataFrame, vertices: DataFrame | None = None, ma
                .union(m2.select(F.col("u"), F.col("m").alias("v"))) \
                .filter(F.col("u") != F.col("v")).distinct()
         e = rounds.keep(ss, i)
-        stats = e.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("u").alias("children")).first()
-        chained = e.join(e.select(F.col("u").alias("v")).distinct(), "v", "left_semi").limit(1).count()
-        if stats["n"] == stats["children"] and chained == 0:
+        # One job: edges, distinct children, and edges whose parent is itself a child.
+        kids = e.select(F.col("u").alias("v")).distinct().withColumn("_kid", F.lit(1))
+        st = e.join(kids, "v", "left").agg(
+            F.count(F.lit(1)).alias("n"), F.count_distinct("u").alias("children"),
+            F.count("_kid").alias("chained")).first()
+        if st["n"] == st["children"] and st["chained"] == 0:
             break
     ids = vertices.select("id") if vertices is not None else vertices_from_edges(edges)
     labels = ids.join(e.select(F.col("u").alias("id"), F.col("v").alias("component")), "id", "left") \
                 .select("id", F.coalesce("component", "id").alias("component"))
-    return labels
+    return rounds.finish(labels)
 
 
 # ---------------------------------------------------------------- triangles
@@ -173,43 +190,56 @@ def triangle_counts(edges: DataFrame, vertices: DataFrame | None = None) -> Data
 # ---------------------------------------------------------------- message passing
 
 def message_passing(vertices: DataFrame, edges: DataFrame, init_msg,
-                    send: Callable[[DataFrame], Column],
+                    send: Callable[[], Column],
                     combine: Callable[[Column], Column],
                     update: Callable[[Column, Column], Column],
-                    max_rounds: int, active: str = "out", uses_dst: bool = False,
+                    max_rounds: int, active: str = "out",
+                    accept: Callable[[Column, Column], Column] | None = None,
                     checkpoint_every: int = 5) -> DataFrame:
     """Pregel over DataFrames.
 
     ``vertices(id, value)``, ``edges(src, dst, …)``. ``update(value, msg)`` is first
     applied with ``init_msg`` to every vertex. Each round, edges whose source is
-    active (``active='out'``: received a message last round; every vertex in the first
-    round; ``'all'``: always) produce ``send(triplet)`` — a Column over ``src_value``
-    (and ``dst_value`` when ``uses_dst``) and the edge columns; null means no
-    message. Messages are combined per destination with the aggregate ``combine``
-    (a partial aggregate, so hubs do not gather their messages in one task) and
-    applied with ``update``. Vertices without a message keep their value. Stops after
-    ``max_rounds`` or when no vertex sends.
+    active (``active='out'``: received a message in the previous round, every vertex
+    in the first; ``'all'``: always) carry ``send()`` — a Column over ``src_value``
+    and the edge columns; null means no message. Messages are combined per
+    destination with the aggregate ``combine`` and applied with ``update``; a vertex
+    counts as having received one when ``accept(value, msg)`` holds (default: any
+    message). Vertices without a message keep their value. Stops after
+    ``max_rounds`` rounds, or once no vertex receives a message.
+
+    Each round is one join and one aggregation: every vertex has a self-edge, so the
+    group of a destination holds its own old value next to its incoming messages and
+    the state is read once. ``combine`` is a partial aggregate, so a hub's messages
+    are pre-combined in every task before the shuffle.
     """
     rounds = _Rounds(checkpoint_every)
+    ext = edges.withColumn("_self", F.lit(False)).unionByName(
+        vertices.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(True).alias("_self")),
+        allowMissingColumns=True,
+    ).repartition("src").persist(StorageLevel.MEMORY_AND_DISK)
     state = vertices.select("id", update(F.col("value"), F.lit(init_msg)).alias("value"),
                             F.lit(True).alias("_active"))
     state = rounds.keep(state, 0)
     for i in range(1, max_rounds + 1):
-        senders = state.filter("_active") if active == "out" else state
-        trip = edges.join(senders.select(F.col("id").alias("src"), F.col("value").alias("src_value")), "src")
-        if uses_dst:
-            trip = trip.join(state.select(F.col("id").alias("dst"), F.col("value").alias("dst_value")), "dst")
-        msgs = trip.select("dst", send(trip).alias("_msg")).filter(F.col("_msg").isNotNull()) \
-                   .groupBy("dst").agg(combine(F.col("_msg")).alias("_msg"))
-        got = F.col("_msg").isNotNull()
-        state = state.join(msgs, state["id"] == msgs["dst"], "left").select(
-            "id", F.when(got, update(F.col("value"), F.col("_msg"))).otherwise(F.col("value")).alias("value"),
-            got.alias("_active"),
+        t = ext.join(state.select(F.col("id").alias("src"), F.col("value").alias("src_value"),
+                                  F.col("_active").alias("src_active")), "src")
+        sending = ~F.col("_self") & (F.col("src_active") if active == "out" else F.lit(True))
+        g = t.groupBy(F.col("dst").alias("id")).agg(
+            F.first(F.when(F.col("_self"), F.col("src_value")), ignorenulls=True).alias("_old"),
+            combine(F.when(sending, send())).alias("_msg"),
         )
+        got = F.col("_msg").isNotNull()
+        if accept is not None:
+            got = got & F.coalesce(accept(F.col("_old"), F.col("_msg")), F.lit(False))
+        state = g.select("id", F.when(got, update(F.col("_old"), F.col("_msg"))).otherwise(F.col("_old")).alias("value"),
+                         got.alias("_active"))
         state = rounds.keep(state, i)
-        if not state.filter("_active").take(1):
+        if rounds.due(i) and not state.filter("_active").take(1):
             break
-    return state.select("id", "value")
+    out = rounds.finish(state.select("id", "value"))
+    ext.unpersist()
+    return out
 
 
 # ---------------------------------------------------------------- PageRank (three forms)
@@ -218,15 +248,16 @@ def pagerank_pregel(edges: DataFrame, rounds: int = 20, reset: float = RESET, ch
     """Message-passing PageRank: every vertex starts at ``reset`` (initial message 0),
     messages ``rank * 1/outDeg`` flow along out-edges of vertices that received one
     in the previous round; a vertex without a message keeps its value."""
-    weighted = edge_weights(edges.select("src", "dst")).repartition("src")
-    verts = vertices_from_edges(edges).withColumn("value", F.lit(1.0))
+    weighted = edge_weights(edges.select("src", "dst")).repartition("src").persist(StorageLevel.MEMORY_AND_DISK)
+    verts = vertices_from_edges(weighted).withColumn("value", F.lit(1.0))
     ranks = message_passing(
         verts, weighted, 0.0,
-        send=lambda t: F.col("src_value") * F.col("weight"),
+        send=lambda: F.col("src_value") * F.col("weight"),
         combine=F.sum,
         update=lambda v, m: F.lit(reset) + F.lit(1.0 - reset) * m,
         max_rounds=rounds, active="out", checkpoint_every=checkpoint_every,
     )
+    weighted.unpersist()
     return ranks.select("id", F.col("value").alias("rank"))
 
 
@@ -243,6 +274,7 @@ def pagerank_join(edges: DataFrame, rounds: int = 20, reset: float = RESET, chec
         ranks = contrib.groupBy(F.col("dst").alias("id")).agg(
             (F.lit(reset) + F.lit(1.0 - reset) * F.sum("contrib")).alias("rank"))
         ranks = keeper.keep(ranks, i)
+    ranks = keeper.finish(ranks)
     adj.unpersist()
     return ranks
 
@@ -257,41 +289,47 @@ def pagerank_contributions(ranks: DataFrame, adj: DataFrame) -> DataFrame:
 def pagerank_converged(edges: DataFrame, tol: float = 1e-4, reset: float = RESET, max_rounds: int = 200,
                        checkpoint_every: int = 5) -> DataFrame:
     """Synchronous PageRank from 1.0 until ``max |new - old| <= tol``:
-    ``r = reset + (1 - reset) * Σ r_src / outDeg_src`` over in-edges."""
-    deg = out_degrees(edges.select("src", "dst"))
-    adj = edges.select("src", "dst").join(deg.withColumnRenamed("id", "src"), "src") \
-               .repartition("src").persist(StorageLevel.MEMORY_AND_DISK)
+    ``r = reset + (1 - reset) * Σ r_src / outDeg_src`` over in-edges. Self-edges
+    bring each vertex's old rank into its own group (one join, one shuffle a round)."""
+    e = edges.select("src", "dst")
+    deg = out_degrees(e)
+    verts = vertices_from_edges(e)
+    ext = e.join(deg.withColumnRenamed("id", "src"), "src").withColumn("_self", F.lit(False)).unionByName(
+        verts.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(1).cast("bigint").alias("outDeg"),
+                     F.lit(True).alias("_self"))
+    ).repartition("src").persist(StorageLevel.MEMORY_AND_DISK)
     keeper = _Rounds(checkpoint_every)
-    ranks = keeper.keep(vertices_from_edges(edges).withColumn("rank", F.lit(1.0)), 0)
+    ranks = keeper.keep(verts.withColumn("rank", F.lit(1.0)), 0)
     for i in range(1, max_rounds + 1):
-        contrib = adj.join(ranks.withColumnRenamed("id", "src"), "src") \
-                     .groupBy("dst").agg(F.sum(F.col("rank") / F.col("outDeg")).alias("s"))
-        new = ranks.join(contrib, ranks["id"] == contrib["dst"], "left").select(
-            "id",
-            (F.lit(reset) + F.lit(1.0 - reset) * F.coalesce(F.col("s"), F.lit(0.0))).alias("rank"),
-            F.col("rank").alias("_old"),
+        t = ext.join(ranks.withColumnRenamed("id", "src"), "src")
+        new = t.groupBy(F.col("dst").alias("id")).agg(
+            (F.lit(reset) + F.lit(1.0 - reset) *
+             F.coalesce(F.sum(F.when(~F.col("_self"), F.col("rank") / F.col("outDeg"))), F.lit(0.0))).alias("rank"),
+            F.max(F.when(F.col("_self"), F.col("rank"))).alias("_old"),
         )
         new = keeper.keep(new, i)
         delta = new.agg(F.max(F.abs(F.col("rank") - F.col("_old")))).first()[0]
         ranks = new.select("id", "rank")
         if delta is None or delta <= tol:
             break
-    adj.unpersist()
+    ranks = keeper.finish(ranks)
+    ext.unpersist()
     return ranks
 
 
 def bfs_levels(edges: DataFrame, source_id, max_rounds: int = 1000) -> DataFrame:
     """Hop distance from ``source_id`` along directed edges, by message passing with
-    ``min`` as the combiner; unreachable vertices are absent."""
-    verts = vertices_from_edges(edges).withColumn(
+    ``min`` as the combiner; a vertex is active when its level improved. Unreachable
+    vertices are absent."""
+    e = edges.select("src", "dst")
+    verts = vertices_from_edges(e).withColumn(
         "value", F.when(F.col("id") == F.lit(source_id), F.lit(0)).otherwise(F.lit(None).cast("int")))
     levels = message_passing(
-        verts, edges.select("src", "dst"), None,
-        send=lambda t: F.when(F.col("src_value").isNotNull() &
-                              (F.col("dst_value").isNull() | (F.col("src_value") + 1 < F.col("dst_value"))),
-                              F.col("src_value") + 1),
+        verts, e, None,
+        send=lambda: F.when(F.col("src_value").isNotNull(), F.col("src_value") + 1),
         combine=F.min,
         update=lambda v, m: F.when(m.isNull(), v).otherwise(F.least(v, m)),
-        max_rounds=max_rounds, active="out", uses_dst=True,
+        accept=lambda v, m: v.isNull() | (m < v),
+        max_rounds=max_rounds, active="out",
     )
     return levels.filter(F.col("value").isNotNull()).select("id", F.col("value").alias("level"))
