@@ -52,3 +52,19 @@ def test_stream_equals_batch_on_closed_windows(spark):
 
 def test_stream_wordcount_equals_batch(spark):
     assert rows(C.stream_wordcount(spark, SF)) == rows(C.wordcount_regex(spark, SF))
+
+
+def test_stream_fanout_one_read(spark):
+    from tidewater.operators import rides as R
+    from tidewater.plans import derive as D
+    from tidewater.sources.tables import stream_table
+    s = R.with_terminals(D.rides_from_events(stream_table(spark, SF, "events")), spark)
+    outs = SR.run_fanout(s, spark, "fanout", {
+        "events": lambda b: R.terminal_events(b).select("ride_id", "terminal", "n", "hour"),
+        "either": lambda b: R.either_endpoint(b),
+        "starts": lambda b: R.start_at_terminal(b),
+    })
+    batch = C._rides_t(spark, SF)
+    assert rows(outs["events"]) == rows(R.terminal_events(batch).select("ride_id", "terminal", "n", "hour"))
+    assert rows(outs["either"]) == rows(R.either_endpoint(batch))
+    assert rows(outs["starts"]) == rows(R.start_at_terminal(batch))

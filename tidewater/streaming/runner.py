@@ -7,7 +7,10 @@ partition per micro-batch and the latest row per key is chosen by Spark on read.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from collections.abc import Callable
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.session import scratch_path
@@ -56,3 +59,42 @@ def run_update_log(stream: DataFrame, spark: SparkSession, name: str, keys: list
     values = [c for c in schema.names if c not in keys]
     latest = log.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("_v"))
     return latest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values])
+
+
+def run_fanout(stream: DataFrame, spark: SparkSession, name: str,
+               outputs: dict[str, Callable[[DataFrame], DataFrame]],
+               timeout_s: float | None = None) -> dict[str, DataFrame]:
+    """Several results from one stream with one source read per micro-batch.
+
+    Each micro-batch is persisted once and every stateless output function is
+    applied to it; output ``k`` of batch ``b`` goes to ``<k>/batch=<b>`` (overwritten
+    on a replay). Returns one DataFrame per output (all batches).
+    """
+    root = scratch_path(spark, f"{name}-fanout")
+    ckpt = scratch_path(spark, f"{name}-ckpt")
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for key, fn in outputs.items():
+                fn(batch).write.mode("overwrite").parquet(f"{root}/{key}/batch={batch_id}")
+        finally:
+            batch.unpersist()
+
+    q = (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start())
+    try:
+        q.awaitTermination(timeout_s)
+    finally:
+        if q.isActive:
+            q.stop()
+    if q.exception() is not None:
+        raise q.exception()
+    empty = stream.sparkSession.createDataFrame([], stream.schema)
+    result = {}
+    for key, fn in outputs.items():
+        try:
+            result[key] = spark.read.parquet(f"{root}/{key}").drop("batch")
+        except Exception:  # no batch produced this output
+            result[key] = fn(empty)
+    return result
