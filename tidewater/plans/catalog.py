@@ -26,7 +26,7 @@ from tidewater.plans import derive as D
 from tidewater.session import ensure_utc, scratch_path
 from tidewater.sources import files as SF
 from tidewater.sources import sinks as SK
-from tidewater.sources.tables import load_table, stream_table
+from tidewater.sources.tables import load_table, spread, stream_table
 from tidewater.streaming import runner as SR
 from tidewater.streaming.windows import busiest_per_window, present_window, tumbling
 
@@ -44,8 +44,12 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return load_table(spark, sf, name)
 
 
+def _log_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return spread(D.log_lines(_t(spark, sf, "events")))
+
+
 def _logs(spark: SparkSession, sf: str) -> DataFrame:
-    return L.parse_clf(D.log_lines(_t(spark, sf, "events")))[0]
+    return L.parse_clf(_log_lines(spark, sf))[0]
 
 
 def _logs_day(spark: SparkSession, sf: str) -> DataFrame:
@@ -291,7 +295,7 @@ def group_count_null_key(spark, sf):
 # ================================================================ text
 
 def _docs(spark, sf) -> DataFrame:
-    return _t(spark, sf, "documents").select(F.col("text").alias("value"))
+    return spread(_t(spark, sf, "documents").select(F.col("text").alias("value")))
 
 
 @query
@@ -339,7 +343,7 @@ class WordTokens:
 
 @query
 def udtf_tokenize(spark, sf):
-    docs = _t(spark, sf, "documents").select("text")
+    docs = spread(_t(spark, sf, "documents").select("text"))
     return docs.lateralJoin(WordTokens(F.col("text").outer())).groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 
@@ -352,7 +356,7 @@ def log_parse(spark, sf):
 
 @query
 def log_rejects(spark, sf):
-    return L.parse_clf(D.log_lines(_t(spark, sf, "events")))[1]
+    return L.parse_clf(_log_lines(spark, sf))[1]
 
 
 @query

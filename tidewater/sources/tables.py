@@ -31,3 +31,15 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files_per_trig
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return _zoned(reader.parquet(sf_dir))
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a narrow input before CPU-heavy per-row work (regex, tokenizing).
+
+    Only when the scan has fewer partitions than the cluster's parallelism (a few
+    large row groups); a wide input is returned as is, so at scale this adds no
+    shuffle. Spark sorts before a round-robin repartition, so a retried task gets the
+    same rows.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
