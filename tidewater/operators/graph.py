@@ -11,9 +11,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.session import checkpoint_root
+
 RESET = 0.15
 
 
@@ -89,9 +91,10 @@ class _Rounds:
     rounds since the last written state. Loops read the previous state once per
     round, so the plan grows linearly between checkpoints."""
 
-    def __init__(self, every: int):
+    def __init__(self, every: int, spark: SparkSession):
         self.every = max(1, every)
         self.held: list[DataFrame] = []
+        checkpoint_root(spark)  # read spark.checkpoint.dir; set one only if unset
 
     def due(self, round_no: int) -> bool:
         return round_no % self.every == 0
@@ -130,7 +133,7 @@ def connected_components(edges: DataFrame, vertices: DataFrame | None = None, ma
     log n, not with the diameter. Converged when the edges form stars around their
     minimum (no parent is itself a child, every child has one parent).
     """
-    rounds = _Rounds(checkpoint_every)
+    rounds = _Rounds(checkpoint_every, edges.sparkSession)
     e = rounds.keep(undirected(edges).select(F.col("b").alias("u"), F.col("a").alias("v")), 0)  # u > v
     for i in range(1, max_rounds + 1):
         # large star: every neighbour larger than u is linked to min(N(u) ∪ {u})
@@ -213,7 +216,7 @@ def message_passing(vertices: DataFrame, edges: DataFrame, init_msg,
     the state is read once. ``combine`` is a partial aggregate, so a hub's messages
     are pre-combined in every task before the shuffle.
     """
-    rounds = _Rounds(checkpoint_every)
+    rounds = _Rounds(checkpoint_every, edges.sparkSession)
     ext = edges.withColumn("_self", F.lit(False)).unionByName(
         vertices.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(True).alias("_self")),
         allowMissingColumns=True,
@@ -267,7 +270,7 @@ def pagerank_join(edges: DataFrame, rounds: int = 20, reset: float = RESET, chec
     e = edges.select("src", "dst").distinct()
     deg = e.groupBy("src").agg(F.count(F.lit(1)).alias("outDeg"))
     adj = e.join(deg, "src").repartition("src").persist(StorageLevel.MEMORY_AND_DISK)
-    keeper = _Rounds(checkpoint_every)
+    keeper = _Rounds(checkpoint_every, edges.sparkSession)
     ranks = deg.select(F.col("src").alias("id"), F.lit(1.0).alias("rank"))
     for i in range(1, rounds + 1):
         contrib = pagerank_contributions(ranks, adj)
@@ -298,7 +301,7 @@ def pagerank_converged(edges: DataFrame, tol: float = 1e-4, reset: float = RESET
         verts.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(1).cast("bigint").alias("outDeg"),
                      F.lit(True).alias("_self"))
     ).repartition("src").persist(StorageLevel.MEMORY_AND_DISK)
-    keeper = _Rounds(checkpoint_every)
+    keeper = _Rounds(checkpoint_every, edges.sparkSession)
     ranks = keeper.keep(verts.withColumn("rank", F.lit(1.0)), 0)
     for i in range(1, max_rounds + 1):
         t = ext.join(ranks.withColumnRenamed("id", "src"), "src")
