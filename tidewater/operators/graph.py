@@ -180,7 +180,9 @@ def triangle_counts(edges: DataFrame, vertices: DataFrame | None = None) -> Data
         F.when(lower_first, F.col("a")).otherwise(F.col("b")).alias("x"),
         F.when(lower_first, F.col("b")).otherwise(F.col("a")).alias("y"),
     )
-    o.persist(StorageLevel.MEMORY_AND_DISK)
+    # ``o`` is read three times: write it once to the shared checkpoint folder.
+    checkpoint_root(edges.sparkSession)
+    o = o.checkpoint(eager=True)
     paths = o.select(F.col("x").alias("p"), F.col("y").alias("q")).join(
         o.select(F.col("x").alias("q"), F.col("y").alias("r")), "q")
     closed = paths.join(o.select(F.col("x").alias("p"), F.col("y").alias("r")), ["p", "r"], "left_semi")
