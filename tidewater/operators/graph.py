@@ -233,7 +233,8 @@ def message_passing(vertices: DataFrame, edges: DataFrame, init_msg,
         g = t.groupBy(F.col("dst").alias("id")).agg(
             F.first(F.when(F.col("_self"), F.col("src_value")), ignorenulls=True).alias("_old"),
             combine(F.when(sending, send())).alias("_msg"),
-        )
+            F.max(F.col("_self")).alias("_vertex"),
+        ).filter("_vertex")  # messages to ids outside ``vertices`` are dropped
         got = F.col("_msg").isNotNull()
         if accept is not None:
             got = got & F.coalesce(accept(F.col("_old"), F.col("_msg")), F.lit(False))
