@@ -97,3 +97,19 @@ def test_edge_weights_neighbors_bfs(spark):
     assert w[(1, 2)] == 0.5 and w[(2, 3)] == 1.0
     assert rows(G.neighbors_out(e)) == [(1, [2, 3]), (2, [3]), (3, [4]), (4, [1, 3])]
     assert rows(G.bfs_levels(e, 1)) == [(1, 0), (2, 1), (3, 1), (4, 2)]
+
+
+def test_hub_is_salted_and_ranks_unchanged(spark):
+    n = 400
+    star = edges(spark, [(0, i) for i in range(1, n + 1)] + [(1, 2)])
+    ext, heavy = G._spread_sources(star)
+    assert [r.src for r in heavy.collect()] == [0]
+    k = heavy.first()["_k"]
+    assert k > 1 and ext.filter("src = 0").select("_salt").distinct().count() == k
+    got = pr(G.pagerank_pregel(star, 20))
+    leaf = 0.15 + 0.85 * 0.15 / n
+    assert abs(got[0] - 0.15) < 1e-12
+    assert abs(got[3] - leaf) < 1e-12
+    assert abs(got[2] - (0.15 + 0.85 * leaf)) < 1e-12  # round 2: only vertex 1 (a receiver) sends
+    j = pr(G.pagerank_join(star, 1))
+    assert abs(j[3] - (0.15 + 0.85 * 1.0 / n)) < 1e-12 and 0 not in j
