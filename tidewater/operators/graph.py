@@ -124,14 +124,15 @@ class _Rounds:
 
 # ---------------------------------------------------------------- hub salting
 
-def _spread_sources(ext: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _spread_sources(ext: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """Salt the edges of heavy sources so that no join task gets more than about
     |E| / (2P) edges (P = shuffle partitions).
 
     A source with ``d`` edges above that cap gets ``ceil(d / cap)`` buckets, chosen
     by a hash of the destination. At most 2P sources can exceed the cap, so the
     ``(src, _k)`` table is small by construction; it is written once to the
-    checkpoint folder and broadcast. Returns ``(edges with _salt, heavy)``.
+    checkpoint folder and broadcast. Returns ``(edges with _salt, heavy)``; ``heavy``
+    is None when no source exceeds the cap.
     """
     spark = ext.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -140,14 +141,22 @@ def _spread_sources(ext: DataFrame) -> tuple[DataFrame, DataFrame]:
     cap = max(1, -(-total // (2 * parts)))
     heavy = deg.filter(F.col("_d") > cap).select("src", F.ceil(F.col("_d") / cap).cast("int").alias("_k"))
     heavy = heavy.checkpoint(eager=True)
+    if not heavy.take(1):  # no hub: plain ``src`` partitioning, no broadcast per round
+        return ext, None
     salted = ext.join(F.broadcast(heavy), "src", "left").withColumn(
         "_salt", F.when(F.col("_k").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("dst"), F.col("_k"))).cast("int")
     ).drop("_k")
     return salted, heavy
 
 
-def _salt_state(src_frame: DataFrame, heavy: DataFrame) -> DataFrame:
+def _join_keys(heavy: DataFrame | None) -> list[str]:
+    return ["src"] if heavy is None else ["src", "_salt"]
+
+
+def _salt_state(src_frame: DataFrame, heavy: DataFrame | None) -> DataFrame:
     """Replicate the rows of heavy sources once per bucket (``src`` keyed frame)."""
+    if heavy is None:
+        return src_frame
     k = F.coalesce(F.col("_k"), F.lit(1))
     return src_frame.join(F.broadcast(heavy), "src", "left") \
                     .withColumn("_salt", F.explode(F.sequence(F.lit(0), k - 1))).drop("_k")
@@ -254,14 +263,15 @@ def message_passing(vertices: DataFrame, edges: DataFrame, init_msg,
         vertices.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(True).alias("_self")),
         allowMissingColumns=True,
     ))
-    ext = ext.repartition("src", "_salt").persist(StorageLevel.MEMORY_AND_DISK)
+    keys = _join_keys(heavy)
+    ext = ext.repartition(*keys).persist(StorageLevel.MEMORY_AND_DISK)
     state = vertices.select("id", update(F.col("value"), F.lit(init_msg)).alias("value"),
                             F.lit(True).alias("_active"))
     state = rounds.keep(state, 0)
     for i in range(1, max_rounds + 1):
         senders = state.select(F.col("id").alias("src"), F.col("value").alias("src_value"),
                                F.col("_active").alias("src_active"))
-        t = ext.join(_salt_state(senders, heavy), ["src", "_salt"])
+        t = ext.join(_salt_state(senders, heavy), keys)
         sending = ~F.col("_self") & (F.col("src_active") if active == "out" else F.lit(True))
         g = t.groupBy(F.col("dst").alias("id")).agg(
             F.first(F.when(F.col("_self"), F.col("src_value")), ignorenulls=True).alias("_old"),
@@ -307,11 +317,12 @@ def pagerank_join(edges: DataFrame, rounds: int = 20, reset: float = RESET, chec
     deg = e.groupBy("src").agg(F.count(F.lit(1)).alias("outDeg"))
     keeper = _Rounds(checkpoint_every, edges.sparkSession)
     adj, heavy = _spread_sources(e.join(deg, "src"))
-    adj = adj.repartition("src", "_salt").persist(StorageLevel.MEMORY_AND_DISK)
+    keys = _join_keys(heavy)
+    adj = adj.repartition(*keys).persist(StorageLevel.MEMORY_AND_DISK)
     ranks = deg.select(F.col("src").alias("id"), F.lit(1.0).alias("rank"))
     for i in range(1, rounds + 1):
         salted = _salt_state(ranks.withColumnRenamed("id", "src"), heavy)
-        contrib = adj.join(salted, ["src", "_salt"]).select("dst", (F.col("rank") / F.col("outDeg")).alias("contrib"))
+        contrib = adj.join(salted, keys).select("dst", (F.col("rank") / F.col("outDeg")).alias("contrib"))
         ranks = contrib.groupBy(F.col("dst").alias("id")).agg(
             (F.lit(reset) + F.lit(1.0 - reset) * F.sum("contrib")).alias("rank"))
         ranks = keeper.keep(ranks, i)
@@ -340,10 +351,11 @@ def pagerank_converged(edges: DataFrame, tol: float = 1e-4, reset: float = RESET
                                  .unionByName(verts.select(F.col("id").alias("src"), F.col("id").alias("dst"),
                                                            F.lit(1).cast("bigint").alias("outDeg"),
                                                            F.lit(True).alias("_self"))))
-    ext = ext.repartition("src", "_salt").persist(StorageLevel.MEMORY_AND_DISK)
+    keys = _join_keys(heavy)
+    ext = ext.repartition(*keys).persist(StorageLevel.MEMORY_AND_DISK)
     ranks = keeper.keep(verts.withColumn("rank", F.lit(1.0)), 0)
     for i in range(1, max_rounds + 1):
-        t = ext.join(_salt_state(ranks.withColumnRenamed("id", "src"), heavy), ["src", "_salt"])
+        t = ext.join(_salt_state(ranks.withColumnRenamed("id", "src"), heavy), keys)
         new = t.groupBy(F.col("dst").alias("id")).agg(
             (F.lit(reset) + F.lit(1.0 - reset) *
              F.coalesce(F.sum(F.when(~F.col("_self"), F.col("rank") / F.col("outDeg"))), F.lit(0.0))).alias("rank"),
