@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf, udtf
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from tidewater.functions.clf import CLF_FIELDS
 from tidewater.functions.tokens import NON_WORD
 from tidewater.operators import graph as G
 from tidewater.operators import keyed as K
