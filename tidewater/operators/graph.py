@@ -125,27 +125,31 @@ class _Rounds:
 # ---------------------------------------------------------------- hub salting
 
 def _spread_sources(ext: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """Salt the edges of heavy sources so that no join task gets more than about
-    |E| / (2P) edges (P = shuffle partitions).
+    """Cache the edges partitioned by ``src`` and salt the edges of heavy sources, so
+    that no join task gets more than about |E| / (2P) edges (P = shuffle partitions).
 
     A source with ``d`` edges above that cap gets ``ceil(d / cap)`` buckets, chosen
-    by a hash of the destination. At most 2P sources can exceed the cap, so the
-    ``(src, _k)`` table is small by construction; it is written once to the
-    checkpoint folder and broadcast. Returns ``(edges with _salt, heavy)``; ``heavy``
-    is None when no source exceeds the cap.
+    by a hash of the destination, and the edges are re-partitioned by
+    ``(src, _salt)``. At most 2P sources can exceed the cap, so the ``(src, _k)``
+    table is small by construction; it is written once to the checkpoint folder and
+    broadcast. Returns ``(cached edges, heavy)``; ``heavy`` is None when no source
+    exceeds the cap (the common case), and the edges then stay ``src``-partitioned.
     """
     spark = ext.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    deg = ext.groupBy("src").agg(F.count(F.lit(1)).alias("_d"))
-    total = deg.agg(F.sum("_d")).first()[0] or 0
+    ext = ext.repartition("src").persist(StorageLevel.MEMORY_AND_DISK)
+    total = ext.count()
     cap = max(1, -(-total // (2 * parts)))
-    heavy = deg.filter(F.col("_d") > cap).select("src", F.ceil(F.col("_d") / cap).cast("int").alias("_k"))
+    heavy = ext.groupBy("src").agg(F.count(F.lit(1)).alias("_d")).filter(F.col("_d") > cap) \
+               .select("src", F.ceil(F.col("_d") / cap).cast("int").alias("_k"))
     heavy = heavy.checkpoint(eager=True)
     if not heavy.take(1):  # no hub: plain ``src`` partitioning, no broadcast per round
         return ext, None
     salted = ext.join(F.broadcast(heavy), "src", "left").withColumn(
         "_salt", F.when(F.col("_k").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("dst"), F.col("_k"))).cast("int")
-    ).drop("_k")
+    ).drop("_k").repartition("src", "_salt").persist(StorageLevel.MEMORY_AND_DISK)
+    salted.count()
+    ext.unpersist()
     return salted, heavy
 
 
@@ -264,7 +268,6 @@ def message_passing(vertices: DataFrame, edges: DataFrame, init_msg,
         allowMissingColumns=True,
     ))
     keys = _join_keys(heavy)
-    ext = ext.repartition(*keys).persist(StorageLevel.MEMORY_AND_DISK)
     state = vertices.select("id", update(F.col("value"), F.lit(init_msg)).alias("value"),
                             F.lit(True).alias("_active"))
     state = rounds.keep(state, 0)
@@ -297,7 +300,7 @@ def pagerank_pregel(edges: DataFrame, rounds: int = 20, reset: float = RESET, ch
     """Message-passing PageRank: every vertex starts at ``reset`` (initial message 0),
     messages ``rank * 1/outDeg`` flow along out-edges of vertices that received one
     in the previous round; a vertex without a message keeps its value."""
-    weighted = edge_weights(edges.select("src", "dst")).repartition("src").persist(StorageLevel.MEMORY_AND_DISK)
+    weighted = edge_weights(edges.select("src", "dst")).persist(StorageLevel.MEMORY_AND_DISK)
     verts = vertices_from_edges(weighted).withColumn("value", F.lit(1.0))
     ranks = message_passing(
         verts, weighted, 0.0,
@@ -318,7 +321,6 @@ def pagerank_join(edges: DataFrame, rounds: int = 20, reset: float = RESET, chec
     keeper = _Rounds(checkpoint_every, edges.sparkSession)
     adj, heavy = _spread_sources(e.join(deg, "src"))
     keys = _join_keys(heavy)
-    adj = adj.repartition(*keys).persist(StorageLevel.MEMORY_AND_DISK)
     ranks = deg.select(F.col("src").alias("id"), F.lit(1.0).alias("rank"))
     for i in range(1, rounds + 1):
         salted = _salt_state(ranks.withColumnRenamed("id", "src"), heavy)
@@ -352,7 +354,6 @@ def pagerank_converged(edges: DataFrame, tol: float = 1e-4, reset: float = RESET
                                                            F.lit(1).cast("bigint").alias("outDeg"),
                                                            F.lit(True).alias("_self"))))
     keys = _join_keys(heavy)
-    ext = ext.repartition(*keys).persist(StorageLevel.MEMORY_AND_DISK)
     ranks = keeper.keep(verts.withColumn("rank", F.lit(1.0)), 0)
     for i in range(1, max_rounds + 1):
         t = ext.join(_salt_state(ranks.withColumnRenamed("id", "src"), heavy), keys)
