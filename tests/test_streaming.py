@@ -68,3 +68,14 @@ def test_stream_fanout_one_read(spark):
     assert rows(outs["events"]) == rows(R.terminal_events(batch).select("ride_id", "terminal", "n", "hour"))
     assert rows(outs["either"]) == rows(R.either_endpoint(batch))
     assert rows(outs["starts"]) == rows(R.start_at_terminal(batch))
+
+
+def test_update_mode_yields_all_windows(spark):
+    from tidewater.operators import rides as R
+    from tidewater.plans import derive as D
+    from tidewater.sources.tables import stream_table
+    s = R.with_terminals(D.rides_from_events(stream_table(spark, SF, "events")), spark)
+    hourly = R.terminal_hourly(s, watermark="60 seconds")
+    out = SR.run_update_log(hourly, spark, "hourly-update", keys=["window", "terminal"])
+    got = rows(R.report(out, "terminal", "hour", "n"))
+    assert got == rows(C.rides_terminal_hourly(spark, SF))
