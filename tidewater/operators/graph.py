@@ -137,20 +137,24 @@ def _spread_sources(ext: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """
     spark = ext.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ext = ext.repartition("src").persist(StorageLevel.MEMORY_AND_DISK)
+    # Degrees come from the input as scanned (balanced splits, partial counts), so a
+    # hub is found before any shuffle by ``src`` could gather its edges in one task.
+    ext = ext.persist(StorageLevel.MEMORY_AND_DISK)
     total = ext.count()
     cap = max(1, -(-total // (2 * parts)))
     heavy = ext.groupBy("src").agg(F.count(F.lit(1)).alias("_d")).filter(F.col("_d") > cap) \
                .select("src", F.ceil(F.col("_d") / cap).cast("int").alias("_k"))
     heavy = heavy.checkpoint(eager=True)
     if not heavy.take(1):  # no hub: plain ``src`` partitioning, no broadcast per round
-        return ext, None
-    salted = ext.join(F.broadcast(heavy), "src", "left").withColumn(
-        "_salt", F.when(F.col("_k").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("dst"), F.col("_k"))).cast("int")
-    ).drop("_k").repartition("src", "_salt").persist(StorageLevel.MEMORY_AND_DISK)
-    salted.count()
+        heavy, out = None, ext.repartition("src")
+    else:
+        out = ext.join(F.broadcast(heavy), "src", "left").withColumn(
+            "_salt", F.when(F.col("_k").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("dst"), F.col("_k"))).cast("int")
+        ).drop("_k").repartition("src", "_salt")
+    out = out.persist(StorageLevel.MEMORY_AND_DISK)
+    out.count()
     ext.unpersist()
-    return salted, heavy
+    return out, heavy
 
 
 def _join_keys(heavy: DataFrame | None) -> list[str]:
