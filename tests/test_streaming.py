@@ -79,3 +79,17 @@ def test_update_mode_yields_all_windows(spark):
     out = SR.run_update_log(hourly, spark, "hourly-update", keys=["window", "terminal"])
     got = rows(R.report(out, "terminal", "hour", "n"))
     assert got == rows(C.rides_terminal_hourly(spark, SF))
+
+
+def test_text_stream_wordcount(spark, tmp_path):
+    from tidewater.operators import text as T
+    from tidewater.sources.files import read_text_stream
+    src = tmp_path / "lines"
+    src.mkdir()
+    (src / "a.txt").write_text("To be, or not to be\nthat is the question\n")
+    (src / "b.txt").write_text("Whether 'tis nobler in the mind to suffer\n")
+    stream = read_text_stream(spark, str(src), "text", maxFilesPerTrigger=1)
+    got = SR.run_update_log(T.word_count(stream, "words"), spark, "text-stream", keys=["word"])
+    want = T.word_count(spark.read.text(str(src)), "words")
+    assert rows(got) == rows(want)
+    assert dict(rows(got))["to"] == 3
