@@ -113,3 +113,12 @@ def test_hub_is_salted_and_ranks_unchanged(spark):
     assert abs(got[2] - (0.15 + 0.85 * leaf)) < 1e-12  # round 2: only vertex 1 (a receiver) sends
     j = pr(G.pagerank_join(star, 1))
     assert abs(j[3] - (0.15 + 0.85 * 1.0 / n)) < 1e-12 and 0 not in j
+
+
+def test_neighbors_split_hubs(spark):
+    star = edges(spark, [(0, i) for i in range(1, 251)] + [(1, 2)])
+    out = G.neighbors_out(star, split_hubs=True, max_list=100)
+    hub = out.filter("id = 0").collect()
+    assert len(hub) == 3
+    assert sorted(x for r in hub for x in r.neighbors) == list(range(1, 251))
+    assert [r.neighbors for r in out.filter("id = 1").collect()] == [[2]]

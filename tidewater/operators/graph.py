@@ -70,9 +70,20 @@ def edge_weights(edges: DataFrame) -> DataFrame:
                 .withColumn("weight", F.lit(1.0) / F.col("outDeg")).drop("outDeg")
 
 
-def neighbors_out(edges: DataFrame) -> DataFrame:
-    """Out-neighbour ids of each vertex with out-edges, sorted."""
-    return edges.groupBy(F.col("src").alias("id")).agg(F.sort_array(F.collect_list("dst")).alias("neighbors"))
+def neighbors_out(edges: DataFrame, split_hubs: bool = False, max_list: int = 100_000) -> DataFrame:
+    """Out-neighbour ids of each vertex with out-edges, sorted.
+
+    One list per vertex, so a row grows with the out-degree. With ``split_hubs`` a
+    vertex with more than ``max_list`` out-edges gets ``ceil(deg / max_list)`` rows
+    ``(id, part, neighbors)``, its neighbours spread by a hash of their id; the lists
+    of one vertex together are its neighbours.
+    """
+    if not split_hubs:
+        return edges.groupBy(F.col("src").alias("id")).agg(F.sort_array(F.collect_list("dst")).alias("neighbors"))
+    deg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("_d"))
+    parts = F.greatest(F.lit(1), F.ceil(F.col("_d") / F.lit(max_list))).cast("int")
+    e = edges.join(deg, "src").withColumn("part", F.pmod(F.xxhash64("dst"), parts).cast("int"))
+    return e.groupBy(F.col("src").alias("id"), "part").agg(F.sort_array(F.collect_list("dst")).alias("neighbors"))
 
 
 def undirected(edges: DataFrame) -> DataFrame:
