@@ -80,7 +80,11 @@ def cogroup_lists(left: DataFrame, right: DataFrame, k: str, lv: str, rv: str) -
 
 def cogroup_apply(left: DataFrame, right: DataFrame, k: str, fn: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
                   schema: str) -> DataFrame:
-    """General ``coGroup`` with a pandas function per key (Arrow batches)."""
+    """General ``coGroup`` with a pandas function per key (Arrow batches).
+
+    Each key's two groups are materialised together in one task; use it where the
+    groups per key are bounded, and ``cogroup_lists`` or a built-in aggregate otherwise.
+    """
     return left.groupBy(k).cogroup(right.groupBy(k)).applyInPandas(fn, schema=schema)
 
 
