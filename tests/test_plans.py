@@ -53,3 +53,17 @@ def test_ride_reader_gzip_csv(spark, tmp_path):
     assert any(f.endswith(".gz") for f in __import__("os").listdir(path))
     back = read_rides(spark, path, fmt="csv")
     assert [tuple(r) for r in back.collect()] == [tuple(r) for r in df.collect()]
+
+
+def test_bounded_broadcast_counts_when_unproven(spark, capsys):
+    from tidewater.operators.relational import bounded_broadcast
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    small = spark.range(5).withColumnRenamed("id", "k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hinted = plan(capsys, big.join(bounded_broadcast(small, max_rows=10), "k"))
+        plain = plan(capsys, big.join(bounded_broadcast(small, max_rows=2), "k"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in hinted
+    assert "BroadcastHashJoin" not in plain
