@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from tidewater.llm import chat_format, exact_dedup, mix_sources, url_filter
+from tidewater.llm import (
+    chat_format, exact_dedup, language_id, mix_sources, sentencepiece_codec, url_filter,
+)
 
-_MODULES = [mix_sources, url_filter, exact_dedup, chat_format]
+_MODULES = [sentencepiece_codec, mix_sources, url_filter, exact_dedup, language_id, chat_format]
 
 QUERIES = {name: fn for m in _MODULES for name, fn in m.QUERIES.items()}
 ORACLE = {name: sql for m in _MODULES for name, sql in m.ORACLE.items()}
