@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,3 +52,23 @@ def heavy_keys(keys: DataFrame, key: str, rows: int, partitions: int, least: int
 
 def ascii_lower(col: Column) -> Column:
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def sorted_groups(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[tuple[tuple, pa.Table]]:
+    """Consecutive rows with equal integers in their first ``n_keys`` columns, from batches of
+    a partition sorted by those columns. Only the open group is held."""
+    key, parts = None, []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        cols = np.stack([b.column(i).to_numpy(zero_copy_only=False) for i in range(n_keys)])
+        cuts = [0, *(np.flatnonzero((cols[:, 1:] != cols[:, :-1]).any(axis=0)) + 1).tolist(), b.num_rows]
+        for lo, hi in zip(cuts[:-1], cuts[1:]):
+            k = tuple(cols[:, lo].tolist())
+            if k != key and parts:
+                yield key, pa.Table.from_batches(parts)
+                parts = []
+            key = k
+            parts.append(b.slice(lo, hi - lo))
+    if parts:
+        yield key, pa.Table.from_batches(parts)
