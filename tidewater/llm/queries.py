@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from tidewater.llm import (
-    chat_format, exact_dedup, hnsw, language_id, mix_sources, ngram_join, sentencepiece_codec, url_filter,
+    chat_format, exact_dedup, hnsw, language_id, mix_sources, ngram_join, sentencepiece_codec, toxicity,
+    url_filter,
 )
 
-_MODULES = [ngram_join, hnsw, sentencepiece_codec, mix_sources, url_filter, exact_dedup, language_id, chat_format]
+_MODULES = [ngram_join, hnsw, toxicity, sentencepiece_codec, mix_sources, url_filter, exact_dedup, language_id, chat_format]
 
 QUERIES = {name: fn for m in _MODULES for name, fn in m.QUERIES.items()}
 ORACLE = {name: sql for m in _MODULES for name, sql in m.ORACLE.items()}
