@@ -36,8 +36,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Every input row and column plus ``keep_id``, ``group_size``, ``kept`` and
     ``text_sha256``."""
     parts = shuffle_partitions(docs.sparkSession)
-    norm, h, salt, head, run_keep, run_size, first = fresh(
-        docs, "norm", "content_hash", "salt", "prefix", "run_keep", "run_size", "first")
+    norm, h, salt, head, run_keep, run_size, first, mh, ms, rk, gk, gn, lead = fresh(
+        docs, "norm", "content_hash", "salt", "prefix", "run_keep", "run_size", "first",
+        "merged_hash", "merged_salt", "merged_run", "group_keep", "group_rows", "lead")
     hashed = docs.withColumn(norm, normalised(F.col(text_col))).withColumn(h, F.xxhash64(norm))
 
     heavy, cap = heavy_keys(hashed.select(h), h, docs.count(), parts, cap_least)
@@ -54,18 +55,18 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .withColumn(run_size, F.count("*").over(run)))
 
     copies = (salted.where(F.col(salt) >= 0).groupBy(h, norm, salt)
-              .agg(F.min(id_col).alias("rk"), F.count("*").alias("rn")))
+              .agg(F.min(id_col).alias(rk), F.count("*").alias(gn)))
     group = Window.partitionBy(h, norm)
     merged = F.broadcast(copies.select(
-        F.col(h).alias("mh"), F.col(salt).alias("ms"), "rk",
-        F.min("rk").over(group).alias("gk"), F.sum("rn").over(group).alias("gn"),
-        (F.row_number().over(group.orderBy(F.col("rk").asc_nulls_last(), F.col(salt))) == 1).alias("lead")))
-    joined = runs.join(merged, (F.col(h) == F.col("mh")) & (F.col(salt) == F.col("ms"))
-                       & F.col(run_keep).eqNullSafe(F.col("rk")), "left")
+        F.col(h).alias(mh), F.col(salt).alias(ms), rk,
+        F.min(rk).over(group).alias(gk), F.sum(gn).over(group).alias(gn),
+        (F.row_number().over(group.orderBy(F.col(rk).asc_nulls_last(), F.col(salt))) == 1).alias(lead)))
+    joined = runs.join(merged, (F.col(h) == F.col(mh)) & (F.col(salt) == F.col(ms))
+                       & F.col(run_keep).eqNullSafe(F.col(rk)), "left")
     out = {
-        "keep_id": F.when(F.col("gn").isNotNull(), F.col("gk")).otherwise(F.col(run_keep)),
-        "group_size": F.coalesce(F.col("gn"), F.col(run_size)),
-        "kept": F.col(first) & F.coalesce(F.col("lead"), F.lit(True)),
+        "keep_id": F.when(F.col(gn).isNotNull(), F.col(gk)).otherwise(F.col(run_keep)),
+        "group_size": F.coalesce(F.col(gn), F.col(run_size)),
+        "kept": F.col(first) & F.coalesce(F.col(lead), F.lit(True)),
         "text_sha256": F.sha2(F.col(norm).cast("binary"), 256),
     }
     keep = [c for c in docs.columns if c.lower() not in out]

@@ -94,13 +94,13 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The mix itself: a row per whole epoch of a document and one cut to the words of the
     last, partial epoch; columns as in ``docs`` (``n_chars`` follows a cut text). Documents
     without any word carry nothing into the mix. Ids must be unique."""
-    epoch, last, n = fresh(docs, "epochs", "last", "copy")
+    epoch, last, n, size, mix_id = fresh(docs, "epochs", "last", "copy", "size", "mix_id")
     taken = mix_sources(docs, id_col, text_col, source_col, **kw).where(F.col("taken") > 0).select(
-        F.col(id_col).alias("__mix_id"), F.col("epochs").alias(epoch), F.col("last").alias(last), "size")
-    joined = docs.join(taken.withColumnRenamed("size", "__size"), docs[id_col].eqNullSafe(F.col("__mix_id")))
+        F.col(id_col).alias(mix_id), F.col("epochs").alias(epoch), F.col("last").alias(last), F.col("size").alias(size))
+    joined = docs.join(taken, F.col(id_col).eqNullSafe(F.col(mix_id)))
     copies = joined.withColumn(n, F.explode(F.sequence(F.lit(0), F.col(epoch)))) \
         .where((F.col(n) < F.col(epoch)) | (F.col(last) > 0))
-    cut = (F.col(n) == F.col(epoch)) & (F.col(last) < F.col("__size"))
+    cut = (F.col(n) == F.col(epoch)) & (F.col(last) < F.col(size))
     pattern = F.concat(F.lit(r"^[\x20\x09-\x0D]*+(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+){0,"),
                        F.col(last).cast("string"), F.lit("}+"))
     head = F.regexp_substr(F.col(text_col), pattern)

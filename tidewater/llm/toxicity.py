@@ -274,7 +274,7 @@ class Scorer:
 
 
 def score_texts(docs: DataFrame, net: Network | None, text_col: str = "text") -> DataFrame:
-    """Every input row and column plus ``score`` (0 to 1)."""
+    """Every input row and column but the text, plus ``score`` (0 to 1)."""
     names = [c for c in docs.columns if c.lower() != "score" and c != text_col]
     schema = T.StructType([docs.schema[c] for c in names]).add("score", "double")
 
