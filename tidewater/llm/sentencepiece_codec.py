@@ -36,8 +36,8 @@ from tidewater.llm.common import read_table
 
 MARK = "▁"
 MODEL_NAME = "piece_bpe_32k.model"
-CACHE_WORDS = 250_000
-ROWS_PER_BATCH = 2000
+CACHE_WORDS = 120_000
+ROWS_PER_BATCH = 1000
 MATRIX_CHARS = 40
 NONE = np.iinfo(np.int32).max
 
