@@ -26,7 +26,7 @@ from tidewater.llm.common import fresh, read_table, written
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
 KEY_BITS = 60
-RANGE_ROWS = 8192
+RANGE_ROWS = 1024
 WORD = r"[^\x20\x09-\x0D]+"
 
 
