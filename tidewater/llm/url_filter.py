@@ -89,7 +89,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", default
 
 
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    rules = spark.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(h).alias("host"), F.lit(p).alias("path"), F.lit(v).alias("verdict")) for h, p, v in RULES])))
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
     return judge_urls(pages, rules).drop("url")
 
