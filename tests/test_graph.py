@@ -95,7 +95,9 @@ def test_edge_weights_neighbors_bfs(spark):
     e = edges(spark, FOUR)
     w = {(r.src, r.dst): r.weight for r in G.edge_weights(e).collect()}
     assert w[(1, 2)] == 0.5 and w[(2, 3)] == 1.0
-    assert rows(G.neighbors_out(e)) == [(1, [2, 3]), (2, [3]), (3, [4]), (4, [1, 3])]
+    assert rows(G.neighbors(e)) == [(1, 2), (1, 3), (2, 3), (3, 4), (4, 1), (4, 3)]
+    assert rows(G.neighbors(e, "in")) == sorted((d, s) for s, d in FOUR)
+    assert G.neighbors(e, "either").count() == 12
     assert rows(G.bfs_levels(e, 1)) == [(1, 0), (2, 1), (3, 1), (4, 2)]
 
 
@@ -115,10 +117,28 @@ def test_hub_is_salted_and_ranks_unchanged(spark):
     assert abs(j[3] - (0.15 + 0.85 * 1.0 / n)) < 1e-12 and 0 not in j
 
 
-def test_neighbors_split_hubs(spark):
-    star = edges(spark, [(0, i) for i in range(1, 251)] + [(1, 2)])
-    out = G.neighbors_out(star, split_hubs=True, max_list=100)
-    hub = out.filter("id = 0").collect()
-    assert len(hub) == 3
-    assert sorted(x for r in hub for x in r.neighbors) == list(range(1, 251))
-    assert [r.neighbors for r in out.filter("id = 1").collect()] == [[2]]
+def test_loops_run_to_convergence_or_raise(spark):
+    path = edges(spark, [(i, i + 1) for i in range(10)])
+    assert rows(G.bfs_levels(path, 0)) == [(i, i) for i in range(11)]
+    assert {r.component for r in G.connected_components(path).collect()} == {0}
+    with pytest.raises(RuntimeError):
+        G.connected_components(path, max_rounds=1)
+    with pytest.raises(RuntimeError):
+        G.pagerank_converged(edges(spark, FOUR), max_rounds=2)
+
+
+def test_hub_edges_are_spread(spark):
+    """One source with two thirds of the edges: results as by plain joins, no task with all of them."""
+    pairs = [(0, i) for i in range(1, 2001)] + [(i, i + 1) for i in range(1, 1001)]
+    e = edges(spark, pairs).repartition(16)
+    degree = {}
+    for s, _ in pairs:
+        degree[s] = degree.get(s, 0) + 1
+    weighted = G.edge_weights(e)
+    assert rows(weighted) == sorted((s, d, 1.0 / degree[s]) for s, d in pairs)
+    sizes = [r[0] for r in weighted.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert max(sizes) < 2000
+    assert {r.component for r in G.connected_components(e).collect()} == {0}
+    star = edges(spark, [(0, i) for i in range(1, 301)] + [(i, i + 1) for i in range(1, 300)])
+    tri = dict(rows(G.triangle_counts(star)))
+    assert tri[0] == 299 and tri[1] == 1 and tri[2] == 2

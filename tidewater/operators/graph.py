@@ -9,6 +9,7 @@ at most the rounds since the last checkpoint.
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import count
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -64,26 +65,35 @@ def with_degrees(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     )
 
 
+def attach(rows: DataFrame, table: DataFrame, key: str, size_col: str, total: int) -> DataFrame:
+    """Inner join of ``rows`` with one table row per ``key``, without gathering a hot key.
+
+    ``size_col`` is at least the number of rows with that key. Keys with more than
+    ``total / (2P)`` rows (at most 2P of them when the sizes sum to ``total``; P = shuffle
+    partitions) are joined by broadcast, the others by the plain shuffle join.
+    """
+    cap = max(1, -(-total // (2 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))))
+    heavy = F.broadcast(table.filter(F.col(size_col) > cap))
+    light = rows.join(F.broadcast(table.filter(F.col(size_col) > cap).select(key)), key, "left_anti")
+    return rows.join(heavy, key).unionByName(light.join(table.filter(F.col(size_col) <= cap), key))
+
+
+def with_out_degree(edges: DataFrame) -> DataFrame:
+    """Every edge with ``outDeg`` of its source."""
+    return attach(edges, out_degrees(edges).withColumnRenamed("id", "src"), "src", "outDeg", edges.count())
+
+
 def edge_weights(edges: DataFrame) -> DataFrame:
     """``weight = 1 / outDeg(src)`` on every edge (parallel edges counted)."""
-    return edges.join(out_degrees(edges).withColumnRenamed("id", "src"), "src") \
-                .withColumn("weight", F.lit(1.0) / F.col("outDeg")).drop("outDeg")
+    return with_out_degree(edges).withColumn("weight", F.lit(1.0) / F.col("outDeg")).drop("outDeg")
 
 
-def neighbors_out(edges: DataFrame, split_hubs: bool = False, max_list: int = 100_000) -> DataFrame:
-    """Out-neighbour ids of each vertex with out-edges, sorted.
-
-    One list per vertex, so a row grows with the out-degree. With ``split_hubs`` a
-    vertex with more than ``max_list`` out-edges gets ``ceil(deg / max_list)`` rows
-    ``(id, part, neighbors)``, its neighbours spread by a hash of their id; the lists
-    of one vertex together are its neighbours.
-    """
-    if not split_hubs:
-        return edges.groupBy(F.col("src").alias("id")).agg(F.sort_array(F.collect_list("dst")).alias("neighbors"))
-    deg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("_d"))
-    parts = F.greatest(F.lit(1), F.ceil(F.col("_d") / F.lit(max_list))).cast("int")
-    e = edges.join(deg, "src").withColumn("part", F.pmod(F.xxhash64("dst"), parts).cast("int"))
-    return e.groupBy(F.col("src").alias("id"), "part").agg(F.sort_array(F.collect_list("dst")).alias("neighbors"))
+def neighbors(edges: DataFrame, direction: str = "out") -> DataFrame:
+    """``(id, neighbor)``, a row per edge end: ids reached over out-edges, in-edges or
+    ``either``. Flat rows, so a hub's neighbours need no common task."""
+    out = edges.select(F.col("src").alias("id"), F.col("dst").alias("neighbor"))
+    into = edges.select(F.col("dst").alias("id"), F.col("src").alias("neighbor"))
+    return {"out": out, "in": into, "either": out.unionByName(into)}[direction]
 
 
 def undirected(edges: DataFrame) -> DataFrame:
@@ -143,7 +153,8 @@ def _spread_sources(ext: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     by a hash of the destination, and the edges are re-partitioned by
     ``(src, _salt)``. At most 2P sources can exceed the cap, so the ``(src, _k)``
     table is small by construction; it is written once to the checkpoint folder and
-    broadcast. Returns ``(cached edges, heavy)``; ``heavy`` is None when no source
+    broadcast. Partitions are sorted by the join key before they are cached, so a round's
+    join sorts only the state. Returns ``(cached edges, heavy)``; ``heavy`` is None when no source
     exceeds the cap (the common case), and the edges then stay ``src``-partitioned.
     """
     spark = ext.sparkSession
@@ -157,11 +168,11 @@ def _spread_sources(ext: DataFrame) -> tuple[DataFrame, DataFrame | None]:
                .select("src", F.ceil(F.col("_d") / cap).cast("int").alias("_k"))
     heavy = heavy.checkpoint(eager=True)
     if not heavy.take(1):  # no hub: plain ``src`` partitioning, no broadcast per round
-        heavy, out = None, ext.repartition("src")
+        heavy, out = None, ext.repartition("src").sortWithinPartitions("src")
     else:
         out = ext.join(F.broadcast(heavy), "src", "left").withColumn(
             "_salt", F.when(F.col("_k").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("dst"), F.col("_k"))).cast("int")
-        ).drop("_k").repartition("src", "_salt")
+        ).drop("_k").repartition("src", "_salt").sortWithinPartitions("src", "_salt")
     out = out.persist(StorageLevel.MEMORY_AND_DISK)
     out.count()
     ext.unpersist()
@@ -183,36 +194,47 @@ def _salt_state(src_frame: DataFrame, heavy: DataFrame | None) -> DataFrame:
 
 # ---------------------------------------------------------------- components
 
-def connected_components(edges: DataFrame, vertices: DataFrame | None = None, max_rounds: int = 100,
+def _to_least(links: DataFrame, least: Column, total: int, rounds: _Rounds) -> DataFrame:
+    """``links(u, v)`` with ``m``, the least of u's group; a hot ``u`` is not gathered."""
+    m = links.groupBy("u").agg(least.alias("m"), F.count(F.lit(1)).alias("_n")).persist(StorageLevel.MEMORY_AND_DISK)
+    rounds.held.append(m)
+    parts = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = m.filter(F.col("_n") > max(1, -(-total // (2 * parts)))).take(1)
+    joined = attach(links, m, "u", "_n", total) if hot else links.join(m, "u")
+    return joined.drop("_n")
+
+
+def connected_components(edges: DataFrame, vertices: DataFrame | None = None, max_rounds: int | None = None,
                          checkpoint_every: int = 1) -> DataFrame:
     """``(id, component)``: direction ignored, label = smallest vertex id.
 
     Large-star / small-star contraction (Kiveris et al., SoCC 2014): each round is two
     group-bys and two joins over the edge set, and the number of rounds grows with
     log n, not with the diameter. Converged when the edges form stars around their
-    minimum (no parent is itself a child, every child has one parent).
+    minimum (no parent is itself a child, every child has one parent). Runs until then;
+    a caller's ``max_rounds`` that does not suffice raises.
     """
     rounds = _Rounds(checkpoint_every, edges.sparkSession)
     e = rounds.keep(undirected(edges).select(F.col("b").alias("u"), F.col("a").alias("v")), 0)  # u > v
-    for i in range(1, max_rounds + 1):
+    n = e.count()
+    for i in count(1):
         # large star: every neighbour larger than u is linked to min(N(u) ∪ {u})
         both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        m = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-        ls = both.join(m, "u").filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        ls = ls.distinct()
+        near = _to_least(both, F.least(F.col("u"), F.min("v")), 2 * n, rounds)
+        ls = near.filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # small star: u and its smaller neighbours are linked to min of those
-        m2 = ls.groupBy("u").agg(F.min("v").alias("m"))
-        ss = ls.join(m2, "u").select(F.col("v").alias("u"), F.col("m").alias("v")) \
-               .union(m2.select(F.col("u"), F.col("m").alias("v"))) \
-               .filter(F.col("u") != F.col("v")).distinct()
+        near = _to_least(ls, F.min("v"), n, rounds)
+        ss = near.select(F.col("v").alias("u"), F.col("m").alias("v")).union(near.select("u", F.col("m").alias("v"))) \
+                 .filter(F.col("u") != F.col("v")).distinct()
         e = rounds.keep(ss, i)
-        # One job: edges, distinct children, and edges whose parent is itself a child.
-        kids = e.select(F.col("u").alias("v")).distinct().withColumn("_kid", F.lit(1))
-        st = e.join(kids, "v", "left").agg(
-            F.count(F.lit(1)).alias("n"), F.count_distinct("u").alias("children"),
-            F.count("_kid").alias("chained")).first()
-        if st["n"] == st["children"] and st["chained"] == 0:
-            break
+        st = e.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("u").alias("children")).first()
+        n = st["n"]
+        if n == st["children"]:
+            parents, kids = e.select("v").distinct(), e.select(F.col("u").alias("v")).distinct()
+            if not parents.join(kids, "v", "left_semi").take(1):
+                break
+        if i == max_rounds:
+            raise RuntimeError(f"components did not converge in {max_rounds} rounds")
     ids = vertices.select("id") if vertices is not None else vertices_from_edges(edges)
     labels = ids.join(e.select(F.col("u").alias("id"), F.col("v").alias("component")), "id", "left") \
                 .select("id", F.coalesce("component", "id").alias("component"))
@@ -237,7 +259,8 @@ def triangle_counts(edges: DataFrame, vertices: DataFrame | None = None) -> Data
     da = deg.select(F.col("id").alias("a"), F.col("d").alias("da"))
     db = deg.select(F.col("id").alias("b"), F.col("d").alias("db"))
     lower_first = (F.col("da") < F.col("db")) | ((F.col("da") == F.col("db")) & (F.col("a") < F.col("b")))
-    o = und.join(da, "a").join(db, "b").select(
+    n = und.count()
+    o = attach(attach(und, da, "a", "da", 2 * n), db, "b", "db", 2 * n).select(
         F.when(lower_first, F.col("a")).otherwise(F.col("b")).alias("x"),
         F.when(lower_first, F.col("b")).otherwise(F.col("a")).alias("y"),
     )
@@ -247,7 +270,16 @@ def triangle_counts(edges: DataFrame, vertices: DataFrame | None = None) -> Data
     outs = o.groupBy("x").agg(F.array_sort(F.collect_list("y")).alias("out"))
     ox = outs.select("x", F.col("out").alias("ox"))
     oy = outs.select(F.col("x").alias("y"), F.col("out").alias("oy"))
-    closing = o.join(ox, "x").join(oy, "y").select(
+    # A hub has a short out-list (its edges point into it) but many rows as ``y``: those
+    # are spread over buckets by ``x`` and the list is repeated per bucket (at most 2P hubs).
+    cap = max(1, -(-n // (2 * int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions")))))
+    hubs = F.broadcast(o.groupBy("y").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > cap)
+                       .select("y", F.ceil(F.col("_n") / cap).cast("int").alias("_k")))
+    spread = o.join(hubs, "y", "left").withColumn(
+        "_salt", F.coalesce(F.pmod(F.xxhash64("x"), F.col("_k")).cast("int"), F.lit(0))).drop("_k")
+    repeated = oy.join(hubs, "y", "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_k"), F.lit(1)) - 1))).drop("_k")
+    closing = spread.join(ox, "x").join(repeated, ["y", "_salt"]).select(
         "x", "y", F.array_intersect("ox", "oy").alias("c")).filter(F.size("c") > 0)
     k = F.size("c").cast("bigint")
     credits = closing.select(F.col("x").alias("id"), k.alias("t")) \
@@ -264,7 +296,7 @@ def message_passing(vertices: DataFrame, edges: DataFrame, init_msg,
                     send: Callable[[], Column],
                     combine: Callable[[Column], Column],
                     update: Callable[[Column, Column], Column],
-                    max_rounds: int, active: str = "out",
+                    max_rounds: int | None, active: str = "out",
                     accept: Callable[[Column, Column], Column] | None = None,
                     checkpoint_every: int = 5) -> DataFrame:
     """Pregel over DataFrames.
@@ -277,7 +309,8 @@ def message_passing(vertices: DataFrame, edges: DataFrame, init_msg,
     destination with the aggregate ``combine`` and applied with ``update``; a vertex
     counts as having received one when ``accept(value, msg)`` holds (default: any
     message). Vertices without a message keep their value. Stops after
-    ``max_rounds`` rounds, or once no vertex receives a message.
+    ``max_rounds`` rounds (an operator's own meaning, e.g. 20 rounds of PageRank), or once
+    no vertex receives a message; with ``None`` only then.
 
     Each round is one join and one aggregation: every vertex has a self-edge, so the
     group of a destination holds its own old value next to its incoming messages and
@@ -293,7 +326,7 @@ def message_passing(vertices: DataFrame, edges: DataFrame, init_msg,
     state = vertices.select("id", update(F.col("value"), F.lit(init_msg)).alias("value"),
                             F.lit(True).alias("_active"))
     state = rounds.keep(state, 0)
-    for i in range(1, max_rounds + 1):
+    for i in count(1) if max_rounds is None else range(1, max_rounds + 1):
         senders = state.select(F.col("id").alias("src"), F.col("value").alias("src_value"),
                                F.col("_active").alias("src_active"))
         t = ext.join(_salt_state(senders, heavy), keys)
@@ -341,7 +374,7 @@ def pagerank_join(edges: DataFrame, rounds: int = 20, reset: float = RESET, chec
     e = edges.select("src", "dst").distinct()
     deg = e.groupBy("src").agg(F.count(F.lit(1)).alias("outDeg"))
     keeper = _Rounds(checkpoint_every, edges.sparkSession)
-    adj, heavy = _spread_sources(e.join(deg, "src"))
+    adj, heavy = _spread_sources(with_out_degree(e))
     keys = _join_keys(heavy)
     ranks = deg.select(F.col("src").alias("id"), F.lit(1.0).alias("rank"))
     for i in range(1, rounds + 1):
@@ -358,26 +391,27 @@ def pagerank_join(edges: DataFrame, rounds: int = 20, reset: float = RESET, chec
 def pagerank_contributions(ranks: DataFrame, adj: DataFrame) -> DataFrame:
     """Each rank split evenly over the out-neighbours: ``(src, dst, contrib)``.
     ``adj`` carries ``outDeg`` of the source."""
-    return adj.join(ranks.withColumnRenamed("id", "src"), "src") \
+    sized = ranks.withColumnRenamed("id", "src").join(adj.groupBy("src").agg(F.count(F.lit(1)).alias("_n")), "src")
+    return attach(adj, sized, "src", "_n", adj.count()) \
               .select("src", "dst", (F.col("rank") / F.col("outDeg")).alias("contrib"))
 
 
-def pagerank_converged(edges: DataFrame, tol: float = 1e-4, reset: float = RESET, max_rounds: int = 200,
+def pagerank_converged(edges: DataFrame, tol: float = 1e-4, reset: float = RESET, max_rounds: int | None = None,
                        checkpoint_every: int = 5) -> DataFrame:
     """Synchronous PageRank from 1.0 until ``max |new - old| <= tol``:
     ``r = reset + (1 - reset) * Σ r_src / outDeg_src`` over in-edges. Self-edges
-    bring each vertex's old rank into its own group (one join, one shuffle a round)."""
+    bring each vertex's old rank into its own group (one join, one shuffle a round).
+    Raises where a caller's ``max_rounds`` does not suffice."""
     e = edges.select("src", "dst")
-    deg = out_degrees(e)
     verts = vertices_from_edges(e)
     keeper = _Rounds(checkpoint_every, edges.sparkSession)
-    ext, heavy = _spread_sources(e.join(deg.withColumnRenamed("id", "src"), "src").withColumn("_self", F.lit(False))
+    ext, heavy = _spread_sources(with_out_degree(e).withColumn("_self", F.lit(False))
                                  .unionByName(verts.select(F.col("id").alias("src"), F.col("id").alias("dst"),
                                                            F.lit(1).cast("bigint").alias("outDeg"),
                                                            F.lit(True).alias("_self"))))
     keys = _join_keys(heavy)
     ranks = keeper.keep(verts.withColumn("rank", F.lit(1.0)), 0)
-    for i in range(1, max_rounds + 1):
+    for i in count(1):
         t = ext.join(_salt_state(ranks.withColumnRenamed("id", "src"), heavy), keys)
         new = t.groupBy(F.col("dst").alias("id")).agg(
             (F.lit(reset) + F.lit(1.0 - reset) *
@@ -389,12 +423,14 @@ def pagerank_converged(edges: DataFrame, tol: float = 1e-4, reset: float = RESET
         ranks = new.select("id", "rank")
         if delta is None or delta <= tol:
             break
+        if i == max_rounds:
+            raise RuntimeError(f"ranks still moved by {delta} after {max_rounds} rounds")
     ranks = keeper.finish(ranks)
     ext.unpersist()
     return ranks
 
 
-def bfs_levels(edges: DataFrame, source_id, max_rounds: int = 1000) -> DataFrame:
+def bfs_levels(edges: DataFrame, source_id) -> DataFrame:
     """Hop distance from ``source_id`` along directed edges, by message passing with
     ``min`` as the combiner; a vertex is active when its level improved. Unreachable
     vertices are absent."""
@@ -407,6 +443,6 @@ def bfs_levels(edges: DataFrame, source_id, max_rounds: int = 1000) -> DataFrame
         combine=F.min,
         update=lambda v, m: F.when(m.isNull(), v).otherwise(F.least(v, m)),
         accept=lambda v, m: v.isNull() | (m < v),
-        max_rounds=max_rounds, active="out",
+        max_rounds=None, active="out",
     )
     return levels.filter(F.col("value").isNotNull()).select("id", F.col("value").alias("level"))
