@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF, rows
@@ -42,12 +43,36 @@ def test_stream_multi_sink(spark):
     assert rows(users) == rows(ev.groupBy("user_id").agg(F.count(F.lit(1)).alias("n")))
 
 
-def test_stream_equals_batch_on_closed_windows(spark):
-    stream = {tuple(r) for r in C.stream_terminal_events_hourly(spark, SF).collect()}
-    batch = {tuple(r) for r in C.rides_terminal_hourly(spark, SF).collect()}
-    assert stream <= batch
-    last = max(r[0] for r in batch)
-    assert {r for r in batch - stream} <= {r for r in batch if r[0] == last}
+def test_streams_equal_batch_on_all_windows(spark):
+    assert rows(C.stream_terminal_events_hourly(spark, SF)) == rows(C.rides_terminal_hourly(spark, SF))
+    assert rows(C.stream_busiest_per_hour(spark, SF)) == rows(C.rides_busiest_hour(spark, SF))
+    assert rows(C.stream_busiest_departures_hour(spark, SF)) == rows(C.rides_busiest_departures_hour(spark, SF))
+    assert rows(C.stream_rides_hourly(spark, SF)) == rows(C.rides_both_endpoints(spark, SF))
+
+
+@pytest.mark.parametrize("departures", [False, True])
+def test_watermark_follows_every_ride(spark, tmp_path, departures):
+    """A ride away from the terminals three hours later closes the terminal's window."""
+    from tidewater.operators import rides as R
+    t = dt.datetime(2024, 1, 1, 10, 30)
+    late = t + dt.timedelta(hours=3)
+    schema = ("ride_id long, is_start boolean, start_time timestamp, end_time timestamp, start_terminal string, "
+              "end_terminal string")
+    src = str(tmp_path / "rides")
+    for part in ([(1, True, t, t, "TERMINAL_1", None), (2, True, t, t, "TERMINAL_2", None)], [(3, True, late, late, None, None)],
+                 [(4, True, late, late, None, None)]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    hourly = R.terminal_hourly(stream, departures, watermark="60 seconds")
+    got = SR.run_append(hourly, spark, "probe")
+    assert [(r.terminal, r.n) for r in got.orderBy("terminal").collect()] == [("TERMINAL_1", 1), ("TERMINAL_2", 1)]
+
+
+def test_time_out_raises(spark):
+    from tidewater.sources.tables import stream_table
+    docs = stream_table(spark, SF, "documents").select("doc_id")
+    with pytest.raises(TimeoutError):
+        SR.run_append(docs, spark, "too-late", timeout_s=0.001)
 
 
 def test_stream_wordcount_equals_batch(spark):

@@ -38,17 +38,22 @@ def record_time(rides_t: DataFrame) -> DataFrame:
     return rides_t.withColumn("event_time", F.when(F.col("is_start"), F.col("start_time")).otherwise(F.col("end_time")))
 
 
-def terminal_events(rides_t: DataFrame) -> DataFrame:
+def terminal_events(rides_t: DataFrame, departures_only: bool = False) -> DataFrame:
     """Events at a terminal, the location taken by kind (start cell for start events,
-    end cell for end events) → ``(ride_id, is_start, event_time, terminal, n, hour)``."""
+    end cell for end events) → ``(ride_id, is_start, event_time, terminal, n, hour)``.
+
+    Rows are chosen by a generator: a filter would be pushed below a watermark, which would
+    then follow only the terminal rides."""
     if "event_time" not in rides_t.columns:
         rides_t = record_time(rides_t)
     is_start = F.col("is_start")
     terminal = F.when(is_start, F.col("start_terminal")).otherwise(F.col("end_terminal"))
-    return rides_t.select(
-        "ride_id", "is_start", "event_time", terminal.alias("terminal"),
+    wanted = terminal.isNotNull() & (is_start if departures_only else F.lit(True))
+    at = F.when(wanted, F.array(terminal)).otherwise(F.array().cast("array<string>"))
+    return rides_t.select("ride_id", "is_start", "event_time", F.explode(at).alias("terminal")).select(
+        "ride_id", "is_start", "event_time", "terminal",
         F.lit(1).cast("bigint").alias("n"), local_hour(F.col("event_time")).alias("hour"),
-    ).filter(F.col("terminal").isNotNull())
+    )
 
 
 def either_endpoint(rides_t: DataFrame) -> DataFrame:
@@ -101,18 +106,7 @@ def terminal_hourly(rides_t: DataFrame, departures_only: bool = False, watermark
     src = record_time(rides_t)
     if watermark:
         src = src.withWatermark("event_time", watermark)
-    # Catalyst pushes a filter below the watermark node, which would then follow only
-    # the kept rows. With a watermark, departures are selected by weight instead, and
-    # groups that got no departure are dropped after the window.
-    weigh = departures_only and watermark is not None
-    if departures_only and not weigh:
-        src = src.filter(F.col("is_start"))
-    ev = terminal_events(src)
-    if weigh:
-        ev = ev.withColumn("n", F.col("is_start").cast("bigint"))
-    out = tumbling(ev, "event_time", ["terminal"], value="n")
-    if weigh:
-        out = out.filter(F.col("n") > 0)
+    out = tumbling(terminal_events(src, departures_only), "event_time", ["terminal"], value="n")
     return out.withColumn("hour", local_hour(F.col("window.start")))
 
 

@@ -16,19 +16,28 @@ from pyspark.sql import functions as F
 from tidewater.session import scratch_path
 
 
-def run_append(stream: DataFrame, spark: SparkSession, name: str, timeout_s: float | None = None) -> DataFrame:
-    out = scratch_path(spark, f"{name}-out")
-    ckpt = scratch_path(spark, f"{name}-ckpt")
-    q = (stream.writeStream.format("parquet").outputMode("append")
-         .option("path", out).option("checkpointLocation", ckpt)
-         .trigger(availableNow=True).queryName(f"{name}_{abs(hash(out)) % 10**8}").start())
+def _finish(q, timeout_s: float | None) -> None:
+    """Wait for the end of the input; a time-out or a failed query raises, never a part of
+    the result."""
     try:
         q.awaitTermination(timeout_s)
+        late = q.isActive
     finally:
         if q.isActive:
             q.stop()
     if q.exception() is not None:
         raise q.exception()
+    if late:
+        raise TimeoutError(f"the stream was still running after {timeout_s} s")
+
+
+def run_append(stream: DataFrame, spark: SparkSession, name: str, timeout_s: float | None = None) -> DataFrame:
+    out = scratch_path(spark, f"{name}-out")
+    ckpt = scratch_path(spark, f"{name}-ckpt")
+    q = (stream.writeStream.format("parquet").outputMode("append")
+         .option("path", out).option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).queryName(f"{name}_{abs(hash(out)) % 10**8}").start())
+    _finish(q, timeout_s)
     return spark.read.schema(stream.schema).parquet(out)
 
 
@@ -40,22 +49,18 @@ def run_update_log(stream: DataFrame, spark: SparkSession, name: str, keys: list
     ckpt = scratch_path(spark, f"{name}-ckpt")
     schema = stream.schema
 
+    batches: set[int] = set()
+
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        batches.add(batch_id)
 
     q = (stream.writeStream.outputMode(output_mode).foreachBatch(write_batch)
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    try:
-        q.awaitTermination(timeout_s)
-    finally:
-        if q.isActive:
-            q.stop()
-    if q.exception() is not None:
-        raise q.exception()
-    try:
-        log = spark.read.parquet(out)
-    except Exception:  # no batch wrote anything
+    _finish(q, timeout_s)
+    if not batches:  # the input was empty
         return spark.createDataFrame([], schema)
+    log = spark.read.parquet(out)
     values = [c for c in schema.names if c not in keys]
     latest = log.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("_v"))
     return latest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values])
@@ -73,28 +78,21 @@ def run_fanout(stream: DataFrame, spark: SparkSession, name: str,
     root = scratch_path(spark, f"{name}-fanout")
     ckpt = scratch_path(spark, f"{name}-ckpt")
 
+    batches: set[int] = set()
+
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             for key, fn in outputs.items():
                 fn(batch).write.mode("overwrite").parquet(f"{root}/{key}/batch={batch_id}")
+            batches.add(batch_id)
         finally:
             batch.unpersist()
 
     q = (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
-    try:
-        q.awaitTermination(timeout_s)
-    finally:
-        if q.isActive:
-            q.stop()
-    if q.exception() is not None:
-        raise q.exception()
-    empty = stream.sparkSession.createDataFrame([], stream.schema)
-    result = {}
-    for key, fn in outputs.items():
-        try:
-            result[key] = spark.read.parquet(f"{root}/{key}").drop("batch")
-        except Exception:  # no batch produced this output
-            result[key] = fn(empty)
-    return result
+    _finish(q, timeout_s)
+    if not batches:  # the input was empty
+        empty = spark.createDataFrame([], stream.schema)
+        return {key: fn(empty) for key, fn in outputs.items()}
+    return {key: spark.read.parquet(f"{root}/{key}").drop("batch") for key in outputs}
