@@ -1,3 +1,4 @@
+import pytest
 import os
 
 from pyspark import StorageLevel
@@ -38,6 +39,35 @@ def test_graph_load(spark, tmp_path):
     assert rows(v) == [(1, "user1"), (2, "user2"), (3, "user3"), (4, "user4")]
 
 
+def test_edge_list_ids(spark, tmp_path):
+    p = write(tmp_path, "mixed.txt", "a b c\n1 x\nlonely\n\n# no\na b\n")
+    assert rows(SF_.read_edge_list(spark, p, ids="string").distinct()) == [("1", "x"), ("a", "b")]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        SF_.read_edge_list(spark, p).collect()
+
+
+def test_json_column_of_one_late_row(spark, tmp_path):
+    p = write(tmp_path, "rows.json", '{"a": 1}\n' * 500 + '{"a": 2, "late": "x"}\n')
+    assert SF_.read_json(spark, p).where("late = 'x'").count() == 1
+
+
+def test_shared_folder_is_required_on_a_cluster():
+    from tidewater.session import checkpoint_root
+
+    class Context:
+        master = "spark://somewhere:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Conf:
+        get = staticmethod(lambda key, default=None: default)
+
+    class Session:
+        sparkContext, conf = Context, Conf
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session)
+
+
 def test_text_and_tsv_roundtrip(spark, tmp_path):
     df = spark.createDataFrame([("a b",), ("",), ("c",)], "value string")
     out = SK.write_text(df.repartition(2), str(tmp_path / "t"))

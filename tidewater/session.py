@@ -39,11 +39,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment (a distributed file system path);
-    we only read it. Only where it is unset (local tests) do we create one.
+    we only read it. Only where it is unset and Spark runs in one process (``local*``,
+    tests) do we create one; elsewhere executors would write to their own disks, so an
+    unset folder raises.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="run-", dir=os.environ.get("TIDEWATER_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", root)
     if not sc.getCheckpointDir():

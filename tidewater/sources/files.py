@@ -46,29 +46,27 @@ def read_delimited(spark: SparkSession, path: str, schema: str | T.StructType, s
     )
 
 
-def read_json(spark: SparkSession, path: str, schema: str | T.StructType | None = None,
-              sampling_ratio: float = 1.0) -> DataFrame:
-    """JSON lines. Pass ``schema`` in production: inference is an extra full scan
-    (or a sampled one with ``sampling_ratio``)."""
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
-    else:
-        reader = reader.option("samplingRatio", str(sampling_ratio))
+def read_json(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame:
+    """JSON lines. Pass ``schema`` in production: inference reads every line once more (a
+    sample could miss a column)."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.json(path)
 
 
-def read_edge_list(spark: SparkSession, path: str, skip_comments: bool = True) -> DataFrame:
-    """Whitespace-separated ``src dst`` lines → ``edges(src bigint, dst bigint)``.
-    Lines starting with ``#`` are skipped; extra fields are ignored."""
+def read_edge_list(spark: SparkSession, path: str, skip_comments: bool = True, ids: str = "bigint") -> DataFrame:
+    """Whitespace-separated ``src dst`` lines → ``edges(src, dst)`` of type ``ids``.
+    Lines starting with ``#`` and lines of fewer than two fields are skipped, extra fields
+    are ignored. ``ids="string"`` keeps the tokens as they are; with ``bigint`` a token
+    that is no number stops the job."""
     lines = spark.read.text(path)
     if skip_comments:
         lines = lines.filter(~F.col("value").startswith("#"))
     parts = F.split(F.trim(F.col("value")), r"\s+")
     return (
         lines.filter(F.trim(F.col("value")) != "")
-        .select(parts.getItem(0).cast("bigint").alias("src"), parts.getItem(1).cast("bigint").alias("dst"))
-        .filter(F.col("src").isNotNull() & F.col("dst").isNotNull())
+        .select(F.get(parts, 0).alias("src"), F.get(parts, 1).alias("dst"))
+        .filter(F.col("dst").isNotNull())
+        .select(F.col("src").cast(ids).alias("src"), F.col("dst").cast(ids).alias("dst"))
     )
 
 
