@@ -66,7 +66,16 @@ def test_cogroup_apply(spark):
 
 def test_sample_n(spark):
     df = spark.range(100)
-    s = K.sample_n(df, 10, seed=3)
+    s = K.sample_n(df, 10, "id", seed=3)
+    assert rows(s) == rows(K.sample_n(df.repartition(7), 10, "id", seed=3))
     got = [r.id for r in s.collect()]
     assert len(got) == 10 and len(set(got)) == 10
-    assert K.sample_n(spark.range(4), 10).count() == 4
+    assert K.sample_n(spark.range(4), 10, "id").count() == 4
+
+
+def test_reduce_by_key_built_in_is_partial(spark):
+    df = spark.range(100).selectExpr("id % 3 AS k", "id AS v")
+    assert rows(K.reduce_by_key(df, "k", "v", "max")) == [(0, 99), (1, 97), (2, 98)]
+    assert rows(K.reduce_by_key(df, "k", "v", "sum")) == rows(K.reduce_by_key(df, "k", "v", lambda a, b: a + b))
+    plan = df.sparkSession._jvm.PythonSQLUtils.explainString(K.reduce_by_key(df, "k", "v", "sum")._jdf.queryExecution(), "simple")
+    assert "partial_sum" in plan

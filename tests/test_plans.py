@@ -55,15 +55,45 @@ def test_ride_reader_gzip_csv(spark, tmp_path):
     assert [tuple(r) for r in back.collect()] == [tuple(r) for r in df.collect()]
 
 
-def test_bounded_broadcast_counts_when_unproven(spark, capsys):
+def test_bounded_broadcast_only_below_the_bound(spark, capsys):
     from tidewater.operators.relational import bounded_broadcast
     big = spark.range(1000).withColumnRenamed("id", "k")
     small = spark.range(5).withColumnRenamed("id", "k")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        hinted = plan(capsys, big.join(bounded_broadcast(small, max_rows=10), "k"))
-        plain = plan(capsys, big.join(bounded_broadcast(small, max_rows=2), "k"))
+        hinted = plan(capsys, big.join(bounded_broadcast(small, 5), "k"))
+        plain = plan(capsys, big.join(bounded_broadcast(small, 10**6), "k"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" in hinted
     assert "BroadcastHashJoin" not in plain
+
+
+def test_no_terminal_filter_under_the_watermark(spark, capsys):
+    from tidewater.operators import rides as R
+    from tidewater.plans import derive as D
+    from tidewater.sources.tables import stream_table
+    rides = R.with_terminals(D.rides_from_events(stream_table(spark, "/root/testdata/sf0.001", "events")), spark)
+    for departures in (False, True):
+        capsys.readouterr()
+        R.terminal_hourly(rides, departures, watermark="60 seconds").explain(True)
+        text = capsys.readouterr().out
+        optimized = text[text.index("== Optimized"):text.index("== Physical")]
+        below = optimized[optimized.index("EventTimeWatermark"):]
+        assert "isnotnull(start_terminal" not in below and "isnotnull(end_terminal" not in below and "is_start" in below
+        assert not any("Filter" in line and "terminal" in line for line in below.splitlines())
+
+
+def test_round_does_not_sort_cached_edges(spark, capsys):
+    from pyspark.sql import functions as F
+    from tidewater.operators import graph as G
+    e = spark.range(1000).select((F.col("id") % 100).alias("src"), F.col("id").alias("dst"))
+    ext, heavy = G._spread_sources(e)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(capsys, ext.join(spark.range(100).withColumnRenamed("id", "src"), G._join_keys(heavy)[0]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = text.splitlines()
+    at = next(i for i, line in enumerate(lines) if "InMemoryTableScan" in line)
+    assert "Sort [" not in lines[at - 1]

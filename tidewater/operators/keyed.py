@@ -31,14 +31,23 @@ def reduce_sum(df: DataFrame, k: str, v: str, out: str = "total") -> DataFrame:
     return df.groupBy(k).agg(F.sum(v).alias(out))
 
 
-def reduce_by_key(df: DataFrame, k: str, v: str, fn: Callable[[Column, Column], Column],
+# Operations Spark combines in every task before the shuffle.
+BUILT_IN = {"sum": F.sum, "min": F.min, "max": F.max, "product": F.product, "bit_and": F.bit_and, "bit_or": F.bit_or,
+            "bit_xor": F.bit_xor, "and": F.bool_and, "or": F.bool_or}
+
+
+def reduce_by_key(df: DataFrame, k: str, v: str, fn: str | Callable[[Column, Column], Column],
                   out: str = "reduced") -> DataFrame:
-    """``reduceByKey(fn)`` for any associative, commutative ``fn`` on Columns.
+    """``reduceByKey(fn)`` for any associative, commutative ``fn``.
 
-    Two levels, like a combiner and a reducer: values are first folded per key
-    within each input split (bounded by the split size), then the per-split
-    results are folded per key (at most one per split). No list grows with a key.
+    A name of ``BUILT_IN`` is a partial aggregate: one value per key and task is shuffled.
+    Any other ``fn`` on Columns has no partial form in Spark: the values of a key and input
+    split are shuffled and folded there first (bounded by the split), then the results of
+    the splits are folded per key, so no list grows with a key.
     """
+    if isinstance(fn, str):
+        return df.groupBy(k).agg(BUILT_IN[fn](v).alias(out))
+
     def fold(arr: Column) -> Column:
         return F.aggregate(F.slice(arr, 2, F.size(arr)), F.element_at(arr, 1), fn)
 
@@ -88,7 +97,8 @@ def cogroup_apply(left: DataFrame, right: DataFrame, k: str, fn: Callable[[pd.Da
     return left.groupBy(k).cogroup(right.groupBy(k)).applyInPandas(fn, schema=schema)
 
 
-def sample_n(df: DataFrame, n: int, seed: int = 7) -> DataFrame:
-    """Exactly ``n`` rows (or all, if fewer) without replacement, uniform by a seeded
-    random key; each task keeps only its ``n`` smallest keys."""
-    return df.orderBy(F.rand(seed)).limit(n)
+def sample_n(df: DataFrame, n: int, key: str, seed: int = 7) -> DataFrame:
+    """Exactly ``n`` rows (or all, if fewer) without replacement: those with the smallest
+    seeded hash of ``key``, so the sample does not depend on the partitions. Each task
+    keeps only its ``n`` smallest hashes."""
+    return df.orderBy(F.sha2(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")), 256), key).limit(n)

@@ -5,17 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Above this many rows a side is never broadcast; Spark plans a shuffle join instead.
-BROADCAST_MAX_ROWS = 1_000_000
+# Above this many rows a side gets no hint; AQE decides from measured bytes.
+BROADCAST_MAX_ROWS = 10_000
 
 
-def bounded_broadcast(df: DataFrame, proven_rows: int | None = None, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint a broadcast only for a side whose size is bounded.
-
-    ``proven_rows`` is a bound known from the plan (a ``limit``, a fixed list, a
-    group count over a closed domain). Without it the rows are counted first (one
-    small job) and the hint is given only under ``max_rows``.
-    """
-    if proven_rows is None:
-        proven_rows = df.count()
-    return F.broadcast(df) if proven_rows <= max_rows else df
+def bounded_broadcast(df: DataFrame, proven_rows: int) -> DataFrame:
+    """Hint a broadcast for a side of narrow rows whose number is bounded by the plan
+    (``proven_rows``: a ``limit``, a fixed list, a group count over a closed domain)."""
+    return F.broadcast(df) if proven_rows <= BROADCAST_MAX_ROWS else df
