@@ -83,6 +83,13 @@ def src_json(spark, sf):
     return SF.read_json(spark, path, schema=cust.schema)
 
 
+@query
+def src_json_inferred(spark, sf):
+    path = scratch_path(spark, "orders-json")
+    _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice").write.json(path)
+    return SF.read_json(spark, path)
+
+
 def _people(spark, sf) -> DataFrame:
     """``name, age`` lines with a blank after the comma, read as delimited text."""
     path = scratch_path(spark, "people")
@@ -127,19 +134,20 @@ def proj_arith(spark, sf):
 
 @query
 def proj_concat(spark, sf):
-    """SQL result used as a row source: ``'Name: ' + name`` of the teenagers."""
-    return sql_filter_range(spark, sf).select(F.concat(F.lit("Name: "), F.col("name")).alias("line"))
+    """SQL result used as a row source of labelled lines."""
+    return sql_filter_range(spark, sf).select(F.concat(F.lit("customer/"), F.col("c_name")).alias("line"))
 
 
 @query
 def sql_filter_range(spark, sf):
-    _people(spark, sf).createOrReplaceTempView("people")
-    return spark.sql("SELECT name FROM people WHERE age >= 13 AND age <= 19")
+    _t(spark, sf, "customer").createOrReplaceTempView("customer_balances")
+    return spark.sql("SELECT c_name, c_acctbal FROM customer_balances WHERE c_acctbal >= :low AND c_acctbal <= :high",
+                     args={"low": 1500, "high": 4200})
 
 
 @query
 def sql_filter_eq(spark, sf):
-    return L.sql_forbidden(spark, _logs(spark, sf))
+    return L.requests_with_status(spark, _logs(spark, sf), "requests", 403)
 
 
 @query
@@ -184,7 +192,7 @@ def kv_keys_values(spark, sf):
 @query
 def kv_map_both(spark, sf):
     kv = _kv(spark, sf)
-    return kv.select(F.concat("k", F.lit("_wiser")).alias("k"), (F.col("v") + 1).alias("v"))
+    return kv.select(F.concat("k", F.lit("/next")).alias("k"), (F.col("v") + 1).alias("v"))
 
 
 @query
@@ -213,6 +221,12 @@ def kv_reduce_general(spark, sf):
     return K.reduce_by_key(li, "l_suppkey", "q", lambda a, b: a + b, out="total")
 
 
+@query
+def kv_reduce_builtin(spark, sf):
+    li = _t(spark, sf, "lineitem").select("l_suppkey", F.col("l_partkey").cast("bigint").alias("p"))
+    return K.reduce_by_key(li, "l_suppkey", "p", "bit_xor", out="mixed")
+
+
 @query
 def kv_as_map(spark, sf):
     return K.as_map(_t(spark, sf, "lineitem"), "l_orderkey", "l_linenumber", "l_partkey", out="parts")
@@ -227,22 +241,20 @@ def cogroup_lists(spark, sf):
 
 @query
 def sample_n(spark, sf):
-    return K.sample_n(_t(spark, sf, "customer").select("c_custkey", "c_name"), 10, seed=7)
+    return K.sample_n(_t(spark, sf, "customer").select("c_custkey", "c_name"), 10, "c_custkey", seed=7)
 
 
 # ================================================================ joins
 
-def _building(spark, sf) -> DataFrame:
-    return _t(spark, sf, "customer").filter(F.col("c_mktsegment") == "BUILDING").select("c_custkey", "c_name")
-
-
-def _urgent(spark, sf) -> DataFrame:
-    return _t(spark, sf, "orders").filter(F.col("o_orderpriority") == "1-URGENT").select("o_orderkey", "o_custkey")
+# Joins pair an order with the customer this many keys before its own, so both tables keep
+# rows without a partner.
+SHIFT = 50
 
 
 def _join(spark, sf, how: str) -> DataFrame:
-    b, u = _building(spark, sf), _urgent(spark, sf)
-    return b.join(u, b["c_custkey"] == u["o_custkey"], how)
+    c = _t(spark, sf, "customer").select("c_custkey", "c_name")
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    return c.join(o, c["c_custkey"] + SHIFT == o["o_custkey"], how)
 
 
 @query
@@ -284,11 +296,11 @@ def agg_count(spark, sf):
 
 @query
 def group_count_null_key(spark, sf):
-    """Orders counted by the nation of their BUILDING customer; other orders form the
-    null group."""
+    """Orders counted by the nation of the customer ``SHIFT`` keys before theirs; orders
+    without one form the null group."""
     o = _t(spark, sf, "orders")
-    c = _t(spark, sf, "customer").filter(F.col("c_mktsegment") == "BUILDING").select("c_custkey", "c_nationkey")
-    return o.join(c, o["o_custkey"] == c["c_custkey"], "left").groupBy("c_nationkey").count()
+    c = _t(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    return o.join(c, o["o_custkey"] == c["c_custkey"] + SHIFT, "left").groupBy("c_nationkey").count()
 
 
 # ================================================================ text
@@ -438,6 +450,16 @@ def xml_attributes(spark, sf):
                         TK.attribute(v, "DisplayName").alias("DisplayName"))
 
 
+@query
+def xml_attribute_map(spark, sf):
+    """Lines that name ``DisplayName`` twice: the last value stays."""
+    lines = D.attribute_lines(_t(spark, sf, "customer"))
+    twice = lines.select(F.regexp_replace("value", " />$", ' DisplayName="renamed" />').alias("value"))
+    m = F.col("m")
+    return twice.select(TK.attribute_map(F.col("value")).alias("m")).select(
+        m["Id"].alias("Id"), m["Reputation"].alias("Reputation"), m["DisplayName"].alias("DisplayName"), F.size("m").alias("n"))
+
+
 @query
 def topk_distinct_key(spark, sf):
     return TK.top_distinct_scores(_records(spark, sf), 10)
@@ -529,6 +551,14 @@ def _rides_stream(spark, sf) -> DataFrame:
     return R.with_terminals(D.rides_from_events(stream_table(spark, sf, "events")), spark)
 
 
+def _stream_hourly(spark, sf, name: str, **kw) -> DataFrame:
+    """All windows of the finite stream, the last one too: every micro-batch logs the windows
+    it changed and the log is merged at the end of the input (append mode would hold back
+    the windows the watermark has not passed)."""
+    hourly = R.terminal_hourly(_rides_stream(spark, sf), watermark="60 seconds", **kw)
+    return SR.run_update_log(hourly, spark, name, keys=["window", "terminal"])
+
+
 @query
 def stream_terminal_events(spark, sf):
     ev = R.terminal_events(_rides_stream(spark, sf)).select("ride_id", "terminal", "n", "hour")
@@ -537,27 +567,26 @@ def stream_terminal_events(spark, sf):
 
 @query
 def stream_terminal_events_hourly(spark, sf):
-    hourly = R.terminal_hourly(_rides_stream(spark, sf), watermark="60 seconds")
-    return R.report(SR.run_append(hourly, spark, "stream_terminal_events_hourly"), "terminal", "hour", "n")
+    return R.report(_stream_hourly(spark, sf, "stream_terminal_events_hourly"), "terminal", "hour", "n")
 
 
 @query
 def stream_busiest_per_hour(spark, sf):
-    out = R.busiest_terminal(R.terminal_hourly(_rides_stream(spark, sf), watermark="60 seconds"))
-    return R.report(SR.run_append(out, spark, "stream_busiest_per_hour"), "terminal", "hour", "n")
+    hourly = _stream_hourly(spark, sf, "stream_busiest_per_hour")
+    return R.report(R.busiest_terminal(hourly), "terminal", "hour", "n")
 
 
 @query
 def stream_busiest_departures_hour(spark, sf):
-    hourly = R.terminal_hourly(_rides_stream(spark, sf), departures_only=True, watermark="60 seconds")
-    out = R.busiest_terminal(hourly)
-    return R.report(SR.run_append(out, spark, "stream_busiest_departures_hour"), "terminal", "hour", "n")
+    hourly = _stream_hourly(spark, sf, "stream_busiest_departures_hour", departures_only=True)
+    return R.report(R.busiest_terminal(hourly), "terminal", "hour", "n")
 
 
 @query
 def stream_rides_hourly(spark, sf):
-    out = R.both_endpoints_hourly(_rides_stream(spark, sf), watermark="2 seconds")
-    return R.report(SR.run_append(out, spark, "stream_rides_hourly"), "terminal", "hour", "n")
+    hourly = R.both_endpoints_hourly(_rides_stream(spark, sf), watermark="2 seconds")
+    out = SR.run_update_log(hourly, spark, "stream_rides_hourly", keys=["window", "terminal", "hour"])
+    return R.report(out, "terminal", "hour", "n")
 
 
 @query
@@ -594,7 +623,7 @@ def graph_load(spark, sf):
 
 @query
 def graph_edges_distinct(spark, sf):
-    return SF.read_edge_list(spark, _edge_file(spark, sf)).distinct()
+    return SF.read_edge_list(spark, _edge_file(spark, sf), ids="string").distinct()
 
 
 @query
@@ -658,7 +687,7 @@ def graph_edge_weights(spark, sf):
 
 @query
 def graph_neighbors(spark, sf):
-    return G.neighbors_out(_graph(spark, sf)[1])
+    return G.neighbors(_graph(spark, sf)[1])
 
 
 @query
@@ -697,8 +726,8 @@ def pagerank_named(spark, sf):
 
 @query
 def pagerank_top10(spark, sf):
-    ranks = G.pagerank_join(_rank_edges(spark, sf), 20).select("id", _rank_key())
-    return ranks.orderBy(F.desc("rank_e6"), F.asc("id")).limit(10)
+    ranks = G.pagerank_join(_rank_edges(spark, sf), 20)
+    return ranks.orderBy(F.desc("rank"), F.asc("id")).limit(10).select("id", _rank_key())
 
 
 @query
@@ -706,4 +735,4 @@ def pagerank_contributions(spark, sf):
     e = _rank_edges(spark, sf).distinct()
     deg = e.groupBy("src").agg(F.count(F.lit(1)).alias("outDeg"))
     ranks = deg.select(F.col("src").alias("id"), F.lit(1.0).alias("rank"))
-    return G.pagerank_contributions(ranks, e.join(deg, "src"))
+    return G.pagerank_contributions(ranks, G.with_out_degree(e))

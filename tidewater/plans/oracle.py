@@ -74,10 +74,6 @@ tev AS (
   SELECT ride_id, is_start, CASE WHEN is_start THEN start_time ELSE end_time END AS event_time,
     CASE WHEN is_start THEN start_terminal ELSE end_terminal END AS terminal,
     CASE WHEN is_start THEN start_hour ELSE end_hour END AS hour
-  FROM rt),
-bounds AS (
-  SELECT max(CASE WHEN is_start THEN start_time ELSE end_time END) AS rec_max,
-         max(CASE WHEN start_terminal IS NOT NULL THEN start_time ELSE end_time END) AS e11_max
   FROM rt)"""
 
 
@@ -87,15 +83,15 @@ def _hourly(where: str = "TRUE") -> str:
   FROM tev WHERE terminal IS NOT NULL AND {where} GROUP BY 1, 2)"""
 
 
-def _busiest(closed: str = "TRUE") -> str:
-    return f"""SELECT window_start, terminal, CAST(hour(window_start - INTERVAL 5 HOUR) AS INTEGER) AS hour, n
+def _busiest() -> str:
+    return """SELECT window_start, terminal, CAST(hour(window_start - INTERVAL 5 HOUR) AS INTEGER) AS hour, n
 FROM (SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY n DESC, terminal) AS rn FROM hourly)
-WHERE rn = 1 AND {closed}"""
+WHERE rn = 1"""
 
 
-def _hourly_report(closed: str = "TRUE") -> str:
-    return f"""SELECT window_start, terminal, CAST(hour(window_start - INTERVAL 5 HOUR) AS INTEGER) AS hour, n
-FROM hourly WHERE {closed}"""
+def _hourly_report() -> str:
+    return """SELECT window_start, terminal, CAST(hour(window_start - INTERVAL 5 HOUR) AS INTEGER) AS hour, n
+FROM hourly"""
 
 
 ENDS = """,
@@ -106,9 +102,6 @@ ends AS (
   SELECT ride_id, et, end_terminal, end_hour FROM e11 WHERE end_terminal IS NOT NULL),
 both_hourly AS (SELECT date_trunc('hour', et) AS window_start, terminal, hour, count(*) AS n FROM ends GROUP BY 1, 2, 3)"""
 
-CLOSED_60 = "window_start + INTERVAL 1 HOUR <= (SELECT rec_max FROM bounds) - INTERVAL 60 SECOND"
-CLOSED_2 = "window_start + INTERVAL 1 HOUR <= (SELECT e11_max FROM bounds) - INTERVAL 2 SECOND"
-
 MIX = "(l_suppkey * 31 + l_linenumber * 17 + l_orderkey)"
 GE = f"""
 ge AS (SELECT l_partkey AS src, {MIX} % (SELECT count(*) FROM part) AS dst, CAST(l_quantity AS INTEGER) AS w
@@ -157,7 +150,7 @@ r(it, id, rank, delta) AS (
       0.15 + 0.85 * coalesce(sum(CASE WHEN NOT x.self THEN r.rank / x.outDeg END), 0) AS rank,
       max(CASE WHEN x.self THEN r.rank END) AS old
     FROM r JOIN adjx x ON x.src = r.id
-    WHERE r.delta > 1e-4 AND r.it < 200
+    WHERE r.delta > 1e-4
     GROUP BY r.it, x.dst)),
 pr AS (SELECT id, rank FROM r WHERE it = (SELECT max(it) FROM r))"""
 
@@ -185,15 +178,16 @@ ORACLE: dict[str, str] = {
     # sources and sinks
     "src_text": "SELECT unnest(string_split(text, chr(10))) AS value FROM documents",
     "src_json": "SELECT * FROM customer",
+    "src_json_inferred": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders",
     "src_delimited": "SELECT c_name AS name, c_nationkey AS age FROM customer",
     "sink_text_roundtrip": "SELECT CAST(c_custkey AS VARCHAR) || ',' || c_name AS value FROM customer",
     "sink_tsv_roundtrip": "SELECT o_custkey AS key, count(*) AS value FROM orders GROUP BY 1",
     # projections and filters
     "proj_select": "SELECT c_name, c_mktsegment FROM customer",
     "proj_arith": "SELECT c_name, c_acctbal + 1 AS acctbal_plus_one FROM customer",
-    "proj_concat": "SELECT 'Name: ' || c_name AS line FROM customer WHERE c_nationkey >= 13 AND c_nationkey <= 19",
-    "sql_filter_range": "SELECT c_name AS name FROM customer WHERE c_nationkey BETWEEN 13 AND 19",
-    "sql_filter_eq": "WITH " + LOGS + "\nSELECT dateTime, endpoint FROM logs WHERE responseCode = 403",
+    "proj_concat": "SELECT 'customer/' || c_name AS line FROM customer WHERE c_acctbal BETWEEN 1500 AND 4200",
+    "sql_filter_range": "SELECT c_name, c_acctbal FROM customer WHERE c_acctbal BETWEEN 1500 AND 4200",
+    "sql_filter_eq": "WITH " + LOGS + "\nSELECT ipAddress, method, endpoint FROM logs WHERE responseCode = 403",
     "filter_predicate": "SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 250000",
     "map_scalar": "SELECT l_orderkey, l_linenumber, pow(l_quantity, 2) AS sq FROM lineitem",
     "map_to_array": "SELECT l_orderkey, l_linenumber, range(0, CAST(l_linenumber AS BIGINT)) AS xs FROM lineitem",
@@ -201,12 +195,14 @@ ORACLE: dict[str, str] = {
     # key-value
     "kv_keys_values": "SELECT 'key' AS part, c_name AS item FROM customer "
                       "UNION ALL SELECT 'value', CAST(c_nationkey AS VARCHAR) FROM customer",
-    "kv_map_both": "SELECT c_name || '_wiser' AS k, c_nationkey + 1 AS v FROM customer",
+    "kv_map_both": "SELECT c_name || '/next' AS k, c_nationkey + 1 AS v FROM customer",
     "kv_map_values": "SELECT c_name AS k, pow(c_nationkey, 2) AS v FROM customer",
     "kv_lookup": "SELECT o_orderkey FROM orders WHERE o_custkey = 10",
     "kv_group_list": "SELECT l_orderkey, list_sort(list(l_partkey)) AS parts FROM lineitem GROUP BY 1",
     "kv_reduce_sum": "SELECT l_suppkey, sum(l_quantity) AS total FROM lineitem GROUP BY 1",
     "kv_reduce_general": "SELECT l_suppkey, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS total FROM lineitem GROUP BY 1",
+    "kv_reduce_builtin": "SELECT l_suppkey, bit_xor(CAST(l_partkey AS BIGINT)) AS mixed FROM lineitem GROUP BY 1",
+    "sample_n": "SELECT c_custkey, c_name FROM customer ORDER BY sha256('7:' || c_custkey), c_custkey LIMIT 10",
     "kv_as_map": """SELECT l_orderkey, map(list(l_linenumber ORDER BY l_linenumber), list(p ORDER BY l_linenumber)) AS parts
 FROM (SELECT l_orderkey, l_linenumber, max(l_partkey) AS p FROM lineitem GROUP BY 1, 2) GROUP BY 1""",
     "cogroup_lists": """WITH a AS (SELECT l_orderkey AS orderkey, list_sort(list(l_linenumber)) AS lv FROM lineitem GROUP BY 1),
@@ -215,16 +211,16 @@ SELECT coalesce(a.orderkey, b.orderkey) AS orderkey,
   coalesce(a.lv, CAST([] AS INTEGER[])) AS left_values, coalesce(b.rv, CAST([] AS VARCHAR[])) AS right_values
 FROM a FULL JOIN b ON a.orderkey = b.orderkey""",
     # joins
-    "join_inner": "WITH b AS ({b}), u AS ({u}) SELECT c_custkey, c_name, o_orderkey, o_custkey FROM b JOIN u ON c_custkey = o_custkey",
-    "join_left": "WITH b AS ({b}), u AS ({u}) SELECT c_custkey, c_name, o_orderkey, o_custkey FROM b LEFT JOIN u ON c_custkey = o_custkey",
-    "join_right": "WITH b AS ({b}), u AS ({u}) SELECT c_custkey, c_name, o_orderkey, o_custkey FROM b RIGHT JOIN u ON c_custkey = o_custkey",
-    "join_full": "WITH b AS ({b}), u AS ({u}) SELECT c_custkey, c_name, o_orderkey, o_custkey FROM b FULL JOIN u ON c_custkey = o_custkey",
-    "join_left_semi": "WITH b AS ({b}), u AS ({u}) SELECT c_custkey, c_name FROM b WHERE c_custkey IN (SELECT o_custkey FROM u)",
-    "join_left_anti": "WITH b AS ({b}), u AS ({u}) SELECT c_custkey, c_name FROM b WHERE NOT EXISTS (SELECT 1 FROM u WHERE o_custkey = c_custkey)",
+    "join_inner": "WITH b AS ({b}), u AS ({u}) SELECT c_custkey, c_name, o_orderkey, o_custkey FROM b JOIN u ON c_custkey + 50 = o_custkey",
+    "join_left": "WITH b AS ({b}), u AS ({u}) SELECT c_custkey, c_name, o_orderkey, o_custkey FROM b LEFT JOIN u ON c_custkey + 50 = o_custkey",
+    "join_right": "WITH b AS ({b}), u AS ({u}) SELECT c_custkey, c_name, o_orderkey, o_custkey FROM b RIGHT JOIN u ON c_custkey + 50 = o_custkey",
+    "join_full": "WITH b AS ({b}), u AS ({u}) SELECT c_custkey, c_name, o_orderkey, o_custkey FROM b FULL JOIN u ON c_custkey + 50 = o_custkey",
+    "join_left_semi": "WITH b AS ({b}), u AS ({u}) SELECT c_custkey, c_name FROM b WHERE c_custkey + 50 IN (SELECT o_custkey FROM u)",
+    "join_left_anti": "WITH b AS ({b}), u AS ({u}) SELECT c_custkey, c_name FROM b WHERE NOT EXISTS (SELECT 1 FROM u WHERE o_custkey = c_custkey + 50)",
     # aggregates
     "agg_count": "SELECT count(*) AS n FROM lineitem",
     "group_count_null_key": """SELECT c.c_nationkey, count(*) AS count FROM orders o
-LEFT JOIN (SELECT c_custkey, c_nationkey FROM customer WHERE c_mktsegment = 'BUILDING') c ON o.o_custkey = c.c_custkey
+LEFT JOIN customer c ON o.o_custkey = c.c_custkey + 50
 GROUP BY 1""",
     # text
     "wordcount_whitespace": WORDS_WS,
@@ -270,9 +266,12 @@ WHERE c = (SELECT max(c) FROM per q WHERE q.dayOfWeek = p.dayOfWeek)""",
     "xml_attributes": """SELECT CAST(c_custkey AS VARCHAR) AS Id,
   CASE WHEN c_acctbal >= 0 THEN CAST(CAST(trunc(c_acctbal) AS INTEGER) AS VARCHAR) END AS Reputation,
   c_name AS DisplayName FROM customer""",
+    "xml_attribute_map": """SELECT CAST(c_custkey AS VARCHAR) AS Id,
+  CASE WHEN c_acctbal >= 0 THEN CAST(CAST(trunc(c_acctbal) AS INTEGER) AS VARCHAR) END AS Reputation,
+  'renamed' AS DisplayName, CASE WHEN c_acctbal >= 0 THEN 3 ELSE 2 END AS n FROM customer""",
     "topk_distinct_key": "WITH " + RECS + """
-SELECT score, max(id) AS id, arg_max(value, id) AS value FROM recs GROUP BY score ORDER BY score DESC LIMIT 10""",
-    "topk_records": "WITH " + RECS + "\nSELECT id, score, value FROM recs ORDER BY score DESC, id LIMIT 10",
+SELECT score, CAST(max(id) AS VARCHAR) AS id, arg_max(value, id) AS value FROM recs GROUP BY score ORDER BY score DESC LIMIT 10""",
+    "topk_records": "WITH " + RECS + "\nSELECT CAST(id AS VARCHAR) AS id, score, value FROM recs ORDER BY score DESC, recs.id LIMIT 10",
     # rides
     "grid_cell": "WITH " + RIDES + "\nSELECT ride_id, start_cell, end_cell FROM rides",
     "hour_of_day_tz": "WITH " + RIDES + "\nSELECT ride_id, start_hour, end_hour FROM rt",
@@ -291,13 +290,13 @@ SELECT ride_id, coalesce(start_terminal, end_terminal) AS terminal,
   CASE WHEN start_terminal IS NOT NULL THEN start_hour ELSE end_hour END AS hour
 FROM rt WHERE start_terminal IS NOT NULL OR end_terminal IS NOT NULL""",
     "rides_both_endpoints": "WITH " + RIDES + ENDS + "\nSELECT window_start, terminal, hour, n FROM both_hourly",
-    "stream_rides_hourly": "WITH " + RIDES + ENDS + f"\nSELECT window_start, terminal, hour, n FROM both_hourly WHERE {CLOSED_2}",
+    "stream_rides_hourly": "WITH " + RIDES + ENDS + "\nSELECT window_start, terminal, hour, n FROM both_hourly",
     "rides_terminal_hourly": "WITH " + RIDES + ",\n" + _hourly() + "\n" + _hourly_report(),
-    "stream_terminal_events_hourly": "WITH " + RIDES + ",\n" + _hourly() + "\n" + _hourly_report(CLOSED_60),
+    "stream_terminal_events_hourly": "WITH " + RIDES + ",\n" + _hourly() + "\n" + _hourly_report(),
     "rides_busiest_hour": "WITH " + RIDES + ",\n" + _hourly() + "\n" + _busiest(),
-    "stream_busiest_per_hour": "WITH " + RIDES + ",\n" + _hourly() + "\n" + _busiest(CLOSED_60),
+    "stream_busiest_per_hour": "WITH " + RIDES + ",\n" + _hourly() + "\n" + _busiest(),
     "rides_busiest_departures_hour": "WITH " + RIDES + ",\n" + _hourly("is_start") + "\n" + _busiest(),
-    "stream_busiest_departures_hour": "WITH " + RIDES + ",\n" + _hourly("is_start") + "\n" + _busiest(CLOSED_60),
+    "stream_busiest_departures_hour": "WITH " + RIDES + ",\n" + _hourly("is_start") + "\n" + _busiest(),
     "tumbling_count": "SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY 1, 2",
     "busiest_per_hour": """SELECT window_start, event_type, n FROM (
   SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY n DESC, event_type) AS rn
@@ -306,7 +305,7 @@ WHERE rn = 1""",
     "stream_wordcount": WORDS_RE,
     # graphs
     "graph_load": "WITH " + GE + "\nSELECT src, dst FROM ge",
-    "graph_edges_distinct": "WITH " + GE + "\nSELECT DISTINCT src, dst FROM ge",
+    "graph_edges_distinct": "WITH " + GE + "\nSELECT DISTINCT CAST(src AS VARCHAR) AS src, CAST(dst AS VARCHAR) AS dst FROM ge",
     "graph_triplets": "WITH " + GE + """
 SELECT e.src, e.dst, s.p_name || ' likes ' || d.p_name AS line
 FROM ge e JOIN part s ON s.p_partkey = e.src JOIN part d ON d.p_partkey = e.dst""",
@@ -325,7 +324,7 @@ FROM part p JOIN i ON i.id = p.p_partkey LEFT JOIN o ON o.id = p.p_partkey""",
     "graph_edge_weights": "WITH " + RE + """,
 deg AS (SELECT src, count(*) AS outDeg FROM re GROUP BY src)
 SELECT re.src, re.dst, CAST(1 AS DOUBLE) / deg.outDeg AS weight FROM re JOIN deg USING (src)""",
-    "graph_neighbors": "WITH " + GE + "\nSELECT src AS id, list_sort(list(dst)) AS neighbors FROM ge GROUP BY 1",
+    "graph_neighbors": "WITH " + GE + "\nSELECT src AS id, dst AS neighbor FROM ge",
     "graph_triangles": "WITH " + GE + """,
 und AS (SELECT DISTINCT least(src, dst) AS a, greatest(src, dst) AS b FROM ge WHERE src <> dst),
 tri AS (SELECT x.a AS p, x.b AS q, y.b AS r FROM und x JOIN und y ON y.a = x.b JOIN und z ON z.a = x.a AND z.b = y.b),
@@ -348,14 +347,14 @@ SELECT id, CAST(level AS INTEGER) AS level FROM bfs""",
     "pagerank_join_iterative": PR_JOIN + f"\nSELECT id, {_key()} FROM pr",
     "pagerank_converged": PR_CONV + f"\nSELECT id, {_key()} FROM pr",
     "pagerank_named": PR_CONV + f"\nSELECT pr.id, p.p_name AS name, {_key('pr.rank')} FROM pr JOIN part p ON p.p_partkey = pr.id",
-    "pagerank_top10": PR_JOIN + f"\nSELECT id, {_key()} FROM pr ORDER BY rank_e6 DESC, id LIMIT 10",
+    "pagerank_top10": PR_JOIN + f"\nSELECT id, {_key()} FROM pr ORDER BY rank DESC, id LIMIT 10",
     "pagerank_contributions": "WITH " + RE + """,
 de AS (SELECT DISTINCT src, dst FROM re),
 deg AS (SELECT src, count(*) AS outDeg FROM de GROUP BY src)
 SELECT de.src, de.dst, CAST(1.0 AS DOUBLE) / deg.outDeg AS contrib FROM de JOIN deg USING (src)""",
 }
 
-_B = "SELECT c_custkey, c_name FROM customer WHERE c_mktsegment = 'BUILDING'"
-_U = "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderpriority = '1-URGENT'"
+_B = "SELECT c_custkey, c_name FROM customer"
+_U = "SELECT o_orderkey, o_custkey FROM orders"
 for _k in [k for k in ORACLE if k.startswith("join_")]:
     ORACLE[_k] = ORACLE[_k].replace("{b}", _B).replace("{u}", _U)
