@@ -36,9 +36,9 @@ from tidewater.llm.common import read_table
 
 MARK = "▁"
 MODEL_NAME = "piece_bpe_32k.model"
-CACHE_WORDS = 120_000
-ROWS_PER_BATCH = 1000
-MATRIX_CHARS = 40
+CACHE_WORDS = 60_000
+ROWS_PER_BATCH = 400
+MATRIX_CHARS, MATRIX_ROWS = 40, 4096
 NONE = np.iinfo(np.int32).max
 
 
@@ -195,8 +195,8 @@ class Codec:
         words = sorted(words, key=len)
         short = [w for w in words if len(w) < MATRIX_CHARS]
         symbols: list[list[int]] = []
-        for at in range(0, len(short), 20_000):
-            symbols += self.merged_rows([MARK + w.replace(" ", MARK) for w in short[at:at + 20_000]])
+        for at in range(0, len(short), MATRIX_ROWS):
+            symbols += self.merged_rows([MARK + w.replace(" ", MARK) for w in short[at:at + MATRIX_ROWS]])
         symbols += [self.merged_heap(MARK + w.replace(" ", MARK)) for w in words[len(short):]]
         for w, syms in zip(words, symbols):
             got = [shown[s] for s in syms if s >= 0]
