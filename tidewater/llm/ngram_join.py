@@ -40,7 +40,7 @@ N, THRESHOLD = 5, 0.8
 BANDS, ROWS = 28, 5
 CAP = 256
 BLOCK_NODES, BLOCK_GRAMS = 2048, 2_000_000
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
 MIX1, MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
