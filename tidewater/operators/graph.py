@@ -194,12 +194,17 @@ def _salt_state(src_frame: DataFrame, heavy: DataFrame | None) -> DataFrame:
 
 # ---------------------------------------------------------------- components
 
+# Groups of up to this many (id, id) rows are no load for a task: a round then keeps the
+# plain join, which needs fewer stages.
+HOT_LEAST = 20_000
+
+
 def _to_least(links: DataFrame, least: Column, total: int, rounds: _Rounds) -> DataFrame:
     """``links(u, v)`` with ``m``, the least of u's group; a hot ``u`` is not gathered."""
     m = links.groupBy("u").agg(least.alias("m"), F.count(F.lit(1)).alias("_n")).persist(StorageLevel.MEMORY_AND_DISK)
     rounds.held.append(m)
     parts = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = m.filter(F.col("_n") > max(1, -(-total // (2 * parts)))).take(1)
+    hot = m.filter(F.col("_n") > max(HOT_LEAST, -(-total // (2 * parts)))).take(1)
     joined = attach(links, m, "u", "_n", total) if hot else links.join(m, "u")
     return joined.drop("_n")
 
