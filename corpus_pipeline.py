@@ -3,30 +3,41 @@ tokenizing. Every stage takes all rows its predecessor kept."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm import exact_dedup, language_id, mix_sources, ngram_join, sentencepiece_codec
-from tidewater.llm.common import fresh, read_table, written
+from tidewater.llm.common import fresh, numbered, read_table, written
+
+
+def _filtered(docs: DataFrame, judge: Callable[[DataFrame], DataFrame], results: list[str], condition: str) -> DataFrame:
+    """The rows of ``docs`` whose ``results``, as ``judge`` adds them, meet ``condition``; columns
+    of ``docs`` that are named like a result keep their values."""
+    clash = [c for c in docs.columns if c.lower() in results]
+    away = dict(zip(clash, fresh(docs, *clash)))
+    judged = judge(docs.withColumnsRenamed(away)).where(condition)
+    return judged.select(*[F.col(away.get(c, c)).alias(c) for c in docs.columns])
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts that get a language; those without a letter go."""
     protos = language_id.trained_on_folds(docs)
-    judged = language_id.identify(docs, protos)
-    return judged.where(F.col("lang_pred") != "und").select(*docs.columns)
+    return _filtered(docs, lambda d: language_id.identify(d, protos), ["lang_pred", "score"], "lang_pred <> 'und'")
 
 
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The row with the smallest id of every group of equal texts."""
-    return exact_dedup.exact_dedup(docs).where("kept").select(*docs.columns)
+    return _filtered(docs, exact_dedup.exact_dedup, ["keep_id", "group_size", "kept", "text_sha256"], "kept")
 
 
 def distinct_grams(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The row with the smallest id of every class of near copies."""
-    (keep,) = fresh(docs, "keep_id")
-    kept = ngram_join.ngram_join(docs).where("kept").select(F.col("doc_id").alias(keep))
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col(keep)), "left_semi")
+    """The row with the smallest id of every class of near copies; one row too where ids repeat."""
+    row, keep = fresh(docs, "row_no", "keep_no")
+    rows = numbered(docs, row)
+    kept = ngram_join.ngram_join(rows, row_col=row).where("kept").select(F.col(row).alias(keep))
+    return rows.join(kept, F.col(row) == F.col(keep), "left_semi").select(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -251,6 +251,38 @@ def test_gradients_match_differences():
         assert g[name][at] == pytest.approx(((up - down) / (2 * step) * d).sum(), rel=0.02, abs=1e-4)
 
 
+def test_stages_on_odd_rows(spark):
+    stages = dict(pytest.importorskip("corpus_pipeline").STAGES)
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score string, kept string, text_sha256 int"
+    extra = ("mine", "own", 7)
+    base = [f"word{i}" for i in range(60)]
+    near = " ".join(base[:-1] + ["other"])
+    long = "long words " * 15_000
+    rows = [(5, " ".join(base), "en", "a", 1, *extra), (5, near, "en", "a", 1, *extra), (None, near, None, None, None, *extra),
+            (None, near, None, None, None, *extra), (None, None, None, None, None, None, None, None),
+            (8, "", "en", "a", 0, *extra), (9, long, "en", "b", 1, *extra), (9, long, "en", "b", 1, *extra), (9, "two words", "en", "b", 1, *extra)]
+    full, empty = spark.createDataFrame(rows, schema), spark.createDataFrame([], schema)
+    found = {}
+    for name, stage in stages.items():
+        assert stage(spark, empty, SF).collect() == []
+        out = stage(spark, full, SF)
+        found[name] = out.collect()
+        if name != "sentencepiece":
+            assert out.columns == full.columns
+            assert {(r.score, r.kept, r.text_sha256) for r in found[name]} <= {extra, (None, None, None)}
+    assert Counter(r.doc_id for r in found["language_id"]) == {5: 2, None: 2, 9: 3}
+    assert Counter(r.doc_id for r in found["exact_dedup"]) == {5: 2, 8: 1, 9: 2}
+    # both wordless texts are their own classes; each other class leaves one row
+    assert Counter(r.doc_id for r in found["ngram_join"]) == {5: 1, None: 1, 8: 1, 9: 2}
+    sizes, taken = Counter(), Counter()
+    for r in rows:
+        sizes[r[3]] += len((r[1] or "").split())
+    for r in found["mix_sources"]:
+        taken[r.source] += len(r.text.split())
+    assert sum(sizes.values()) - 3 <= sum(taken.values()) <= sum(sizes.values())
+    assert len(found["sentencepiece"]) == len(rows) and sum(r.ids == [] for r in found["sentencepiece"]) == 2
+
+
 def test_pipeline_against_its_parts(spark):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     docs = spark.read.parquet(f"{SF}/documents.parquet")

@@ -28,6 +28,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, row: str) -> DataFrame:
+    """``df`` with a number per row in the column ``row``. Numbers follow partitions, so they
+    are written down once: a second read or a retried task sees the same ones."""
+    return written(df.withColumn(row, F.monotonically_increasing_id()), "rows")
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names close to ``names`` that ``df`` does not have yet."""
     taken = {c.lower() for c in df.columns}

@@ -12,7 +12,7 @@ Weights go round over the sources in code-point order (null last). A target stop
 source is above (one small aggregate per round over the table of sources).
 
 Defined cases: a null text has size 0; null sources form one source; a null id gets one
-fixed key; rows with equal keys are ordered by id and size (equal rows are
+fixed key; rows with equal keys are ordered by id, size and row number (equal rows are
 interchangeable); an empty table or one without words gives targets and takes of 0.
 """
 
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import fresh, read_table, written
+from tidewater.llm.common import fresh, numbered, read_table, written
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
@@ -61,9 +61,11 @@ def source_targets(totals: DataFrame, weights: tuple = WEIGHTS, max_repeat: int
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                 weights: tuple = WEIGHTS, max_repeat: int = MAX_REPEAT, seed: str = "mix",
-                range_rows: int = RANGE_ROWS) -> DataFrame:
-    """One row per document: id, ``source``, ``size``, ``source_size``, ``target``, ``taken``."""
-    sized = written(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
+                range_rows: int = RANGE_ROWS, row_col: str | None = None) -> DataFrame:
+    """One row per document: id, ``source``, ``size``, ``source_size``, ``target``, ``taken``, and
+    ``row_col`` if it is given (a number that only one row has)."""
+    number = F.col(row_col) if row_col else F.lit(0)
+    sized = written(docs.select(F.col(id_col).alias("id"), number.alias("number"), F.col(source_col).alias("source"),
                                 word_count(F.col(text_col)).alias("size"),
                                 random_key(F.col(id_col), seed).alias("key")), "mix-sizes")
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -76,15 +78,15 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     F.col("source").eqNullSafe(F.col("s"))).drop("s", "range_size"))
     rows = ranged.alias("r").join(
         starts.alias("b"), F.col("r.source").eqNullSafe(F.col("b.source")) & (F.col("r.rng") == F.col("b.rng"))).select(
-            "r.id", "r.source", "r.size", "r.key", "r.rng", "b.start", "b.source_size", "b.target")
-    inside = Window.partitionBy("source", "rng").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
+            "r.id", "r.number", "r.source", "r.size", "r.key", "r.rng", "b.start", "b.source_size", "b.target")
+    inside = Window.partitionBy("source", "rng").orderBy("key", "id", "size", "number").rowsBetween(Window.unboundedPreceding, -1)
     prefix = F.col("start") + F.coalesce(F.sum("size").over(inside), F.lit(0))
     budget = F.floor("target").cast("long")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).cast("long")
     rest = budget - epochs * F.col("source_size")
     return (rows.withColumn("before", prefix).withColumn("epochs", epochs)
             .withColumn("last", F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("before"))).cast("long"))
-            .select(F.col("id").alias(id_col), "source", "size", "source_size", "target",
+            .select(*([F.col("number").alias(row_col)] if row_col else []), F.col("id").alias(id_col), "source", "size", "source_size", "target",
                     (F.col("epochs") * F.col("size") + F.col("last")).cast("long").alias("taken"),
                     "epochs", "last"))
 
@@ -93,11 +95,12 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     source_col: str = "source", **kw) -> DataFrame:
     """The mix itself: a row per whole epoch of a document and one cut to the words of the
     last, partial epoch; columns as in ``docs`` (``n_chars`` follows a cut text). Documents
-    without any word carry nothing into the mix. Ids must be unique."""
-    epoch, last, n, size, mix_id = fresh(docs, "epochs", "last", "copy", "size", "mix_id")
-    taken = mix_sources(docs, id_col, text_col, source_col, **kw).where(F.col("taken") > 0).select(
-        F.col(id_col).alias(mix_id), F.col("epochs").alias(epoch), F.col("last").alias(last), F.col("size").alias(size))
-    joined = docs.join(taken, F.col(id_col).eqNullSafe(F.col(mix_id)))
+    without any word carry nothing into the mix. Rows may share an id."""
+    row, epoch, last, n, size, mix_row = fresh(docs, "row_no", "epochs", "last", "copy", "size", "mix_row")
+    rows = numbered(docs, row)
+    taken = mix_sources(rows, id_col, text_col, source_col, row_col=row, **kw).where(F.col("taken") > 0).select(
+        F.col(row).alias(mix_row), F.col("epochs").alias(epoch), F.col("last").alias(last), F.col("size").alias(size))
+    joined = rows.join(taken, F.col(row) == F.col(mix_row))
     copies = joined.withColumn(n, F.explode(F.sequence(F.lit(0), F.col(epoch)))) \
         .where((F.col(n) < F.col(epoch)) | (F.col(last) > 0))
     cut = (F.col(n) == F.col(epoch)) & (F.col(last) < F.col(size))

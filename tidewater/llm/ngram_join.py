@@ -20,7 +20,7 @@ always) and ``kept`` (exactly one row of every class).
 
 Defined cases: words are what is left between white space after lower-casing; null or
 blank text has no grams, links to nothing and is its own class; equal rows are links of
-each other; null ids sort last; an empty table gives no rows; other columns are ignored.
+each other; rows may share an id; null ids sort last; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import read_table, sorted_groups, written
+from tidewater.llm.common import numbered, read_table, sorted_groups, written
 from tidewater.operators.graph import connected_components
 
 N, THRESHOLD = 5, 0.8
@@ -102,8 +102,9 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for c, v in zip(cols, (*grams.key(g), len(g), grams.band_hashes(g) if len(g) else None)):
                 c.append(v)
         yield pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()),
-             pa.array(cols[3], pa.list_(pa.int64()))], ["doc_id", "k1", "k2", "n", "bands"])
+            [b.column(0), b.column(2), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
+             pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.list_(pa.int64()))],
+            ["doc_id", "rid", "k1", "k2", "n", "bands"])
 
 
 def _ship(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,8 +117,6 @@ def _ship(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = 0
         for i, text in enumerate(d["text"]):
             g = grams.of(text)
-            if grams.key(g) != (d["k1"][i], d["k2"][i]):
-                continue  # another row with the same id
             tasks = [(x["band"], x["h"], 0, 0) for x in d["small"][i] or []]
             block = -1
             if (blocks := d["blocks"][i]) is not None:
@@ -205,9 +204,8 @@ def _verifier(threshold: float):
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         node, links, root = [], [], []
         for (band, _, p, q), t in sorted_groups(batches, 4):
+            t = t.sort_by("node")
             ids = t.column("node").to_numpy()
-            _, first = np.unique(ids, return_index=True)  # a repeated row ships its set again
-            t, ids = t.take(pa.array(first)), ids[first]
             sets = [np.frombuffer(x, np.uint64) for x in t.column("grams").to_pylist()]
             copies = t.column("copies").to_numpy()
             if p == q:
@@ -246,16 +244,21 @@ def _found(node, links, root) -> pa.RecordBatch:
 
 
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
-               cap: int = CAP, block_nodes: int = BLOCK_NODES, block_grams: int = BLOCK_GRAMS) -> DataFrame:
-    """``id_col, class_id, n_links, kept`` of every row; see the module text."""
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sig = written(texts.mapInArrow(_signatures, "doc_id long, k1 long, k2 long, n long, bands array<long>")
-                  .withColumn("rid", F.monotonically_increasing_id()), "join-signatures")
+               cap: int = CAP, block_nodes: int = BLOCK_NODES, block_grams: int = BLOCK_GRAMS,
+               row_col: str | None = None) -> DataFrame:
+    """``id_col, class_id, n_links, kept`` of every row; see the module text. ``row_col`` names
+    a number that only one row has (see ``numbered``) and comes with the result; without it
+    the texts are numbered here."""
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                        *([F.col(row_col).alias("rid")] if row_col else []))
+    if row_col is None:
+        texts = numbered(texts, "rid")
+    sig = written(texts.mapInArrow(_signatures, "doc_id long, rid long, k1 long, k2 long, n long, bands array<long>"),
+                  "join-signatures")
     key = ["k1", "k2", "n"]
     lead = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rid")
     sets = written(sig.where("n > 0").groupBy(*key).agg(F.min("rid").alias("node"), F.count("*").alias("copies"),
-                                                        F.min(lead).alias("lead"), F.min_by("doc_id", "rid").alias("any_id")),
-                   "join-sets")
+                                                        F.min(lead).alias("lead")), "join-sets")
 
     # Buckets of at least two nodes, one of every kind of membership.
     nodes = sets.join(sig.select("rid", "bands"), F.col("node") == F.col("rid")).drop("rid")
@@ -279,10 +282,9 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     small = (members.where(F.col("c") <= cap).groupBy("node")
              .agg(F.collect_list(F.struct(F.col("band").cast("long").alias("band"), "h")).alias("small")))
     wanted = (nodes.join(small.join(clusters, "node", "full"), "node")
-              .select("node", "k1", "k2", "copies", "bands", "small", "cluster", "blocks",
-                      F.col("any_id").alias("want")))
-    shipped = (texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("want")))
-               .select("text", "node", "k1", "k2", "copies", "bands", "small", "cluster", "blocks")
+              .select("node", "copies", "bands", "small", "cluster", "blocks"))
+    shipped = (texts.join(wanted, F.col("rid") == F.col("node"))
+               .select("text", "node", "copies", "bands", "small", "cluster", "blocks")
                .mapInArrow(_ship, SHIPPED))
     task = ["band", "h", "p", "q"]
     found = written(shipped.repartition(*task).sortWithinPartitions(*task)
@@ -299,7 +301,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "join-named")
     same = (F.col("k1") == F.col("c_k1")) & (F.col("k2") == F.col("c_k2")) & (F.col("n") == F.col("c_n"))
     return sig.drop("bands").join(named, same, "left").select(
-        F.col("doc_id").alias(id_col), F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
+        *([F.col("rid").alias(row_col)] if row_col else []), F.col("doc_id").alias(id_col), F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce(F.col("keep") == F.col("rid"), F.lit(True)).alias("kept"))
 
 
