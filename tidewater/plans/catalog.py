@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf, udtf
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+from tidewater.functions.clf import CLF_FIELDS
 from tidewater.functions.tokens import NON_WORD
 from tidewater.operators import graph as G
 from tidewater.operators import keyed as K
@@ -47,12 +48,12 @@ def _log_lines(spark: SparkSession, sf: str) -> DataFrame:
     return spread(D.log_lines(_t(spark, sf, "events")))
 
 
-def _logs(spark: SparkSession, sf: str) -> DataFrame:
-    return L.parse_clf(_log_lines(spark, sf))[0]
+def _logs(spark: SparkSession, sf: str, *fields: str) -> DataFrame:
+    return L.parse_clf(_log_lines(spark, sf), fields=list(fields or CLF_FIELDS))[0]
 
 
 def _logs_day(spark: SparkSession, sf: str) -> DataFrame:
-    return L.with_weekday(_logs(spark, sf))
+    return L.with_weekday(_logs(spark, sf, "ipAddress", "dateTime"))
 
 
 def _rides_t(spark: SparkSession, sf: str) -> DataFrame:
@@ -140,14 +141,13 @@ def proj_concat(spark, sf):
 
 @query
 def sql_filter_range(spark, sf):
-    _t(spark, sf, "customer").createOrReplaceTempView("customer_balances")
-    return spark.sql("SELECT c_name, c_acctbal FROM customer_balances WHERE c_acctbal >= :low AND c_acctbal <= :high",
-                     args={"low": 1500, "high": 4200})
+    return spark.sql("SELECT c_name, c_acctbal FROM {customers} WHERE c_acctbal >= :low AND c_acctbal <= :high",
+                     args={"low": 1500, "high": 4200}, customers=_t(spark, sf, "customer"))
 
 
 @query
 def sql_filter_eq(spark, sf):
-    return L.requests_with_status(spark, _logs(spark, sf), "requests", 403)
+    return L.requests_with_status(spark, _logs(spark, sf, "ipAddress", "method", "endpoint", "responseCode"), "requests", 403)
 
 
 @query
@@ -372,32 +372,32 @@ def log_rejects(spark, sf):
 
 @query
 def agg_distinct_clients(spark, sf):
-    return L.distinct_clients(_logs(spark, sf))
+    return L.distinct_clients(_logs(spark, sf, "ipAddress"))
 
 
 @query
 def agg_min_avg_max(spark, sf):
-    return L.content_size_stats(_logs(spark, sf))
+    return L.content_size_stats(_logs(spark, sf, "contentSize"))
 
 
 @query
 def status_counts(spark, sf):
-    return L.status_counts(_logs(spark, sf))
+    return L.status_counts(_logs(spark, sf, "responseCode"))
 
 
 @query
 def status_share(spark, sf):
-    return L.status_share(_logs(spark, sf))
+    return L.status_share(_logs(spark, sf, "responseCode"))
 
 
 @query
 def status_class_counts(spark, sf):
-    return L.status_class_counts(_logs(spark, sf))
+    return L.status_class_counts(_logs(spark, sf, "responseCode"))
 
 
 @query
 def topk_users(spark, sf):
-    return L.top_clients(_logs(spark, sf), 10)
+    return L.top_clients(_logs(spark, sf, "ipAddress"), 10)
 
 
 @query
@@ -433,7 +433,7 @@ def weekday_udf(date_time: pd.Series) -> pd.Series:
 
 @query
 def udf_weekday(spark, sf):
-    return _logs(spark, sf).select("dateTime", weekday_udf("dateTime").alias("dayOfWeek"))
+    return _logs(spark, sf, "dateTime").select("dateTime", weekday_udf("dateTime").alias("dayOfWeek"))
 
 
 # ================================================================ top-k over attribute lines
