@@ -172,3 +172,44 @@ def test_licences(spark):
     assert got[1].n_licences == 2 and got[6].n_paragraphs == 0 and got[8].n_paragraphs == 0
     assert not any(got[i].n_licences for i, _ in corpus)
     assert license_scan.scan(rows_of(spark, []), model).collect() == []
+
+
+WRAPPED = {
+    "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell""",
+    "GPL-3.0": """ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.""",
+    "GPL-2.0": """# This program is free software; you can redistribute it and/or
+# modify it under the terms of the GNU General Public License version 2
+# as published by the Free Software Foundation.""",
+    "LGPL": """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met:""",
+}
+
+
+def test_wrapped_licences(spark):
+    corpus = [(100 + i, f"the word {i} of a story about {i * 7} things and places\nsecond line {i} in it") for i in range(300)]
+    families = list(WRAPPED)
+    rows = [(i, f"A story begins.\n{WRAPPED[f]}\n\nAnd it ends\nhere.") for i, f in enumerate(families)]
+    rows += [(10, WRAPPED["MIT"] + "\n" + WRAPPED["LGPL"]), (11, "\n".join(WRAPPED["GPL-3.0"].replace("*", "").split())),
+             (12, WRAPPED["BSD-3-Clause"] + "\ntext between\nReleased under the MIT License.\n" + WRAPPED["BSD-3-Clause"]),
+             (None, WRAPPED["MIT"]), (None, WRAPPED["GPL-2.0"])]
+    docs = rows_of(spark, rows + corpus)
+    got = {r.doc_id: r for r in license_scan.scan(docs, license_scan.train(docs)).collect()}
+    for i, f in enumerate(families):
+        assert (got[i].families, got[i].n_licences) == ([f], 1), f
+        assert got[i].similarity > 0.9
+    assert (got[10].families, got[10].n_licences) == (["LGPL", "MIT"], 2)
+    assert (got[11].families, got[11].n_licences) == (["GPL-3.0"], 1)
+    assert (got[12].families, got[12].n_licences) == (["BSD-3-Clause", "MIT"], 3)
+    assert (got[None].families, got[None].n_licences) == (["GPL-2.0", "MIT"], 2)
+    assert not any(got[i].n_licences for i, _ in corpus)
