@@ -114,6 +114,18 @@ def test_snapshots_collapse(spark, part):
     assert len(text[9][2]) > 200_000
 
 
+def test_one_conversation_of_a_third_of_the_rows_is_rendered_in_parts(spark):
+    lost = [(None, None if i % 2 else 3, "user", f"t{i:04}") for i in range(1000)]
+    rows = lost + [(i, 0, "user", f"own {i}") for i in range(2000)] + lost[:10]
+    out = chat_format.format_chats(chats(spark, rows), 64).where("conv_id IS NULL").orderBy("part").collect()
+    assert [r.part for r in out] == list(range(16)) and {r.n_turns for r in out} == {1000}
+    assert [r.text.count("<|end|>") for r in out] == [64] * 15 + [40]
+    wanted = sorted(lost, key=lambda r: (r[1] is not None, r[3]))
+    assert "".join(r.text for r in out) == "".join(f"<|user|>\n{r[3]}\n<|end|>\n" for r in wanted)
+    turns = chat_format.rolling_turns(chats(spark, rows), 64)
+    assert sorted(r.pos for r in turns.where("conv_id IS NULL").collect()) == list(range(1, 1001))
+
+
 def test_no_conversations(spark):
     assert chat_format.format_chats(chats(spark, [])).collect() == []
 

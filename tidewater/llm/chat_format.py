@@ -3,12 +3,14 @@
 A service that logs the whole conversation after every turn leaves snapshots: logs whose
 turns are a prefix of a longer log. Every turn gets a rolling prefix hash: the XOR of two
 64-bit hashes of ``(position, role, text)`` over the turns so far. XOR is associative, so
-a conversation is cut into parts of ``PART_TURNS`` turn numbers, parts are hashed on their
-own, and a prefix over the parts completes positions and hashes; no conversation has to
-fit one task. A log is dropped (left anti join on length and hash) if a longer one has the
+the distinct turns of all conversations are dealt by ranges of (conversation, turn, role,
+text), a conversation's share of a range is numbered and hashed on its own, and a prefix over
+the ranges completes positions and hashes: whatever the turn numbers, no conversation has to
+fit one task. (Turns alike in all but what follows the first ``KEY_CHARS`` characters of their
+text share a range.) A log is dropped (left anti join on length and hash) if a longer one has the
 same prefix hash at its length; of equal logs the smallest ``conv_id`` stays. What is left
-is rendered turn by turn, one row per conversation and part (part 0 alone unless a
-conversation has over ``PART_TURNS`` turns).
+is rendered turn by turn, one row per conversation and part of ``PART_TURNS`` positions
+(part 0 alone unless a conversation has over ``PART_TURNS`` turns).
 
 Defined cases: turns sort by (turn, role, text), null first; null role and text count as
 empty; repeated identical turn rows count once; rows without ``conv_id`` form one
@@ -21,23 +23,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import read_table, written
+from tidewater.llm.common import read_table, shuffle_partitions, written
 
 PART_TURNS = 4096
+KEY_CHARS = 512
 
 
 def rolling_turns(conversations: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
     """``(conv_id, part, pos, role, text, h1, h2, n)``: position and rolling prefix hashes of
     every distinct turn and the length of its conversation."""
-    turn = F.col("turn").cast("long")
     rows = conversations.select(
-        "conv_id", turn.alias("turn"), F.coalesce(F.floor(turn / part_turns), F.lit(-(2**62))).alias("part"),
-        F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+        "conv_id", F.col("turn").cast("long").alias("turn"),
+        F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).distinct()
+    dealt = written(rows.repartitionByRange(shuffle_partitions(rows.sparkSession), "conv_id", "turn", "role",
+                                            F.substring("text", 1, KEY_CHARS))
+                    .withColumn("part", F.spark_partition_id()), "chat-ranges")
     by_part = Window.partitionBy("conv_id", "part")
-    same = F.struct("turn", "role", "text")
-    seen = by_part.orderBy("turn", "role", "text")
-    local = written(rows.withColumn("again", F.lag(same).over(seen).eqNullSafe(same)).where(~F.col("again"))
-                    .withColumn("i", F.row_number().over(seen)).drop("again", "turn"), "chat-turns")
+    local = written(dealt.withColumn("i", F.row_number().over(by_part.orderBy("turn", "role", "text"))).drop("turn"), "chat-turns")
 
     earlier = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (local.groupBy("conv_id", "part").agg(F.max("i").alias("m"))
@@ -52,6 +54,7 @@ def rolling_turns(conversations: DataFrame, part_turns: int = PART_TURNS) -> Dat
     upto = by_part.orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     return (_with_part(hashed, sums)
             .withColumns({f"h{k}": F.bit_xor(f"h{k}").over(upto).bitwiseXOR(F.col(f"b{k}")) for k in (1, 2)})
+            .withColumn("part", F.floor((F.col("pos") - 1) / part_turns))
             .select("conv_id", "part", "pos", "role", "text", "h1", "h2", "n"))
 
 
@@ -76,7 +79,9 @@ def format_chats(conversations: DataFrame, part_turns: int = PART_TURNS) -> Data
     kept = maximal_conversations(turns)
     piece = F.concat(F.lit("<|"), F.regexp_replace("role", r"<\|", "< |"), F.lit("|>\n"),
                      F.regexp_replace("text", r"<\|", "< |"), F.lit("\n<|end|>\n"))
-    joined = turns.join(kept, F.col("conv_id").eqNullSafe(F.col("keep_conv")))
+    last = F.floor((F.col("n_turns") - 1) / part_turns)
+    parts = kept.withColumnRenamed("keep_conv", "conv_id").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    joined = _with_part(turns, parts)
     return (joined.select("conv_id", "part", "pos", "n_turns", "copies", piece.alias("piece"))
             .groupBy("conv_id", "part", "n_turns", "copies")
             .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "piece"))),
