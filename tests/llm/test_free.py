@@ -216,6 +216,26 @@ def test_toxicity_learns_and_scores_every_window(spark):
     assert toxicity.score_texts(rows_of(spark, []), net).collect() == []
 
 
+def test_toxicity_learns_from_long_texts_alone(spark):
+    rng = random.Random(7)
+
+    def text(toxic, n):
+        words = [f"w{rng.randrange(300)}" for _ in range(n)]
+        if toxic:
+            words[rng.randrange(n)] = f"vile{rng.randrange(4)}"
+        return " ".join(words)
+
+    rows = [(i, text(i % 2, rng.randrange(450, 700))) for i in range(240)] + [(900, "plain " * 30_000), (901, "!?")]
+    docs = rows_of(spark, rows)
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    texts, y = toxicity.training_sample(docs, labels)
+    assert {0, 1} == set(y) and max(len(t.split()) for t in texts) == toxicity.RUNS * toxicity.RUN_WORDS
+    held = {r.doc_id: r.score for r in toxicity.score_texts(docs, toxicity.train(texts, y, epochs=30)).collect()}
+    assert sum((held[i] >= 0.5) == (i % 2) for i in range(240)) > 220
+    with pytest.raises(ValueError):
+        toxicity.training_sample(rows_of(spark, [(i, "..." if i % 2 else "fine") for i in range(60)]), labels)
+
+
 def test_windows_cover_every_word():
     sizes = np.array([0, 1, 31, 32, 33, 100, 0, 57])
     start, text = toxicity.windows(sizes)

@@ -6,15 +6,17 @@ and backward, attention pools their states, and a logistic unit scores the windo
 windows, ``STRIDE`` words apart and so overlapping, of the whole text are scored; the text's
 score is its largest window score.
 
-Training is in numpy on the driver, on a bounded sample: about ``TRAIN_TOXIC`` toxic and
-``TRAIN_CLEAN`` other labelled texts of at most ``TRAIN_WORDS`` words, chosen by a hash of
-the id. A text's label is put on the log-sum of its windows (multiple instances: some
+Training is in numpy on the driver, on a bounded sample: at most about ``TRAIN_TOXIC`` toxic
+and ``TRAIN_CLEAN`` other labelled texts of every length, chosen by a hash of the id. They are
+taken whole, in the order of a hash, as long as they have ``TRAIN_WORDS`` words on average of
+these numbers: long texts mean fewer texts. Only of a text of more than ``RUNS`` x
+``RUN_WORDS`` words so many runs from hash-chosen places are taken. A text's label is put on the log-sum of its windows (multiple instances: some
 window is toxic, or none is). A tenth of the sample sets the shift that makes 0.5 the
 best cut. Scoring runs in Arrow batches with the weights in the task.
 
 Defined cases: words are runs of letters and digits after lower-casing; null, empty or
 wordless text scores 0; repeated rows score alike; without both kinds of labels every
-score is 0; null ids are never held out; an empty table gives no rows.
+score is 0, and labels of both kinds without a usable text of each raise; null ids are never held out; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,13 +31,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import read_table
+from tidewater.llm.common import read_table, written
 from tidewater.llm.language_id import fold
 
 WINDOW, STRIDE = 32, 24
 SLOTS, DIM, HIDDEN, ATTENTION = 16_384, 16, 8, 8
 TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_WORDS = 2000, 6000, 400
-EPOCHS, BATCH_TEXTS, RATE = 6, 32, 0.01
+RUNS, RUN_WORDS = 50, 400
+EPOCHS, BATCH_TEXTS, BATCH_WINDOWS, RATE = 6, 32, 1024, 0.01
 ROWS_PER_BATCH, CHUNK = 500, 4096
 CACHED_WORDS = 200_000
 GOLD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xBF58476D1CE4E5B9], np.uint64)
@@ -185,6 +188,19 @@ def text_windows(words: list[list[str]], index: dict[str, int]):
     return flat[np.minimum(at, max(0, len(flat) - 1))], at < (np.cumsum(sizes))[text][:, None], text
 
 
+def batches_of(order: np.ndarray, words: list[list[str]]) -> Iterator[np.ndarray]:
+    """``order`` in batches of ``BATCH_TEXTS`` texts and about ``BATCH_WINDOWS`` windows at most, or one text."""
+    lo = n = 0
+    for at, i in enumerate(order):
+        more = len(words[i]) // STRIDE + 1
+        if at > lo and (at - lo == BATCH_TEXTS or n + more > BATCH_WINDOWS):
+            yield order[lo:at]
+            lo, n = at, 0
+        n += more
+    if lo < len(order):
+        yield order[lo:]
+
+
 def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 4) -> Network | None:
     """A network fitted to the labelled texts; None where one kind of label is missing."""
     words = [WORD.findall(t.lower()) for t in texts]
@@ -198,11 +214,10 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
     net = Network(seed)
     m = {k: np.zeros_like(v) for k, v in net.p.items()}
     v = {k: np.zeros_like(x) for k, x in net.p.items()}
-    step, steps = 0, epochs * -(-len(order) // BATCH_TEXTS)
+    step, seen, whole = 0, 0, epochs * len(order) + BATCH_TEXTS
     for _ in range(epochs):
         order = rng.permutation(order)
-        for at in range(0, len(order), BATCH_TEXTS):
-            some = order[at:at + BATCH_TEXTS]
+        for some in batches_of(order, words):
             batch = [words[i] for i in some]
             vocabulary = sorted(set().union(*batch))
             ids, mask, text = text_windows(batch, {w: i for i, w in enumerate(vocabulary)})
@@ -221,7 +236,8 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
             g["word"] = summed(slot, d_x * drop[:, None], SLOTS)
             g["char"] = summed(grams, np.repeat(d_x / n[:, None].astype(np.float32), n, axis=0), SLOTS)
             step += 1
-            rate = RATE * (1 - step / (steps + 1))
+            seen += len(some)
+            rate = RATE * (1 - seen / whole)
             for k in net.p:
                 m[k] += 0.1 * (g[k] - m[k])
                 v[k] += 0.005 * (g[k]**2 - v[k])
@@ -301,9 +317,26 @@ def training_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list
     share = {k: min(1.0, most / max(1, n.get(k, 0))) for k, most in ((1, TRAIN_TOXIC), (0, TRAIN_CLEAN))}
     at = F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(1_000_000)) / 1_000_000
     chosen = usable.where(at < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]))
-    short = F.regexp_count("text", F.lit(r"\S+")) <= TRAIN_WORDS
-    rows = (docs.join(F.broadcast(chosen), "doc_id").where(short)
-            .select("doc_id", "text", "toxic").collect())
+    words = F.regexp_count("text", F.lit(r"\S+"))
+    found = written(docs.join(F.broadcast(chosen), "doc_id").where(F.col("text").rlike(r"[\p{L}\p{N}]"))
+                    .select("doc_id", "text", "toxic", words.alias("n"), F.xxhash64("doc_id", "text", F.lit("order")).alias("o")),
+                    "toxicity-sample")
+    taken = F.lit(False)
+    for k, most in ((1, TRAIN_TOXIC), (0, TRAIN_CLEAN)):
+        total = 0
+        for r in found.where(F.col("toxic") == k).select("o", "n").orderBy("o").limit(most).collect():
+            if total and total + min(r.n, RUNS * RUN_WORDS) > most * TRAIN_WORDS:
+                break
+            total, last = total + min(r.n, RUNS * RUN_WORDS), r.o
+        if total:
+            taken = taken | ((F.col("toxic") == k) & (F.col("o") <= last))
+        elif n.get(1) and n.get(0):
+            raise ValueError(f"no labelled text with toxic = {k} has a word, though both labels exist")
+    parts = F.split("text", r"\s+")
+    runs = F.transform(F.sequence(F.lit(1), F.lit(RUNS)), lambda i: F.array_join(F.slice(
+        parts, (F.pmod(F.xxhash64("o", i), F.greatest(F.col("n") - RUN_WORDS, F.lit(1))) + 1).cast("int"), RUN_WORDS), " "))
+    rows = (found.where(taken).select("doc_id", "toxic", F.when(F.col("n") > RUNS * RUN_WORDS, F.array_join(runs, " "))
+                                      .otherwise(F.col("text")).alias("text")).distinct().collect())
     rows.sort(key=lambda r: (r.doc_id, r.text))
     return [r.text for r in rows], [r.toxic for r in rows]
 
