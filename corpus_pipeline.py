@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,8 +23,9 @@ def _filtered(docs: DataFrame, judge: Callable[[DataFrame], DataFrame], results:
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts that get a language; those without a letter go."""
-    protos = language_id.trained_on_folds(docs)
+    """Texts that get a language; only those without a letter go, also where no label says a
+    language or a label says ``und``."""
+    protos = {f"lang {k}": v for k, v in language_id.trained_on_folds(docs).items()} or {"any": np.zeros(language_id.DIM)}
     return _filtered(docs, lambda d: language_id.identify(d, protos), ["lang_pred", "score"], "lang_pred <> 'und'")
 
 

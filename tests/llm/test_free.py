@@ -271,6 +271,14 @@ def test_gradients_match_differences():
         assert g[name][at] == pytest.approx(((up - down) / (2 * step) * d).sum(), rel=0.02, abs=1e-4)
 
 
+def test_texts_stay_without_language_labels(spark):
+    stage = dict(pytest.importorskip("corpus_pipeline").STAGES)["language_id"]
+    rows = [(i, t) for i, t in enumerate(["some words", "andere Wörter", "", None, "12 !", "x"] * 3)]
+    for lang in (None, "und"):
+        out = stage(spark, rows_of(spark, [(*r, lang) for r in rows]), SF).collect()
+        assert Counter(r.text for r in out) == {"some words": 3, "andere Wörter": 3, "x": 3}
+
+
 def test_stages_on_odd_rows(spark):
     stages = dict(pytest.importorskip("corpus_pipeline").STAGES)
     schema = "doc_id long, text string, lang string, source string, n_chars long, score string, kept string, text_sha256 int"
