@@ -108,6 +108,13 @@ def test_neighbours_of_odd_rows(spark):
     assert hnsw.nearest(v.limit(0), v.limit(0)).collect() == []
 
 
+def test_equal_query_vectors_spread_over_blocks(spark):
+    asked = spark.range(3000).selectExpr("id AS vec_id", "if(id % 3 = 0, 7L, xxhash64(id)) AS qh")
+    dealt, blocks = hnsw.in_blocks(asked, 300)
+    sizes = [r["count"] for r in dealt.groupBy("block").count().collect()]
+    assert blocks == len(sizes) == 10 and max(sizes) < 400
+
+
 def test_neighbours_recall(spark):
     rng = np.random.default_rng(2)
     centres = rng.standard_normal((20, 32))

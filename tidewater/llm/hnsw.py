@@ -236,14 +236,20 @@ def index_shards(points: DataFrame, k: int = K, shard_points: int = SHARD_POINTS
                    .mapInArrow(_build, INDEX), "ann-index")
 
 
+def in_blocks(asked: DataFrame, query_block: int = QUERY_BLOCK) -> tuple[DataFrame, int]:
+    """``asked`` with a ``block`` of about ``query_block`` rows, and the number of blocks; rows
+    with equal vectors spread over all of them."""
+    blocks = max(1, -(-asked.count() // query_block))
+    return asked.withColumn("block", F.pmod(F.xxhash64("qh", "vec_id"), F.lit(blocks).cast("long"))), blocks
+
+
 def nearest(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k: int = K,
             ef: int = EF_SEARCH, shard_points: int = SHARD_POINTS, query_block: int = QUERY_BLOCK) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the ``k`` nearest found for every query row."""
     index = index_shards(usable(vectors, id_col, vec_col), k, shard_points)
     asked = usable(queries, id_col, vec_col).distinct().withColumn("qh", F.xxhash64("v")).withColumn("dim", F.size("v"))
     asked = written(asked, "ann-queries")
-    blocks = max(1, -(-asked.count() // query_block))
-    asked = asked.withColumn("block", F.pmod(F.col("qh"), F.lit(blocks).cast("long")))
+    asked, blocks = in_blocks(asked, query_block)
     shards = index.select(F.col("dim").alias("to_dim"), F.col("shard").alias("to_shard"))
     sent = (asked.join(shards, F.col("dim") == F.col("to_dim"))
             .select("to_dim", "to_shard", F.col("block").alias("to_block"), "vec_id", "qh", "v"))
