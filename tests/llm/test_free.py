@@ -69,6 +69,15 @@ def test_join_against_brute_force(spark, limits):
     assert all(r.doc_id == r.class_id for r in got if r.kept)
 
 
+def test_join_of_few_long_texts_goes_to_blocks(spark):
+    sized = spark.createDataFrame([(2, 50), (2, 51), (5, 1)], "c long, grams long")
+    assert [r.large for r in sized.select(ngram_join.is_large(4, 50).alias("large")).collect()] == [False, True, True]
+    rows = near_copies()
+    got, few = (ngram_join.ngram_join(rows_of(spark, rows), **x).select("class_id", "n_links", "kept").collect()
+                for x in ({}, {"block_grams": 100}))
+    assert sorted(map(str, got)) == sorted(map(str, few))
+
+
 def test_join_of_nothing(spark):
     assert ngram_join.ngram_join(rows_of(spark, [])).collect() == []
     assert [tuple(r) for r in ngram_join.ngram_join(rows_of(spark, [(1, None)])).collect()] == [(1, 1, 0, True)]

@@ -8,7 +8,7 @@ same members as an earlier band's are dropped, and the full sets of the other me
 to their buckets, where all pairs are compared exactly.
 
 A pair that meets in several buckets counts in the first one. Nodes of buckets with more
-than ``CAP`` members are first joined into clusters (components over shared large
+than ``CAP`` members or ``BLOCK_GRAMS`` grams are first joined into clusters (components over shared large
 buckets); a cluster's pairs are compared once, in pairs of blocks of bounded bytes, instead
 of once per band, and each task multiplies 0/1 matrices of its two blocks. Tasks give, per
 node, the number of linked rows and one edge to the smallest node it is linked with
@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import numbered, read_table, sorted_groups, written
@@ -243,6 +243,11 @@ def _found(node, links, root) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (node, links, root)], ["node", "links", "root"])
 
 
+def is_large(cap: int, block_grams: int) -> Column:
+    """Whether a bucket of ``c`` members with ``grams`` grams goes to blocks."""
+    return (F.col("c") > cap) | (F.col("grams") > block_grams)
+
+
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
                cap: int = CAP, block_nodes: int = BLOCK_NODES, block_grams: int = BLOCK_GRAMS,
                row_col: str | None = None) -> DataFrame:
@@ -263,23 +268,23 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # Buckets of at least two nodes, one of every kind of membership.
     nodes = sets.join(sig.select("rid", "bands"), F.col("node") == F.col("rid")).drop("rid")
     nodes = written(nodes, "join-nodes")
-    banded = nodes.select("node", F.posexplode("bands").alias("band", "h"))
+    banded = nodes.select("node", "n", F.posexplode("bands").alias("band", "h"))
     buckets = (banded.groupBy("band", "h").agg(
-        F.count("*").alias("c"), F.min("node").alias("pivot"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("x1"),
+        F.count("*").alias("c"), F.sum("n").alias("grams"), F.min("node").alias("pivot"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("x1"),
         F.bit_xor(F.xxhash64("node", F.lit(2))).alias("x2")).where("c > 1")
-        .groupBy("c", "pivot", "x1", "x2").agg(F.min(F.struct("band", "h")).alias("b"))
-        .select("b.band", "b.h", "c", "pivot"))
-    members = written(banded.join(written(buckets, "join-buckets"), ["band", "h"]), "join-members")
+        .groupBy("c", "grams", "pivot", "x1", "x2").agg(F.min(F.struct("band", "h")).alias("b"))
+        .select("b.band", "b.h", "c", "grams", "pivot"))
+    members = written(banded.drop("n").join(written(buckets, "join-buckets"), ["band", "h"]), "join-members")
 
     # Clusters of the nodes of large buckets, in blocks of bounded size.
-    stars = members.where(F.col("c") > cap).select(F.col("node").alias("src"), F.col("pivot").alias("dst")).distinct()
+    stars = members.where(is_large(cap, block_grams)).select(F.col("node").alias("src"), F.col("pivot").alias("dst")).distinct()
     clusters = written(connected_components(stars).select(F.col("id").alias("node"), F.col("component").alias("cluster")),
                        "join-clusters")
     sized = (clusters.join(nodes.select("node", "n"), "node").groupBy("cluster")
              .agg(F.greatest(F.ceil(F.count("*") / block_nodes), F.ceil(F.sum("n") / block_grams)).cast("long").alias("blocks")))
     clusters = clusters.join(written(sized, "join-cluster-sizes"), "cluster")
 
-    small = (members.where(F.col("c") <= cap).groupBy("node")
+    small = (members.where(~is_large(cap, block_grams)).groupBy("node")
              .agg(F.collect_list(F.struct(F.col("band").cast("long").alias("band"), "h")).alias("small")))
     wanted = (nodes.join(small.join(clusters, "node", "full"), "node")
               .select("node", "copies", "bands", "small", "cluster", "blocks"))
