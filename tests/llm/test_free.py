@@ -264,6 +264,14 @@ def test_windows_cover_every_word():
     assert seen.all()
 
 
+def test_short_passages_are_whole_in_a_window():
+    n = 200
+    start, _ = toxicity.windows(np.array([n]))
+    for size in range(1, toxicity.WINDOW - toxicity.STRIDE + 2):
+        assert all(((start <= at) & (at + size <= start + toxicity.WINDOW)).any() for at in range(n - size + 1))
+    assert toxicity.STRIDE <= toxicity.WINDOW // 2
+
+
 def test_gradients_match_differences():
     net = toxicity.Network(1)
     words = [["ab", "cde", "f"], ["ghij"] * 40]

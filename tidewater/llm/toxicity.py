@@ -2,9 +2,9 @@
 
 A word enters as the sum of a hashed word vector and the mean of its hashed character
 3- and 4-gram vectors. Two gated recurrent layers read a window of ``WINDOW`` words forward
-and backward, attention pools their states, and a logistic unit scores the window. All
-windows, ``STRIDE`` words apart and so overlapping, of the whole text are scored; the text's
-score is its largest window score.
+and backward, attention pools their states, and a logistic unit scores the window. Windows
+``STRIDE`` words apart over the whole text are scored, so that a passage of up to
+``WINDOW - STRIDE + 1`` words is whole in one; the text's score is its largest window score.
 
 Training is in numpy on the driver, on a bounded sample: at most about ``TRAIN_TOXIC`` toxic
 and ``TRAIN_CLEAN`` other labelled texts of every length, chosen by a hash of the id. They are
@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from tidewater.llm.common import read_table, written
 from tidewater.llm.language_id import fold
 
-WINDOW, STRIDE = 32, 24
+WINDOW, STRIDE = 32, 16
 SLOTS, DIM, HIDDEN, ATTENTION = 16_384, 16, 8, 8
 TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_WORDS = 2000, 6000, 400
 RUNS, RUN_WORDS = 50, 400
