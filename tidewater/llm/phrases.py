@@ -255,10 +255,10 @@ ORACLE = {"op13_phrase_collocations": r"""
                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
     piece AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS p FROM t),
     ws AS (SELECT lang, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda x: x <> '') AS w FROM piece),
-    at AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM ws),
-    one AS (SELECT lang, w[i] AS w1, count(*) AS f FROM at GROUP BY ALL),
-    two AS (SELECT lang, w[i] AS w1, w[i + 1] AS w2, count(*) AS f FROM at WHERE i < len(w) GROUP BY ALL),
-    three AS (SELECT lang, w[i] AS w1, w[i + 1] AS w2, w[i + 2] AS w3, count(*) AS f FROM at WHERE i + 1 < len(w) GROUP BY ALL HAVING count(*) >= 10),
+    spot AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM ws),
+    one AS (SELECT lang, w[i] AS w1, count(*) AS f FROM spot GROUP BY ALL),
+    two AS (SELECT lang, w[i] AS w1, w[i + 1] AS w2, count(*) AS f FROM spot WHERE i < len(w) GROUP BY ALL),
+    three AS (SELECT lang, w[i] AS w1, w[i + 1] AS w2, w[i + 2] AS w3, count(*) AS f FROM spot WHERE i + 1 < len(w) GROUP BY ALL HAVING count(*) >= 10),
     total AS (SELECT lang, sum(f)::BIGINT AS n FROM one GROUP BY lang),
     cut AS (
         SELECT b.lang, b.w1 || ' ' || b.w2 AS phrase, b.f AS a, 1 AS k, x.f AS l, y.f AS r
