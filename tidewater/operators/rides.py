@@ -110,6 +110,26 @@ def terminal_hourly(rides_t: DataFrame, departures_only: bool = False, watermark
     return out.withColumn("hour", local_hour(F.col("window.start")))
 
 
+def tagged_hourly(rides_t: DataFrame, watermark: str) -> DataFrame:
+    """Visits and departures per terminal and hour by one aggregate: every event counts
+    under each ``task`` it belongs to."""
+    ev = terminal_events(record_time(rides_t).withWatermark("event_time", watermark))
+    tasks = F.array_compact(F.array(F.lit("visits"), F.when(F.col("is_start"), F.lit("departures"))))
+    return tumbling(ev.withColumn("task", F.explode(tasks)), "event_time", ["task", "terminal"], value="n")
+
+
+def task_results(hourly: DataFrame) -> DataFrame:
+    """From the closed windows of ``tagged_hourly``: the visits of every terminal
+    (``terminal visits``), the busiest terminal (``busiest``) and the busiest one for departures
+    (``busiest departures``) of every hour, as ``result, window_start, terminal, hour, n``."""
+    hour = local_hour(F.col("window.start"))
+    visits = hourly.where("task = 'visits'").withColumn("hour", hour)
+    departures = hourly.where("task = 'departures'")
+    parts = {"terminal visits": visits, "busiest": busiest_terminal(visits), "busiest departures": busiest_terminal(departures)}
+    out = [report(df.withColumn("result", F.lit(k)), "result", "terminal", "hour", "n") for k, df in parts.items()]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
 def busiest_terminal(hourly: DataFrame) -> DataFrame:
     """Per window, the terminal with most visits (ties → smallest name)."""
     out = busiest_per_window(hourly, key="terminal", n_col="n")

@@ -15,7 +15,7 @@ from pyspark.sql.functions import pandas_udf, udtf
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tidewater.functions.clf import CLF_FIELDS
-from tidewater.functions.tokens import NON_WORD
+from tidewater.functions.tokens import NON_WORD, word_tokens
 from tidewater.operators import graph as G
 from tidewater.operators import keyed as K
 from tidewater.operators import logs as L
@@ -27,7 +27,11 @@ from tidewater.session import ensure_utc, scratch_path
 from tidewater.sources import files as SF
 from tidewater.sources import sinks as SK
 from tidewater.sources.tables import load_table, spread, stream_table
+from tidewater.streaming import joins as SJ
+from tidewater.streaming import late as SL
 from tidewater.streaming import runner as SR
+from tidewater.streaming import totals as ST
+from tidewater.streaming.replay import Replay
 from tidewater.streaming.windows import busiest_per_window, present_window, tumbling
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -597,6 +601,138 @@ def stream_wordcount(spark, sf):
     return SR.run_update_log(counts, spark, "stream_wordcount", keys=["word"])
 
 
+# Streams that arrive slot by slot in event-time order, closed by end rows (append mode).
+
+def _arriving(spark, sf, name: str, slots: int = 3) -> Replay:
+    return Replay(_t(spark, sf, "events").select("event_id", "ts", "user_id"), "ts", name, slots, end_cols=("ts",))
+
+
+def _arriving_rides(spark, sf, name: str, time=R.record_time, **options) -> Replay:
+    """Ride records in the order of ``time``, which the stream's watermark then follows."""
+    rides = D.rides_from_events(_t(spark, sf, "events"))
+    timed = time(R.with_terminals(rides, spark))
+    return Replay(timed, "event_time", name, 3, ("start_time", "end_time"), rides.columns, **options)
+
+
+def _chained(spark, sf, name: str, **kw) -> DataFrame:
+    """The busiest terminal per hour as two chained stateful windows: counts per terminal and
+    hour, then the largest of each closed hour."""
+    replay = _arriving_rides(spark, sf, name)
+    rides = R.with_terminals(replay.stream(), spark)
+    busiest = R.busiest_terminal(R.terminal_hourly(rides, watermark="60 seconds", **kw))
+    return R.report(SR.run_append(busiest, spark, name, arrivals=replay.arrivals()), "terminal", "hour", "n")
+
+
+@query
+def stream_chained_busiest(spark, sf):
+    return _chained(spark, sf, "stream_chained_busiest")
+
+
+@query
+def stream_chained_busiest_departures(spark, sf):
+    return _chained(spark, sf, "stream_chained_busiest_departures", departures_only=True)
+
+
+@query
+def stream_rides_gzip(spark, sf):
+    """Rides written as gzip csv, read back as a stream; endpoint counts of all closed windows."""
+    name = "stream_rides_gzip"
+    replay = _arriving_rides(spark, sf, name, R.event_time, fmt="csv", compression="gzip")
+    rides = replay.stream(lambda folder: SF.read_rides(spark, folder, "csv", streaming=True))
+    hourly = R.both_endpoints_hourly(R.with_terminals(rides, spark), watermark="2 seconds")
+    return R.report(SR.run_append(hourly, spark, name, arrivals=replay.arrivals()), "terminal", "hour", "n")
+
+
+@query
+def stream_three_tasks(spark, sf):
+    """Visits, busiest terminal and busiest departures from one source and one stateful
+    aggregate. Append mode gives a window whole, in one micro-batch, once it is closed."""
+    name = "stream_three_tasks"
+    replay = _arriving_rides(spark, sf, name)
+    hourly = R.tagged_hourly(R.with_terminals(replay.stream(), spark), "60 seconds")
+    schema = "window_start timestamp_ntz, result string, terminal string, hour int, n long"
+    found = SR.run_batches(hourly, spark, name, {"tasks": schema}, lambda b, _: {"tasks": R.task_results(b)}, arrivals=replay.arrivals())
+    return found["tasks"].drop("batch")
+
+
+def _joined_trips(spark, sf, name: str, how: str) -> DataFrame:
+    replay = _arriving(spark, sf, name)
+    starts, _ = D.trip_ends(replay.stream())
+    _, ends = D.trip_ends(replay.stream())
+    joined = SJ.interval_join(starts, ends, ["trip"], "start_time", "end_time", "4 minutes", how)
+    found = SR.run_append(joined, spark, name, arrivals=replay.arrivals()).where("trip >= 0")  # not the end rows
+    return found.select("trip", F.col("start_time").cast("timestamp_ntz").alias("start_time"), "start_user",
+                        F.col("end_time").cast("timestamp_ntz").alias("end_time"), "end_user")
+
+
+@query
+def stream_join_rides(spark, sf):
+    """Start records with the end record of their trip, if it comes within four minutes."""
+    return _joined_trips(spark, sf, "stream_join_rides", "leftOuter")
+
+
+@query
+def stream_join_rides_inner(spark, sf):
+    return _joined_trips(spark, sf, "stream_join_rides_inner", "inner")
+
+
+@query
+def stream_cogroup(spark, sf):
+    """Per user and day, the start and the end records of two streams side by side."""
+    name = "stream_cogroup"
+    replay = _arriving(spark, sf, name)
+    starts, _ = D.trip_ends(replay.stream())
+    _, ends = D.trip_ends(replay.stream())
+    starts = starts.select(F.col("start_time").alias("at"), F.col("start_user").alias("user_id"), "trip")
+    ends = ends.select(F.col("end_time").alias("at"), F.col("end_user").alias("user_id"), "trip")
+    groups = SJ.window_cogroup(starts, ends, "user_id", F.col("trip"), F.col("trip"), "at", "1 day")
+    found = SR.run_append(groups, spark, name, arrivals=replay.arrivals()).where("user_id IS NOT NULL")  # not the end rows
+    return present_window(found).select("window_start", "user_id", "left_values", "right_values")
+
+
+LATE_SLOTS = 6
+
+
+def _late_split(spark, sf, name: str) -> tuple[DataFrame, DataFrame]:
+    events = D.delayed(_t(spark, sf, "events").select("event_id", "ts"))
+    replay = Replay(events, "arrival", name, LATE_SLOTS)
+    return SL.run_with_late(replay.stream(), spark, name, "ts", "60 seconds", arrivals=replay.arrivals())
+
+
+@query
+def stream_late_rows(spark, sf):
+    """Side output: events whose hour the watermark had passed when they came, and that watermark."""
+    _, late = _late_split(spark, sf, "stream_late_rows")
+    return late.select("event_id", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("ts", "window_start", "watermark")])
+
+
+@query
+def stream_late_counts(spark, sf):
+    counts = SL.late_counts(*_late_split(spark, sf, "stream_late_counts"))
+    return counts.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+@query
+def stream_running_total(spark, sf):
+    """Every event with the number of events of its type so far (six hot keys)."""
+    name = "stream_running_total"
+    events = _t(spark, sf, "events").select("event_id", "event_type", F.unix_micros("ts").alias("at"))
+    replay = Replay(events, "at", name, 3)
+    stream = replay.stream().withColumn("one", F.lit(1).cast("long"))
+    out = ST.run_running_total(stream, spark, name, "event_type", "one", ["at", "event_id"], "so_far", replay.arrivals())
+    return out.select("event_id", "event_type", "so_far")
+
+
+@query
+def stream_running_wordcount(spark, sf):
+    """Every word of every document with its count so far, documents arriving by id."""
+    name = "stream_running_wordcount"
+    replay = Replay(_t(spark, sf, "documents").select("doc_id", "text"), "doc_id", name, 3)
+    words = replay.stream().select("doc_id", F.posexplode(word_tokens(F.col("text"))).alias("pos", "word"), F.lit(1).cast("long").alias("one"))
+    out = ST.run_running_total(words, spark, name, "word", "one", ["doc_id", "pos"], "count", replay.arrivals())
+    return out.select("doc_id", "pos", "word", "count")
+
+
 # ================================================================ graphs
 
 def _graph(spark, sf) -> tuple[DataFrame, DataFrame]:

@@ -75,6 +75,24 @@ def rides_from_events(events: DataFrame, grid: Grid = DEFAULT_GRID) -> DataFrame
     )
 
 
+def trip_ends(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Start and end records of trips (works on a stream too): an even event starts trip
+    ``event_id div 2``, the odd event after it ends it. A record without id is of trip -1 and
+    on both sides: join plans drop null keys before they note the time."""
+    trip = F.coalesce(F.floor(F.col("event_id") / 2), F.lit(-1))
+    starts = events.where((_pick(F.col("event_id"), 2) == 0) | F.col("event_id").isNull()).select(
+        trip.alias("trip"), F.col("ts").alias("start_time"), F.col("user_id").alias("start_user"))
+    ends = events.where((_pick(F.col("event_id"), 2) == 1) | F.col("event_id").isNull()).select(
+        trip.alias("trip"), F.col("ts").alias("end_time"), F.col("user_id").alias("end_user"))
+    return starts, ends
+
+
+def delayed(events: DataFrame) -> DataFrame:
+    """``events`` with an ``arrival`` time: every 17th event comes three days late."""
+    late = F.when(_pick(F.col("event_id"), 17) == 0, F.expr("INTERVAL 3 DAYS")).otherwise(F.expr("INTERVAL 0 DAYS"))
+    return events.withColumn("arrival", F.col("ts") + late)
+
+
 # ---------------------------------------------------------------- attribute lines
 
 def attribute_lines(customer: DataFrame) -> DataFrame:

@@ -102,6 +102,25 @@ ends AS (
   SELECT ride_id, et, end_terminal, end_hour FROM e11 WHERE end_terminal IS NOT NULL),
 both_hourly AS (SELECT date_trunc('hour', et) AS window_start, terminal, hour, count(*) AS n FROM ends GROUP BY 1, 2, 3)"""
 
+TRIPS = """
+starts AS (SELECT event_id // 2 AS trip, ts AS start_time, user_id AS start_user FROM events WHERE event_id % 2 = 0),
+ends AS (SELECT event_id // 2 AS trip, ts AS end_time, user_id AS end_user FROM events WHERE event_id % 2 = 1)"""
+TRIP_JOIN = """
+SELECT s.trip, start_time, start_user, end_time, end_user FROM starts s {how} JOIN ends e
+  ON e.trip = s.trip AND end_time >= start_time AND end_time <= start_time + INTERVAL 4 MINUTE"""
+
+# Events in six slots of their arrival; the watermark of a slot is the largest time of the
+# slots before it less a minute.
+LATE = """
+arriving AS (SELECT event_id, ts, date_trunc('hour', ts) AS window_start,
+               epoch_us(ts + CASE WHEN event_id % 17 = 0 THEN INTERVAL 3 DAY ELSE INTERVAL 0 DAY END) AS came FROM events),
+slotted AS (SELECT *, ((came - (SELECT min(came) FROM arriving)) * 6) //
+                      ((SELECT max(came) FROM arriving) - (SELECT min(came) FROM arriving) + 1) AS slot FROM arriving),
+tops AS (SELECT slot, max(ts) AS top FROM slotted GROUP BY slot),
+marks AS (SELECT slot, max(top) OVER (ORDER BY slot ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 60 SECOND AS watermark
+          FROM tops),
+judged AS (SELECT *, coalesce(window_start + INTERVAL 1 HOUR <= watermark, FALSE) AS late FROM slotted JOIN marks USING (slot))"""
+
 MIX = "(l_suppkey * 31 + l_linenumber * 17 + l_orderkey)"
 GE = f"""
 ge AS (SELECT l_partkey AS src, {MIX} % (SELECT count(*) FROM part) AS dst, CAST(l_quantity AS INTEGER) AS w
@@ -297,6 +316,31 @@ FROM rt WHERE start_terminal IS NOT NULL OR end_terminal IS NOT NULL""",
     "stream_busiest_per_hour": "WITH " + RIDES + ",\n" + _hourly() + "\n" + _busiest(),
     "rides_busiest_departures_hour": "WITH " + RIDES + ",\n" + _hourly("is_start") + "\n" + _busiest(),
     "stream_busiest_departures_hour": "WITH " + RIDES + ",\n" + _hourly("is_start") + "\n" + _busiest(),
+    "stream_chained_busiest": "WITH " + RIDES + ",\n" + _hourly() + "\n" + _busiest(),
+    "stream_chained_busiest_departures": "WITH " + RIDES + ",\n" + _hourly("is_start") + "\n" + _busiest(),
+    "stream_rides_gzip": "WITH " + RIDES + ENDS + "\nSELECT window_start, terminal, hour, n FROM both_hourly",
+    "stream_three_tasks": "WITH " + RIDES + f"""
+SELECT 'terminal visits' AS result, * FROM (WITH {_hourly()} {_hourly_report()})
+UNION ALL SELECT 'busiest', * FROM (WITH {_hourly()} {_busiest()})
+UNION ALL SELECT 'busiest departures', * FROM (WITH {_hourly("is_start")} {_busiest()})""",
+    "stream_join_rides": "WITH " + TRIPS + TRIP_JOIN.format(how="LEFT"),
+    "stream_join_rides_inner": "WITH " + TRIPS + TRIP_JOIN.format(how="INNER"),
+    "stream_cogroup": "WITH " + TRIPS + """,
+both_sides AS (SELECT start_time AS came, start_user AS user_id, CAST(trip AS VARCHAR) AS l, NULL AS r FROM starts
+               UNION ALL SELECT end_time, end_user, NULL, CAST(trip AS VARCHAR) FROM ends)
+SELECT date_trunc('day', came) AS window_start, user_id,
+  coalesce(list(l ORDER BY l) FILTER (WHERE l IS NOT NULL), []) AS left_values,
+  coalesce(list(r ORDER BY r) FILTER (WHERE r IS NOT NULL), []) AS right_values
+FROM both_sides GROUP BY 1, 2""",
+    "stream_late_rows": "WITH " + LATE + "\nSELECT event_id, ts, window_start, watermark FROM judged WHERE late",
+    "stream_late_counts": "WITH " + LATE + """
+SELECT window_start, count(*) FILTER (WHERE NOT late) AS on_time, count(*) FILTER (WHERE late) AS late FROM judged GROUP BY 1""",
+    "stream_running_total": """SELECT event_id, event_type,
+  count(*) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS so_far FROM events""",
+    "stream_running_wordcount": r"""
+WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '\W+'), lambda x: x <> '') AS ws FROM documents),
+words AS (SELECT doc_id, unnest(range(len(ws))) AS pos, unnest(ws) AS word FROM w)
+SELECT doc_id, pos, word, count(*) OVER (PARTITION BY word ORDER BY doc_id, pos ROWS UNBOUNDED PRECEDING) AS count FROM words""",
     "tumbling_count": "SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY 1, 2",
     "busiest_per_hour": """SELECT window_start, event_type, n FROM (
   SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY n DESC, event_type) AS rn

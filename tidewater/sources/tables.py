@@ -25,12 +25,16 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming scan of the same table (file source over the directory, one file selected)."""
-    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    """Streaming scan of the same table, be it one file or a folder of part files.
+
+    The batch reader gives the schema and raises where the table is missing or holds no
+    data file. The path is a pattern that only the table itself matches: the file source
+    refuses a plain file, but not a pattern that leads to one."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return _zoned(reader.parquet(sf_dir))
+    return _zoned(reader.parquet(f"{path[:-1]}[{path[-1]}]"))
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:

@@ -1,13 +1,14 @@
 """Run a streaming query to the end of its available input and read the result back.
 
-Results go to a fresh folder under the shared checkpoint root (never to the driver):
+With ``arrivals`` (a ``Replay``'s steps) the query runs once per arrival on one checkpoint;
+without, once. Results go to a fresh folder under the shared checkpoint root (never to the driver):
 append mode uses the exactly-once parquet file sink; update mode writes one
 partition per micro-batch and the latest row per key is chosen by Spark on read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -31,16 +32,47 @@ def _finish(q, timeout_s: float | None) -> None:
         raise TimeoutError(f"the stream was still running after {timeout_s} s")
 
 
-def run_append(stream: DataFrame, spark: SparkSession, name: str, timeout_s: float | None = None) -> DataFrame:
+def run_append(stream: DataFrame, spark: SparkSession, name: str, timeout_s: float | None = None,
+               arrivals: Iterable[None] = (None,)) -> DataFrame:
     out = scratch_path(spark, f"{name}-out")
     ckpt = scratch_path(spark, f"{name}-ckpt")
-    q = (stream.writeStream.format("parquet").outputMode("append")
-         .option("path", out).option("checkpointLocation", ckpt)
-         .trigger(availableNow=True).queryName(f"{name}_{abs(hash(out)) % 10**8}").start())
-    _finish(q, timeout_s)
+    for _ in arrivals:
+        q = (stream.writeStream.format("parquet").outputMode("append")
+             .option("path", out).option("checkpointLocation", ckpt)
+             .trigger(availableNow=True).queryName(f"{name}_{abs(hash(out)) % 10**8}").start())
+        _finish(q, timeout_s)
     return spark.read.schema(stream.schema).parquet(out)
 
 
+def run_batches(stream: DataFrame, spark: SparkSession, name: str, outputs: dict[str, str],
+                process: Callable[[DataFrame, int], dict[str, DataFrame]], timeout_s: float | None = None,
+                arrivals: Iterable[None] = (None,), output_mode: str = "append") -> dict[str, DataFrame]:
+    """Every micro-batch becomes the frames ``process(batch, batch_id)`` names, written to
+    ``<output>/batch=<id>`` (overwritten on a replay). ``outputs`` maps a name to its schema;
+    returns a frame per output with all batches, ``batch`` included."""
+    root = scratch_path(spark, f"{name}-batches")
+    ckpt = scratch_path(spark, f"{name}-ckpt")
+    batches: set[int] = set()
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for key, df in process(batch, batch_id).items():
+                df.write.mode("overwrite").parquet(f"{root}/{key}/batch={batch_id}")
+            batches.add(batch_id)
+        finally:
+            batch.unpersist()
+
+    for _ in arrivals:
+        q = (stream.writeStream.outputMode(output_mode).foreachBatch(write_batch)
+             .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+        _finish(q, timeout_s)
+    with_batch = {key: f"{schema}, batch int" for key, schema in outputs.items()}
+    if not batches:  # the input was empty
+        return {key: spark.createDataFrame([], schema) for key, schema in with_batch.items()}
+    return {key: spark.read.schema(schema).parquet(f"{root}/{key}") for key, schema in with_batch.items()}
+
+
 def run_update_log(stream: DataFrame, spark: SparkSession, name: str, keys: list[str],
                    output_mode: str = "update", timeout_s: float | None = None) -> DataFrame:
     """Every micro-batch's changed rows go to ``batch=<id>`` (overwritten on retry, so a
