@@ -1,10 +1,12 @@
 """Licences, exact dedup, URL rules, chat formatting and mixing: defined cases and brute force."""
 
 import hashlib
+import random
 import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidewater.llm import chat_format, exact_dedup, license_scan, mix_sources, url_filter
 
@@ -55,6 +57,20 @@ def test_exact_dedup_one_huge_group_is_split(spark):
     assert out.where("kept").count() == 4001
 
 
+def test_copies_without_an_id_are_spread(spark, monkeypatch):
+    """A third of the rows are one text without an id, another third one text with one id."""
+    rows = [(None, "the same")] * 2000 + [(7, "that  one")] * 2000 + [(100 + i, f"text {i}") for i in range(2000)]
+    docs = rows_of(spark, rows).repartition(5)
+    tables, write = {}, exact_dedup.written
+    monkeypatch.setattr(exact_dedup, "written", lambda df, name: tables.setdefault(name, write(df, name)))
+    out = exact_dedup.exact_dedup(docs, cap_least=100)
+    got = Counter((r.doc_id, r.keep_id, r.group_size, r.kept) for r in out.collect() if r.doc_id is None or r.doc_id == 7)
+    assert got == {(None, None, 2000, True): 1, (None, None, 2000, False): 1999, (7, 7, 2000, True): 1, (7, 7, 2000, False): 1999}
+    assert sum(r.kept for r in out.collect()) == 2002
+    runs = [r.run_size for r in tables["dedup-runs"].collect()]
+    assert len(runs) == 4000 and max(runs) < 300
+
+
 @pytest.mark.parametrize("op", [lambda d: exact_dedup.exact_dedup(d), lambda d: mix_sources.mix_sources(d),
                                 lambda d: mix_sources.mixed_documents(d)])
 def test_empty_documents(spark, op):
@@ -91,6 +107,31 @@ def test_url_rules_against_brute_force(spark):
     assert {x.verdict for x in url_filter.judge_urls(pages, r.limit(0)).collect()} == {"allow"}
 
 
+def test_many_nested_rules_over_many_partitions(spark):
+    """Thousands of nested rule hosts and a host with half of the URLs, against brute force."""
+    rng = random.Random(6)
+    names = [".".join(rng.choice("abc") for _ in range(rng.randrange(1, 7))) for _ in range(3000)]
+    rules = list({(h, p): (h, p, v) for h, p, v in ((rng.choice(names), rng.choice(["", "/", "/x", "/x/y"]), rng.choice(["allow", "block"]))
+                                                 for _ in range(2000))}.values())
+    urls = [f"http://{rng.choice(names)}{rng.choice(['', '/', '/x', '/x/yz', '/q'])}" for _ in range(600)] + ["http://a.b.c/x/y"] * 600
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").repartition(3)
+    r = spark.createDataFrame(rules, "host string, path string, verdict string").repartition(5)
+    by_host = {}
+    for rule in rules:
+        by_host.setdefault(rule[0], []).append(rule)
+    for row in url_filter.judge_urls(pages, r).collect():
+        host = row.url.split("://")[1].split("/")[0].split(".")
+        near = [x for i in range(len(host)) for x in by_host.get(".".join(host[i:]), [])]
+        assert (row.host, row.path, row.rule, row.verdict) == judged(row.url, near), row.url
+
+
+def test_rules_go_to_few_partitions(spark):
+    hosts = url_filter.rule_hosts(spark.range(20_000).select(F.concat(F.lit("h"), "id", F.lit(".example.net")).alias("host"),
+                                                             F.lit("/").alias("path"), F.lit("block").alias("verdict")))
+    placed = hosts.repartitionByRange(32, "key").withColumn("pid", F.spark_partition_id())
+    assert url_filter.borders(placed, 32, 3).count() <= 32 * 3
+
+
 def chats(spark, rows):
     return spark.createDataFrame([(*r, 1, "x") for r in rows],
                                  "conv_id long, turn int, role string, text string, n int, part string")
@@ -126,6 +167,17 @@ def test_one_conversation_of_a_third_of_the_rows_is_rendered_in_parts(spark):
     assert sorted(r.pos for r in turns.where("conv_id IS NULL").collect()) == list(range(1, 1001))
 
 
+def test_parts_are_bounded_in_bytes(spark):
+    """A third of the rows are turns of 1 MB in one conversation: no part outgrows its weight by more than a turn."""
+    turns = [(1, i, "user", str(i % 10) * 1_000_000) for i in range(40)] + [(2 + i, 0, "user", f"own {i}") for i in range(80)]
+    out = chat_format.format_chats(chats(spark, turns), 1024).orderBy("conv_id", "part").collect()
+    long = [r for r in out if r.conv_id == 1]
+    assert len(long) == 10 and max(len(r.text) for r in long) < 1024 * 4096 + 1_100_000
+    assert "".join(r.text for r in long) == "".join(f"<|user|>\n{t[3]}\n<|end|>\n" for t in turns[:40])
+    small = chat_format.format_chats(chats(spark, turns[:3]), 1).orderBy("part").collect()
+    assert [r.text.count("<|end|>") for r in small] == [1, 1, 1]
+
+
 def test_no_conversations(spark):
     assert chat_format.format_chats(chats(spark, [])).collect() == []
 
@@ -145,6 +197,15 @@ def targets(sizes, weights=(5, 2, 1)):
     return out
 
 
+def test_rows_without_an_id_spread_over_ranges(spark):
+    docs = rows_of(spark, [(None, f"text number {i}", "en", "a") for i in range(3000)])
+    keys = docs.select(mix_sources.random_key(F.col("doc_id"), F.col("text"), "mix").alias("k")).withColumn("rng", F.shiftright("k", 60 - 5))
+    sizes = [r["count"] for r in keys.groupBy("rng").count().collect()]
+    assert len(sizes) == 32 and max(sizes) < 200
+    out = mix_sources.mix_sources(docs, range_rows=64).collect()
+    assert sum(r.taken for r in out) == 9000 and {r.taken for r in out} == {3}
+
+
 def test_mix_meets_targets(spark):
     rows = [(i, "w " * (i % 7), "en", ["big", "mid", "z", None, "A"][0 if i % 3 else i % 5]) for i in range(900)]
     rows += [(2000, None, "en", "only null"), (2001, "x " * 40_000, "en", "long"), (2002, "", "en", "big"), (None, "a b", "en", "mid")]
@@ -202,18 +263,80 @@ to use, copy, modify, merge, publish, distribute, sublicense, and/or sell""",
 modify it under the terms of the GNU Lesser General Public
 License as published by the Free Software Foundation; either
 version 2.1 of the License, or (at your option) any later version.""",
-    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without
+    "BSD": """Redistribution and use in source and binary forms, with or without
 modification, are permitted provided that the following conditions
 are met:""",
 }
 
 
+RELATIVES = {
+    "AGPL-3.0": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU Affero General Public License as published
+by the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.""",
+    "GPL-2.0": """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.""",
+    "GPL-2.0 ": "GNU General Public License, version 2.",
+    "LGPL": """This library is free software: you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public License as
+published by the Free Software Foundation, either version 3 of the
+License, or (at your option) any later version.""",
+    "CC-BY-ND-4.0": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International\nLicense.",
+    "CC-BY-NC-SA-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0\nInternational License.",
+    "CC-BY-3.0": "This work is licensed under a Creative Commons Attribution 3.0 Unported\nLicense.",
+    "BSD": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:""",
+}
+
+
+def stories():
+    return [(1000 + i, f"the word {i} of a story about {i * 7} things and places\nsecond line {i} in it") for i in range(300)]
+
+
+def test_relatives_are_never_taken_for_each_other(spark):
+    """Notices of related families in one line and wrapped, every template as a line, and versions nobody knows."""
+    names = list(RELATIVES)
+    rows = [(i, RELATIVES[f].replace("\n", " ")) for i, f in enumerate(names)] + [(100 + i, f"x\n{RELATIVES[f]}\ny") for i, f in enumerate(names)]
+    rows += [(200 + i, t) for i, (_, t) in enumerate(license_scan.TEMPLATES)]
+    rows += [(500, "This work is licensed under a Creative Commons Attribution 2.5 Generic License."), (501, "Licensed under CC BY 1.0."),
+             (502, "This work is licensed under the GNU General Public License."), (503, "This work is licensed under the GNU Affero License, version 9.")]
+    docs = rows_of(spark, rows + stories())
+    got = {r.doc_id: r for r in license_scan.scan(docs, license_scan.train(docs)).collect()}
+    for i, f in enumerate(names):
+        assert got[i].family in (f.strip(), None) and got[100 + i].family in (f.strip(), None), (f, got[i], got[100 + i])
+    own = sum(got[i].family == f.strip() for i, f in enumerate(names)) + sum(got[100 + i].family == f.strip() for i, f in enumerate(names))
+    assert own >= 14, own
+    for i, (f, t) in enumerate(license_scan.TEMPLATES):
+        assert got[200 + i].family == f, (t, got[200 + i])
+    assert all(got[i].family is None for i in range(500, 504)), [got[i] for i in range(500, 504)]
+
+
+def test_confirmation_against_a_plain_recount(spark):
+    docs = rows_of(spark, [(i, t) for i, (_, t) in enumerate(license_scan.TEMPLATES)] + stories())
+    model = license_scan.train(docs)
+    grams = lambda t: [f"{a} {b}" for w in [re.findall(r"[^\W_]+", t.lower())] for a, b in zip(w, w[1:])]
+    templates = [(f, set(grams(t))) for f, t in license_scan.TEMPLATES]
+    texts = [t for t in [*RELATIVES.values(), *WRAPPED.values(), *[t for _, t in license_scan.TEMPLATES]]]
+    lines = spark.createDataFrame([(i, t.replace("\n", " ")) for i, t in enumerate(texts)], "i int, t string")
+    lines = lines.withColumn("words", license_scan.words_of(F.col("t")))
+    for r in model.compared(lines, "i", "t").collect():
+        have = set(grams(r.t))
+        share = lambda d: 0.5 if not d else len(d & have) / len(d)  # noqa: E731, B023
+        telling = lambda d: {p for p in d if license_scan.TELLING & set(p.split())}
+        best = max(((len(t & have) / len(t) >= license_scan.CONFIRM and all(
+            share(telling(t - u)) > share(telling(u - t)) for g, u in templates if g != f and len(t & u) >= 0.5 * min(len(t), len(u))),
+            len(t & have) / len(t)) for f, t in templates if f == r.family), default=(False, None))
+        assert (r.confirmed, r.similarity) == best, r
+
+
 def test_wrapped_licences(spark):
     corpus = [(100 + i, f"the word {i} of a story about {i * 7} things and places\nsecond line {i} in it") for i in range(300)]
     families = list(WRAPPED)
     rows = [(i, f"A story begins.\n{WRAPPED[f]}\n\nAnd it ends\nhere.") for i, f in enumerate(families)]
     rows += [(10, WRAPPED["MIT"] + "\n" + WRAPPED["LGPL"]), (11, "\n".join(WRAPPED["GPL-3.0"].replace("*", "").split())),
-             (12, WRAPPED["BSD-3-Clause"] + "\ntext between\nReleased under the MIT License.\n" + WRAPPED["BSD-3-Clause"]),
+             (12, WRAPPED["BSD"] + "\ntext between\nReleased under the MIT License.\n" + WRAPPED["BSD"]),
              (None, WRAPPED["MIT"]), (None, WRAPPED["GPL-2.0"])]
     docs = rows_of(spark, rows + corpus)
     got = {r.doc_id: r for r in license_scan.scan(docs, license_scan.train(docs)).collect()}
@@ -222,6 +345,6 @@ def test_wrapped_licences(spark):
         assert got[i].similarity > 0.9
     assert (got[10].families, got[10].n_licences) == (["LGPL", "MIT"], 2)
     assert (got[11].families, got[11].n_licences) == (["GPL-3.0"], 1)
-    assert (got[12].families, got[12].n_licences) == (["BSD-3-Clause", "MIT"], 3)
+    assert (got[12].families, got[12].n_licences) == (["BSD", "MIT"], 3)
     assert (got[None].families, got[None].n_licences) == (["GPL-2.0", "MIT"], 2)
     assert not any(got[i].n_licences for i, _ in corpus)
