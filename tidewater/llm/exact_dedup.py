@@ -7,12 +7,14 @@ key followed by the full normalised text and the id, so equal texts are adjacent
 window over the sorted rows starts a new group where the full text differs from its
 neighbour's and keeps the smallest id.
 
-A text with more copies than ``cap`` rows is spread over several salts (copies of one row
-stay together, the salt hashes the id); its runs, pre-aggregated per task, are merged by
-full text, and the at most ``8 * partitions`` merged runs are broadcast.
+A text with more copies than ``cap`` rows is spread over several salts by the row's place in the
+input, so that copies that share an id, or have none, spread too. The runs of such texts are
+written once (the salts then hold for all later reads), merged by full text, and the
+at most ``8 * partitions`` merged runs are broadcast.
 
 Defined cases: a null text counts as empty; a null id sorts last (``keep_id`` is null only
-if every id of the group is); of fully repeated rows exactly one is ``kept``; an empty
+if every id of the group is); of fully repeated rows exactly one is ``kept``; texts of any length are normalised and
+compared whole; an empty
 table gives an empty result; input columns named like a result column are replaced.
 """
 
@@ -21,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import fresh, heavy_keys, read_table, shuffle_partitions
+from tidewater.llm.common import fresh, heavy_keys, read_table, shuffle_partitions, written
 
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 PREFIX = 32
@@ -42,27 +44,27 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     hashed = docs.withColumn(norm, normalised(F.col(text_col))).withColumn(h, F.xxhash64(norm))
 
     heavy, cap = heavy_keys(hashed.select(h), h, docs.count(), parts, cap_least)
-    salts = F.broadcast(heavy.select(F.col(h), F.ceil(F.col("n") / cap).alias(salt)))
-    salted = (hashed.join(salts, h, "left")
-              .withColumn(salt, F.coalesce(F.pmod(F.xxhash64(F.col(id_col)), F.col(salt)), F.lit(-1))))
-
-    ordered = (salted.withColumn(head, F.substring(norm, 1, PREFIX))
-               .repartitionByRange(F.col(head), F.col(h), F.col(salt)))
-    run = Window.partitionBy(head, h, salt, norm)
-    runs = (ordered
-            .withColumn(first, F.row_number().over(run.orderBy(F.col(id_col).asc_nulls_last())) == 1)
-            .withColumn(run_keep, F.min(id_col).over(run))
-            .withColumn(run_size, F.count("*").over(run)))
-
-    copies = (salted.where(F.col(salt) >= 0).groupBy(h, norm, salt)
-              .agg(F.min(id_col).alias(rk), F.count("*").alias(gn)))
+    salts = F.broadcast(written(heavy.select(F.col(h), F.ceil(F.col("n") / cap).alias(salt)), "dedup-heavy"))
+    light = hashed.join(salts.select(h), h, "left_anti").withColumn(salt, F.lit(-1).cast("long"))
+    salted = hashed.join(salts, h).withColumn(salt, F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col(salt)).cast("long"))
+
+    def runs_of(rows: DataFrame) -> DataFrame:
+        ordered = rows.withColumn(head, F.substring(norm, 1, PREFIX)).repartitionByRange(F.col(head), F.col(h), F.col(salt))
+        run = Window.partitionBy(head, h, salt, norm)
+        return (ordered
+                .withColumn(first, F.row_number().over(run.orderBy(F.col(id_col).asc_nulls_last())) == 1)
+                .withColumn(run_keep, F.min(id_col).over(run))
+                .withColumn(run_size, F.count("*").over(run)))
+
+    copies = written(runs_of(salted), "dedup-runs")
     group = Window.partitionBy(h, norm)
-    merged = F.broadcast(copies.select(
-        F.col(h).alias(mh), F.col(salt).alias(ms), rk,
-        F.min(rk).over(group).alias(gk), F.sum(gn).over(group).alias(gn),
-        (F.row_number().over(group.orderBy(F.col(rk).asc_nulls_last(), F.col(salt))) == 1).alias(lead)))
-    joined = runs.join(merged, (F.col(h) == F.col(mh)) & (F.col(salt) == F.col(ms))
-                       & F.col(run_keep).eqNullSafe(F.col(rk)), "left")
+    merged = F.broadcast(copies.where(F.col(first)).select(
+        F.col(h).alias(mh), F.col(salt).alias(ms), F.col(run_keep).alias(rk),
+        F.min(run_keep).over(group).alias(gk), F.sum(run_size).over(group).alias(gn),
+        (F.row_number().over(group.orderBy(F.col(run_keep).asc_nulls_last(), F.col(salt))) == 1).alias(lead)))
+    same = (F.col(h) == F.col(mh)) & (F.col(salt) == F.col(ms)) & F.col(run_keep).eqNullSafe(F.col(rk))
+    joined = (copies.join(merged, same, "left").drop(mh, ms, rk)
+              .unionByName(runs_of(light), allowMissingColumns=True))
     out = {
         "keep_id": F.when(F.col(gn).isNotNull(), F.col(gk)).otherwise(F.col(run_keep)),
         "group_size": F.coalesce(F.col(gn), F.col(run_size)),
