@@ -1,9 +1,10 @@
 """Operator 6: mixing sources to target weights.
 
-Every row gets a hash-random key from its id. The key's leading bits cut each source into
-key ranges of about ``RANGE_ROWS`` rows; ranges are summed, prefix sums over a source's
-ranges give each range its start, and a sort inside the range finishes the prefix sum of
-token counts in key order. So a source of any size is split over many tasks. A source is
+Every row gets a hash-random key from its id and text, so rows that share an id, or have none, spread. The
+key's leading bits cut each source into key ranges of about ``RANGE_ROWS`` rows; ranges are
+summed, prefix sums over groups of ranges and over the ranges of a group (about the square root
+of their number each) give each range its start, and a sort inside the range finishes the
+prefix sum of token counts in key order. So a source of any size is split over many tasks. A source is
 taken ``target // size`` whole epochs and then in key order up to its exact budget; the
 document on the cut gives the words that still fit.
 
@@ -11,9 +12,10 @@ Weights go round over the sources in code-point order (null last). A target stop
 ``max_repeat`` times the source's size and the excess is dealt again by weight until no
 source is above (one small aggregate per round over the table of sources).
 
-Defined cases: a null text has size 0; null sources form one source; a null id gets one
-fixed key; rows with equal keys are ordered by id, size and row number (equal rows are
-interchangeable); an empty table or one without words gives targets and takes of 0.
+Defined cases: a null text has size 0; null sources form one source; a null id is keyed like
+the id ``null``; rows with equal keys are ordered by id, size and row number (rows equal in id and text are
+interchangeable and share a range); texts of any length count whole; columns of the input
+that are named like a result do not matter; an empty table or one without words gives targets and takes of 0.
 """
 
 from __future__ import annotations
@@ -34,8 +36,8 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def random_key(id_col: Column, seed: str) -> Column:
-    digest = F.sha2(F.concat(F.lit(seed + ":"), F.coalesce(id_col.cast("string"), F.lit("null"))), 256)
+def random_key(id_col: Column, text: Column, seed: str) -> Column:
+    digest = F.sha2(F.concat(F.lit(seed + ":"), F.coalesce(id_col.cast("string"), F.lit("null")), F.lit(":"), F.coalesce(text, F.lit(""))), 256)
     return F.conv(F.substring(digest, 1, KEY_BITS // 4), 16, 10).cast("long")
 
 
@@ -67,15 +69,22 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     number = F.col(row_col) if row_col else F.lit(0)
     sized = written(docs.select(F.col(id_col).alias("id"), number.alias("number"), F.col(source_col).alias("source"),
                                 word_count(F.col(text_col)).alias("size"),
-                                random_key(F.col(id_col), seed).alias("key")), "mix-sizes")
+                                random_key(F.col(id_col), F.col(text_col), seed).alias("key")), "mix-sizes")
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     bits = max(0, (max(1, sized.count()) // range_rows).bit_length())
     ranged = sized.withColumn("rng", F.shiftright("key", KEY_BITS - bits))
-    before = Window.partitionBy("source").orderBy("rng").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (ranged.groupBy("source", "rng").agg(F.sum("size").alias("range_size"))
-              .withColumn("start", F.coalesce(F.sum("range_size").over(before), F.lit(0)))
+    def before(keys: list[str], order: str, size: str) -> Column:
+        earlier = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(size).over(earlier), F.lit(0))
+
+    ranges = ranged.groupBy("source", "rng").agg(F.sum("size").alias("range_size")).withColumn("block", F.shiftright("rng", bits // 2))
+    blocks = (ranges.groupBy("source", "block").agg(F.sum("range_size").alias("block_size"))
+              .select(F.col("source").alias("s"), F.col("block").alias("g"), before(["source"], "block", "block_size").alias("base")))
+    starts = (ranges.withColumn("inner", before(["source", "block"], "rng", "range_size"))
+              .join(blocks, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("g")))
+              .select("source", "rng", (F.col("base") + F.col("inner")).alias("start"))
               .join(source_targets(totals, weights, max_repeat).withColumnRenamed("source", "s"),
-                    F.col("source").eqNullSafe(F.col("s"))).drop("s", "range_size"))
+                    F.col("source").eqNullSafe(F.col("s"))).drop("s"))
     rows = ranged.alias("r").join(
         starts.alias("b"), F.col("r.source").eqNullSafe(F.col("b.source")) & (F.col("r.rng") == F.col("b.rng"))).select(
             "r.id", "r.number", "r.source", "r.size", "r.key", "r.rng", "b.start", "b.source_size", "b.target")
@@ -121,7 +130,7 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {"op6_mix_sources": op6_mix_sources}
 ORACLE = {"op6_mix_sources": r"""
     WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-                      ('0x' || substr(sha256('mix:' || coalesce(doc_id::VARCHAR, 'null')), 1, 15))::BIGINT AS key
+                      ('0x' || substr(sha256('mix:' || coalesce(doc_id::VARCHAR, 'null') || ':' || coalesce(text, '')), 1, 15))::BIGINT AS key
                FROM documents),
     s AS (SELECT source, sum(size)::BIGINT AS source_size,
                  [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS w
