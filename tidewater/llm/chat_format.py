@@ -9,12 +9,15 @@ the ranges completes positions and hashes: whatever the turn numbers, no convers
 fit one task. (Turns alike in all but what follows the first ``KEY_CHARS`` characters of their
 text share a range.) A log is dropped (left anti join on length and hash) if a longer one has the
 same prefix hash at its length; of equal logs the smallest ``conv_id`` stays. What is left
-is rendered turn by turn, one row per conversation and part of ``PART_TURNS`` positions
-(part 0 alone unless a conversation has over ``PART_TURNS`` turns).
+is rendered turn by turn, one row per conversation and part. A turn weighs its bytes, at least
+``TURN_BYTES``; a part takes the turns that start in the same ``PART_TURNS * TURN_BYTES`` of a conversation's
+running weight, so a part holds at most that weight and one turn more, and has at most
+``PART_TURNS`` turns (part 0 alone unless a conversation is longer; numbers are skipped inside a turn that
+outweighs a part).
 
 Defined cases: turns sort by (turn, role, text), null first; null role and text count as
 empty; repeated identical turn rows count once; rows without ``conv_id`` form one
-conversation with a null id; an empty table gives no rows; other columns are ignored.
+conversation with a null id; turns of any length stay whole; an empty table gives no rows; other columns are ignored.
 The marker ``<|`` inside a text is written ``< |`` so that a text cannot forge a turn.
 """
 
@@ -25,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.common import read_table, shuffle_partitions, written
 
-PART_TURNS = 4096
+PART_TURNS, TURN_BYTES = 4096, 4096
 KEY_CHARS = 512
 
 
@@ -42,9 +45,11 @@ def rolling_turns(conversations: DataFrame, part_turns: int = PART_TURNS) -> Dat
     local = written(dealt.withColumn("i", F.row_number().over(by_part.orderBy("turn", "role", "text"))).drop("turn"), "chat-turns")
 
     earlier = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (local.groupBy("conv_id", "part").agg(F.max("i").alias("m"))
+    weight = F.greatest(F.octet_length("text") + F.octet_length("role"), F.lit(TURN_BYTES)).cast("long")
+    starts = (local.groupBy("conv_id", "part").agg(F.max("i").alias("m"), F.sum(weight).alias("w"))
               .withColumn("start", F.coalesce(F.sum("m").over(earlier), F.lit(0)))
-              .withColumn("n", F.sum("m").over(Window.partitionBy("conv_id"))).drop("m"))
+              .withColumn("heavy", F.coalesce(F.sum("w").over(earlier), F.lit(0)))
+              .withColumn("n", F.sum("m").over(Window.partitionBy("conv_id"))).drop("m", "w"))
     placed = _with_part(local, starts).withColumn("pos", F.col("start") + F.col("i"))
     hashed = placed.withColumns({f"h{k}": F.xxhash64("pos", "role", "text", F.lit(k)) for k in (1, 2)})
 
@@ -54,7 +59,7 @@ def rolling_turns(conversations: DataFrame, part_turns: int = PART_TURNS) -> Dat
     upto = by_part.orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     return (_with_part(hashed, sums)
             .withColumns({f"h{k}": F.bit_xor(f"h{k}").over(upto).bitwiseXOR(F.col(f"b{k}")) for k in (1, 2)})
-            .withColumn("part", F.floor((F.col("pos") - 1) / part_turns))
+            .withColumn("part", F.floor((F.col("heavy") + F.sum(weight).over(upto) - weight) / (part_turns * TURN_BYTES)))
             .select("conv_id", "part", "pos", "role", "text", "h1", "h2", "n"))
 
 
@@ -64,13 +69,13 @@ def _with_part(rows: DataFrame, parts: DataFrame) -> DataFrame:
 
 
 def maximal_conversations(turns: DataFrame) -> DataFrame:
-    """``(keep_conv, n_turns, copies)`` of the logs that no longer log starts with."""
+    """``(keep_conv, n_turns, copies, last_part)`` of the logs that no longer log starts with."""
     logs = (turns.where(F.col("pos") == F.col("n")).groupBy("n", "h1", "h2")
-            .agg(F.min("conv_id").alias("keep_conv"), F.count("*").alias("copies")))
+            .agg(F.min("conv_id").alias("keep_conv"), F.count("*").alias("copies"), F.max("part").alias("last_part")))
     inner = (turns.where(F.col("pos") < F.col("n")).groupBy("pos", "h1", "h2").agg(F.count("*").alias("longer"))
              .withColumnsRenamed({"pos": "i_pos", "h1": "i1", "h2": "i2"}))
     return logs.join(inner, (F.col("n") == F.col("i_pos")) & (F.col("h1") == F.col("i1"))
-                     & (F.col("h2") == F.col("i2")), "left_anti").select("keep_conv", F.col("n").alias("n_turns"), "copies")
+                     & (F.col("h2") == F.col("i2")), "left_anti").select("keep_conv", F.col("n").alias("n_turns"), "copies", "last_part")
 
 
 def format_chats(conversations: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
@@ -79,8 +84,7 @@ def format_chats(conversations: DataFrame, part_turns: int = PART_TURNS) -> Data
     kept = maximal_conversations(turns)
     piece = F.concat(F.lit("<|"), F.regexp_replace("role", r"<\|", "< |"), F.lit("|>\n"),
                      F.regexp_replace("text", r"<\|", "< |"), F.lit("\n<|end|>\n"))
-    last = F.floor((F.col("n_turns") - 1) / part_turns)
-    parts = kept.withColumnRenamed("keep_conv", "conv_id").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    parts = kept.withColumnRenamed("keep_conv", "conv_id").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last_part"))))
     joined = _with_part(turns, parts)
     return (joined.select("conv_id", "part", "pos", "n_turns", "copies", piece.alias("piece"))
             .groupBy("conv_id", "part", "n_turns", "copies")
