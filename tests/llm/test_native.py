@@ -325,7 +325,7 @@ def test_confirmation_against_a_plain_recount(spark):
         have = set(grams(r.t))
         share = lambda d: 0.5 if not d else len(d & have) / len(d)  # noqa: E731, B023
         telling = lambda d: {p for p in d if license_scan.TELLING & set(p.split())}
-        best = max(((len(t & have) / len(t) >= license_scan.CONFIRM and all(
+        best = max(((len(t & have) / len(t) >= (0.6 if len(t) > 12 else 0.7) and all(
             share(telling(t - u)) > share(telling(u - t)) for g, u in templates if g != f and len(t & u) >= 0.5 * min(len(t), len(u))),
             len(t & have) / len(t)) for f, t in templates if f == r.family), default=(False, None))
         assert (r.confirmed, r.similarity) == best, r
