@@ -104,10 +104,12 @@ def test_edge_weights_neighbors_bfs(spark):
 def test_hub_is_salted_and_ranks_unchanged(spark):
     n = 400
     star = edges(spark, [(0, i) for i in range(1, n + 1)] + [(1, 2)])
-    ext, heavy = G._spread_sources(star)
-    assert [r.src for r in heavy.collect()] == [0]
-    k = heavy.first()["_k"]
-    assert k > 1 and ext.filter("src = 0").select("_salt").distinct().count() == k
+    adjacency = G.Adjacency(star)
+    assert [r.src for r in adjacency.heavy.collect()] == [0]
+    k = adjacency.heavy.first()["_k"]
+    assert k > 1 and adjacency.blocks.filter("src = 0").select("_salt").distinct().count() == k
+    assert sorted(rows(adjacency.sent(spark.range(n).withColumnRenamed("id", "src")), "src", "dst")) == rows(star)
+    adjacency.release()
     got = pr(G.pagerank_pregel(star, 20))
     leaf = 0.15 + 0.85 * 0.15 / n
     assert abs(got[0] - 0.15) < 1e-12
@@ -142,3 +144,106 @@ def test_hub_edges_are_spread(spark):
     star = edges(spark, [(0, i) for i in range(1, 301)] + [(i, i + 1) for i in range(1, 300)])
     tri = dict(rows(G.triangle_counts(star)))
     assert tri[0] == 299 and tri[1] == 1 and tri[2] == 2
+
+
+def test_blocks_are_bounded_and_keep_edge_columns(spark):
+    e = spark.range(20_000).select((F.col("id") % 3).alias("src"), F.col("id").alias("dst"), (F.col("id") * 2).alias("w"))
+    verts = G.vertices_from_edges(e)
+    adjacency = G.Adjacency(e, verts, out_degree=True)
+    assert adjacency.blocks.agg(F.max(F.size("dsts"))).first()[0] <= G.BLOCK
+    assert adjacency.blocks.count() < 20_000 + 100
+    sent = adjacency.sent(verts.withColumnRenamed("id", "src")).where("NOT _self")
+    assert sent.agg(F.count("*"), F.sum("w"), F.max("outDeg")).first()[:2] == (20_000, sum(2 * i for i in range(20_000)))
+    adjacency.release()
+
+
+def test_message_passing_reads_edge_columns(spark):
+    e = spark.createDataFrame([(1, 2, 5.0), (1, 3, 1.0), (3, 2, 1.5)], "src long, dst long, w double")
+    verts = spark.createDataFrame([(1, 0.0), (2, None), (3, None)], "id long, value double")
+    near = G.message_passing(verts, e, None, send=lambda: F.col("src_value") + F.col("w"), combine=F.min,
+                             update=lambda v, m: F.when(m.isNull(), v).otherwise(F.least(v, m)),
+                             accept=lambda v, m: v.isNull() | (m < v), max_rounds=None)
+    assert rows(near) == [(1, 0.0), (2, 2.5), (3, 1.0)]
+
+
+def plain_components(pairs):
+    root = {}
+
+    def find(i):
+        root.setdefault(i, i)
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in pairs:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return sorted((i, find(i)) for i in root)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_components_against_union_find(spark, seed):
+    import random
+    rng = random.Random(seed)
+    pairs = [(rng.randrange(400), rng.randrange(400)) for _ in range(220)]
+    pairs += [(1000 + i, 1001 + i) for i in range(300)] + [(5000, 5001 + i) for i in range(400)] + [(7, 7), (9000, 9000)]
+    assert rows(G.connected_components(edges(spark, pairs))) == plain_components(pairs)
+
+
+def test_components_shrink_every_round(spark):
+    path = edges(spark, [(i, i + 1) for i in range(3000)])
+    maps, sizes = G.contraction_rounds(G.undirected(path))
+    assert sizes[0] == 3000 and all(b <= 0.8 * a + 2 for a, b in zip(sizes, sizes[1:])), sizes
+    assert len(maps) == len(sizes) < 25
+
+
+def test_components_of_text_ids(spark):
+    e = spark.createDataFrame([("b", "a"), ("c", "b"), ("x", "y")], "src string, dst string")
+    assert rows(G.connected_components(e)) == [("a", "a"), ("b", "a"), ("c", "a"), ("x", "x"), ("y", "x")]
+
+
+def plain_triangles(pairs):
+    near = {}
+    for a, b in pairs:
+        if a != b:
+            near.setdefault(a, set()).add(b)
+            near.setdefault(b, set()).add(a)
+    return {a: sum(len(near[a] & near[b]) for b in near[a]) // 2 for a in near}
+
+
+@pytest.mark.parametrize("task_edges", [2_000_000, 50])
+def test_triangles_against_plain_count(spark, task_edges):
+    import random
+    rng = random.Random(3)
+    pairs = [(rng.randrange(60), rng.randrange(60)) for _ in range(500)] + [(0, i) for i in range(1, 300)] + [(i, i + 1) for i in range(100, 200)]
+    got = dict(rows(G.triangle_counts(edges(spark, pairs), task_edges=task_edges)))
+    assert got == plain_triangles(pairs)
+
+
+def test_triangle_tasks_are_bounded(spark):
+    """A hub with half of the edges: an edge is shipped once per colour, and no task has many times the average."""
+    import random
+    rng = random.Random(4)
+    pairs = {tuple(sorted((rng.randrange(2000), rng.randrange(2000)))) for _ in range(6000)} | {(5000, i) for i in range(2000)}
+    pairs = [p for p in pairs if p[0] != p[1]]
+    colours = G._colours(len(pairs), 8, 500)
+    sizes = [r["count"] for r in G.triangle_tasks(G.undirected(edges(spark, pairs)), colours).groupBy("task").count().collect()]
+    assert sum(sizes) == colours * len(pairs)
+    assert max(sizes) < 5 * 500
+
+
+def test_triangles_of_text_ids(spark):
+    e = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("c", "d")], "src string, dst string")
+    assert rows(G.triangle_counts(e)) == [("a", 1), ("b", 1), ("c", 1), ("d", 0)]
+
+
+def test_residual_ranks_read_fewer_edges(spark):
+    """A fast tail and a slow cycle: ranks as by many plain rounds, and rounds read fewer and fewer edges."""
+    cycle = [(i, (i + 1) % 5) for i in range(5)]
+    tail = [(100 + i, 101 + i) for i in range(30)] + [(100, 200 + i) for i in range(50)]
+    e = edges(spark, cycle + tail + [(100, 0)])
+    ranks, read = G.pagerank_residual(e, bound=1e-8)
+    want = pr(G.pagerank_converged(e, 1e-10))
+    got = pr(ranks)
+    assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-6 for k in want)
+    assert read[0] == 86 and read[-1] <= 10 and sum(read) < 0.5 * 86 * len(read), read

@@ -14,10 +14,11 @@ def test_map_filter_flatmap(spark):
     assert zero == []
 
 
+# The small users, pets and visits tables below are fixed inputs of FIXTURES.md.
 def test_users(spark):
     users = spark.createDataFrame([("A", 20), ("B", 30), ("C", 40)], "k string, v int")
-    wiser = users.select(F.concat("k", F.lit("_wiser")).alias("k"), (F.col("v") + 1).alias("v"))
-    assert rows(wiser) == [("A_wiser", 21), ("B_wiser", 31), ("C_wiser", 41)]
+    later = users.select(F.concat("k", F.lit("/later")).alias("k"), (F.col("v") + 1).alias("v"))
+    assert rows(later) == [("A/later", 21), ("B/later", 31), ("C/later", 41)]
     assert rows(K.map_values(users, "v", lambda v: F.pow(v, 2)), "v") == [(400.0,), (900.0,), (1600.0,)]
     kv = rows(K.keys_values(users, "k", "v"))
     assert kv == sorted([("key", "A"), ("key", "B"), ("key", "C"), ("value", "20"), ("value", "30"), ("value", "40")])
@@ -79,3 +80,27 @@ def test_reduce_by_key_built_in_is_partial(spark):
     assert rows(K.reduce_by_key(df, "k", "v", "sum")) == rows(K.reduce_by_key(df, "k", "v", lambda a, b: a + b))
     plan = df.sparkSession._jvm.PythonSQLUtils.explainString(K.reduce_by_key(df, "k", "v", "sum")._jdf.queryExecution(), "simple")
     assert "partial_sum" in plan
+
+
+def test_sample_draws_rows_without_key_one_by_one(spark):
+    rows_ = [(None, i) for i in range(300)] + [(5, i) for i in range(300, 600)] + [(i, i) for i in range(600, 1000)]
+    df = spark.createDataFrame(rows_, "key int, v int")
+    took = [0, 0, 0]
+    for seed in range(20):
+        for r in K.sample_n(df, 30, "key", seed=seed).collect():
+            took[0 if r.key is None else 1 if r.key == 5 else 2] += 1
+    assert sum(took) == 600
+    assert all(abs(t - want) < 60 for t, want in zip(took, (180, 180, 240))), took
+
+
+def test_reduce_folds_a_hot_key_in_runs(spark):
+    """A third of the rows on one key, runs of 8 rows: three levels, and no array above a run."""
+    rows_ = [(0 if i % 3 == 0 else i, i) for i in range(3000)] + [(9999, None), (0, None)]
+    df = spark.createDataFrame(rows_, "k int, v int").repartition(4)
+    want = {}
+    for k, v in rows_:
+        want[k] = v if want.get(k) is None else want[k] if v is None else max(v, want[k])
+    got = K.reduce_by_key(df, "k", "v", lambda a, b: F.greatest(a, b), run_rows=8)
+    assert dict(rows(got)) == want
+    plan = df.sparkSession._jvm.PythonSQLUtils.explainString(got._jdf.queryExecution(), "simple")
+    assert plan.count("collect_list") >= 6  # partial and final aggregate of three levels

@@ -88,12 +88,14 @@ def test_round_does_not_sort_cached_edges(spark, capsys):
     from pyspark.sql import functions as F
     from tidewater.operators import graph as G
     e = spark.range(1000).select((F.col("id") % 100).alias("src"), F.col("id").alias("dst"))
-    ext, heavy = G._spread_sources(e)
+    adjacency = G.Adjacency(e)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        text = plan(capsys, ext.join(spark.range(100).withColumnRenamed("id", "src"), G._join_keys(heavy)[0]))
+        text = plan(capsys, adjacency.sent(spark.range(100).withColumnRenamed("id", "src")))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     lines = text.splitlines()
     at = next(i for i, line in enumerate(lines) if "InMemoryTableScan" in line)
-    assert "Sort [" not in lines[at - 1]
+    assert not any("Sort [" in line or "Exchange" in line for line in lines[at - 2:at])
+    assert adjacency.blocks.count() == 100  # a row per source, not per edge
+    adjacency.release()

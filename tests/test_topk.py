@@ -38,3 +38,14 @@ def test_any_id_and_large_scores_stay(spark):
     assert [(r.id, r.score) for r in TK.top_records(recs, 10).collect()] == [("7", 99999999999), ("a1", 5), ("50", 3)]
     with pytest.raises(Exception, match="not a whole number"):
         TK.scored_records(frame(spark, ['<row Id="1" Reputation="many" />'])).collect()
+
+
+def test_attribute_names_with_marks(spark):
+    m = frame(spark, ['<row xml:lang="en" data-id="7" a.b="x=y" é="1" lang="de" />']).select(TK.attribute_map(F.col("value")).alias("m"))
+    assert m.first().m == {"xml:lang": "en", "data-id": "7", "a.b": "x=y", "é": "1", "lang": "de"}
+
+
+def test_equal_ids_and_scores_show_the_greatest_line(spark):
+    xs = ['<row Id="1" Reputation="5" x="a" />', '<row Id="1" Reputation="5" x="c" />', '<row Id="1" Reputation="5" x="b" />']
+    for order in (xs, xs[::-1]):
+        assert [r.value for r in TK.top_distinct_scores(TK.scored_records(frame(spark, order).repartition(3)), 10).collect()] == [xs[1]]

@@ -8,14 +8,19 @@ at most the rounds since the last checkpoint.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import math
+from collections.abc import Callable, Iterator
 from itertools import count
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidewater.session import checkpoint_root
+from tidewater.session import checkpoint_root, scratch_path
 
 RESET = 0.15
 
@@ -143,154 +148,238 @@ class _Rounds:
         self.held.clear()
 
 
-# ---------------------------------------------------------------- hub salting
+# ---------------------------------------------------------------- packed adjacency
 
-def _spread_sources(ext: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """Cache the edges partitioned by ``src`` and salt the edges of heavy sources, so
-    that no join task gets more than about |E| / (2P) edges (P = shuffle partitions).
+BLOCK = 4096
 
-    A source with ``d`` edges above that cap gets ``ceil(d / cap)`` buckets, chosen
-    by a hash of the destination, and the edges are re-partitioned by
-    ``(src, _salt)``. At most 2P sources can exceed the cap, so the ``(src, _k)``
-    table is small by construction; it is written once to the checkpoint folder and
-    broadcast. Partitions are sorted by the join key before they are cached, so a round's
-    join sorts only the state. Returns ``(cached edges, heavy)``; ``heavy`` is None when no source
-    exceeds the cap (the common case), and the edges then stay ``src``-partitioned.
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (src, _salt) -> blocks of at most ``BLOCK`` destinations of one source."""
+    for b in batches:
+        for at in range(0, b.num_rows, BLOCK):
+            part = b.slice(at, BLOCK)
+            src, salt = part.column("src"), part.column("_salt").to_numpy()
+            same = pc.equal(src.slice(1), src.slice(0, part.num_rows - 1)).to_numpy(zero_copy_only=False) & (salt[1:] == salt[:-1])
+            first = np.flatnonzero(np.concatenate(([True], ~same)))
+            ends = pa.array(np.append(first, part.num_rows), pa.int32())
+            dsts = pa.ListArray.from_arrays(ends, pa.concat_arrays([part.column("dst")]))
+            yield pa.RecordBatch.from_arrays([src.take(pa.array(first)), pa.array(salt[first]), dsts], ["src", "_salt", "dsts"])
+
+
+class Adjacency:
+    """The out-edges of a graph as blocks ``(src, _salt, dsts)``, one cached copy for all rounds
+    of a loop.
+
+    A block is a row with up to ``BLOCK`` destinations, so a round joins the state with blocks, not
+    with edges, and explodes them behind the join. Blocks are cached sorted and partitioned by ``src``. Sources with
+    more than ``cap = |E| / (2P)`` edges (P = shuffle partitions; at most 2P of them, a
+    table that is broadcast) are salted: their edges are dealt over ``ceil(d / cap)`` buckets by a hash of the
+    destination, blocks are partitioned by ``(src, _salt)``, and the state of such a
+    source is repeated per bucket. With ``vertices``, every vertex also has a block that holds
+    itself (``_self``), which brings its old value into its own group. ``out_degree`` adds
+    the source's number of edges to its blocks.
     """
-    spark = ext.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Degrees come from the input as scanned (balanced splits, partial counts), so a
-    # hub is found before any shuffle by ``src`` could gather its edges in one task.
-    ext = ext.persist(StorageLevel.MEMORY_AND_DISK)
-    total = ext.count()
-    cap = max(1, -(-total // (2 * parts)))
-    heavy = ext.groupBy("src").agg(F.count(F.lit(1)).alias("_d")).filter(F.col("_d") > cap) \
-               .select("src", F.ceil(F.col("_d") / cap).cast("int").alias("_k"))
-    heavy = heavy.checkpoint(eager=True)
-    if not heavy.take(1):  # no hub: plain ``src`` partitioning, no broadcast per round
-        heavy, out = None, ext.repartition("src").sortWithinPartitions("src")
-    else:
-        out = ext.join(F.broadcast(heavy), "src", "left").withColumn(
-            "_salt", F.when(F.col("_k").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("dst"), F.col("_k"))).cast("int")
-        ).drop("_k").repartition("src", "_salt").sortWithinPartitions("src", "_salt")
-    out = out.persist(StorageLevel.MEMORY_AND_DISK)
-    out.count()
-    ext.unpersist()
-    return out, heavy
-
-
-def _join_keys(heavy: DataFrame | None) -> list[str]:
-    return ["src"] if heavy is None else ["src", "_salt"]
-
-
-def _salt_state(src_frame: DataFrame, heavy: DataFrame | None) -> DataFrame:
-    """Replicate the rows of heavy sources once per bucket (``src`` keyed frame)."""
-    if heavy is None:
-        return src_frame
-    k = F.coalesce(F.col("_k"), F.lit(1))
-    return src_frame.join(F.broadcast(heavy), "src", "left") \
-                    .withColumn("_salt", F.explode(F.sequence(F.lit(0), k - 1))).drop("_k")
 
+    def __init__(self, edges: DataFrame, vertices: DataFrame | None = None, out_degree: bool = False):
+        spark = edges.sparkSession
+        checkpoint_root(spark)
+        degrees = _stored(out_degrees(edges).withColumnRenamed("id", "src"), "out-degrees")
+        size = degrees.agg(F.sum("outDeg").alias("total"), F.max("outDeg").alias("top")).first()
+        cap = max(1, -(-(size["total"] or 0) // (2 * int(spark.conf.get("spark.sql.shuffle.partitions")))))
+        self.heavy = None
+        if (size["top"] or 0) > cap:
+            self.heavy = _stored(degrees.where(F.col("outDeg") > cap).select("src", F.ceil(F.col("outDeg") / cap).cast("int").alias("_k")), "hubs")
+        self.keys = ["src"] if self.heavy is None else ["src", "_salt"]
+        self.extra = [c for c in edges.columns if c not in ("src", "dst")]
+        end = F.struct("dst", *self.extra) if self.extra else F.col("dst")
+        if self.heavy is None:
+            e = edges.select("src", F.lit(0).alias("_salt"), end.alias("dst"))
+        else:
+            salt = F.when(F.col("_k").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("dst"), F.col("_k"))).cast("int")
+            e = edges.join(F.broadcast(self.heavy), "src", "left").select("src", salt.alias("_salt"), end.alias("dst"))
+        schema = T.StructType([e.schema["src"], e.schema["_salt"], T.StructField("dsts", T.ArrayType(e.schema["dst"].dataType))])
+        blocks = e.repartition(*self.keys).sortWithinPartitions(*self.keys).mapInArrow(_packed, schema)
+        if out_degree:
+            blocks = blocks.join(degrees, "src")
+        if vertices is not None:
+            self_end = F.array(F.col("id").cast(edges.schema["dst"].dataType)) if not self.extra else F.array(F.struct(
+                F.col("id").alias("dst"), *[F.lit(None).cast(edges.schema[c].dataType).alias(c) for c in self.extra]))
+            own = vertices.select(F.col("id").alias("src"), F.lit(0).alias("_salt"), self_end.alias("dsts"), F.lit(True).alias("_self"))
+            blocks = blocks.withColumn("_self", F.lit(False)).unionByName(own, allowMissingColumns=True)
+        self.blocks = blocks.repartition(*self.keys).sortWithinPartitions(*self.keys).persist(StorageLevel.MEMORY_AND_DISK)
+        self.blocks.count()  # only a filled cache tells Spark its partitioning and order
+
+    def sent(self, state: DataFrame) -> DataFrame:
+        """A row per edge (and own block) with ``dst`` and the columns of its source's row in
+        ``state(src, …)``, which is read once."""
+        if self.heavy is not None:
+            k = F.coalesce(F.col("_k"), F.lit(1))
+            state = state.join(F.broadcast(self.heavy), "src", "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), k - 1))).drop("_k")
+        joined = self.blocks.join(state, self.keys)
+        rows = joined.select(*[c for c in joined.columns if c not in ("dsts", "_salt")], F.explode("dsts").alias("dst"))
+        if not self.extra:
+            return rows
+        return rows.select(*rows.columns[:-1], "dst.dst", *[f"dst.{c}" for c in self.extra])
 
-# ---------------------------------------------------------------- components
+    def release(self) -> None:
+        self.blocks.unpersist()
 
-# Groups of up to this many (id, id) rows are no load for a task: a round then keeps the
-# plain join, which needs fewer stages.
-HOT_LEAST = 20_000
 
+# ---------------------------------------------------------------- components
 
-def _to_least(links: DataFrame, least: Column, total: int, rounds: _Rounds) -> DataFrame:
-    """``links(u, v)`` with ``m``, the least of u's group; a hot ``u`` is not gathered."""
-    m = links.groupBy("u").agg(least.alias("m"), F.count(F.lit(1)).alias("_n")).persist(StorageLevel.MEMORY_AND_DISK)
-    rounds.held.append(m)
-    parts = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = m.filter(F.col("_n") > max(HOT_LEAST, -(-total // (2 * parts)))).take(1)
-    joined = attach(links, m, "u", "_n", total) if hot else links.join(m, "u")
-    return joined.drop("_n")
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder: it survives lost executors, and counting it
+    reads file footers only."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def connected_components(edges: DataFrame, vertices: DataFrame | None = None, max_rounds: int | None = None,
-                         checkpoint_every: int = 1) -> DataFrame:
-    """``(id, component)``: direction ignored, label = smallest vertex id.
+def contraction_rounds(pairs: DataFrame, max_rounds: int | None = None) -> tuple[list[DataFrame], list[int]]:
+    """The maps ``(u, to)`` of every round of contraction, and the edges before every round.
 
-    Large-star / small-star contraction (Kiveris et al., SoCC 2014): each round is two
-    group-bys and two joins over the edge set, and the number of rounds grows with
-    log n, not with the diameter. Converged when the edges form stars around their
-    minimum (no parent is itself a child, every child has one parent). Runs until then;
-    a caller's ``max_rounds`` that does not suffice raises.
+    In a round each vertex goes to the one of least priority among itself and its neighbours
+    (priorities are a hash of id and round); edges are renamed to where their ends went, and loops
+    and repetitions leave. Vertices without an edge are finished and leave with it. A constant share of
+    the vertices is expected to vanish in every round whatever the ids or the diameter.
+    A round is two written tables: the map, and the edges after it. Both sides of the joins are then
+    plain scans, so Spark may broadcast a small map and splits the partition of a hot vertex.
     """
-    rounds = _Rounds(checkpoint_every, edges.sparkSession)
-    e = rounds.keep(undirected(edges).select(F.col("b").alias("u"), F.col("a").alias("v")), 0)  # u > v
-    n = e.count()
+    maps, sizes = [], []
+    e = _stored(pairs, "component-edges")
     for i in count(1):
-        # large star: every neighbour larger than u is linked to min(N(u) ∪ {u})
-        both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        near = _to_least(both, F.least(F.col("u"), F.min("v")), 2 * n, rounds)
-        ls = near.filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        # small star: u and its smaller neighbours are linked to min of those
-        near = _to_least(ls, F.min("v"), n, rounds)
-        ss = near.select(F.col("v").alias("u"), F.col("m").alias("v")).union(near.select("u", F.col("m").alias("v"))) \
-                 .filter(F.col("u") != F.col("v")).distinct()
-        e = rounds.keep(ss, i)
-        st = e.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("u").alias("children")).first()
-        n = st["n"]
-        if n == st["children"]:
-            parents, kids = e.select("v").distinct(), e.select(F.col("u").alias("v")).distinct()
-            if not parents.join(kids, "v", "left_semi").take(1):
-                break
-        if i == max_rounds:
+        n = e.count()
+        if not n:
+            return maps, sizes
+        if max_rounds is not None and i > max_rounds:
             raise RuntimeError(f"components did not converge in {max_rounds} rounds")
+        sizes.append(n)
+
+        def ranked(c: str, i: int = i) -> Column:
+            return F.struct(F.xxhash64(c, F.lit(i)).alias("h"), F.col(c).alias("id"))
+
+        ends = e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(e.select("b", "a"))
+        near = ends.groupBy("u").agg(F.min(ranked("v")).alias("near"))
+        to = _stored(near.select("u", F.least("near", ranked("u"))["id"].alias("to")), "component-map")
+        maps.append(to)
+        x, y = to.select(F.col("u").alias("a"), F.col("to").alias("x")), to.select(F.col("u").alias("b"), F.col("to").alias("y"))
+        moved = e.join(x, "a").join(y, "b").where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        e = _stored(moved.distinct(), "component-edges")
+
+
+def connected_components(edges: DataFrame, vertices: DataFrame | None = None, max_rounds: int | None = None) -> DataFrame:
+    """``(id, component)``: direction ignored, label = smallest vertex id.
+
+    The graph is contracted until no edge is left (``contraction_rounds``). The maps of the
+    rounds form a tree: from the last round back, every vertex takes the root of the one it went
+    to. A component's least id then comes from one aggregate; roots of large components meet
+    their rows by broadcast (``attach``). A caller's ``max_rounds`` that does not suffice raises.
+    """
+    checkpoint_root(edges.sparkSession)
+    maps, _ = contraction_rounds(undirected(edges), max_rounds)
     ids = vertices.select("id") if vertices is not None else vertices_from_edges(edges)
-    labels = ids.join(e.select(F.col("u").alias("id"), F.col("v").alias("component")), "id", "left") \
-                .select("id", F.coalesce("component", "id").alias("component"))
-    return rounds.finish(labels)
+    if not maps:
+        return ids.select("id", F.col("id").alias("component"))
+    roots = None
+    for to in reversed(maps):
+        if roots is None:
+            roots = to.select("u", F.col("to").alias("root"))
+        else:
+            up = roots.select(F.col("u").alias("to"), "root")
+            roots = to.join(up, "to", "left").select("u", F.coalesce("root", "to").alias("root"))
+    roots = _stored(roots, "component-roots")
+    least = _stored(roots.groupBy("root").agg(F.min("u").alias("component"), F.count(F.lit(1)).alias("_n")), "component-least")
+    labels = attach(roots, least, "root", "_n", roots.count()).select(F.col("u").alias("id"), "component")
+    return _stored(ids.join(labels, "id", "left").select("id", F.coalesce("component", "id").alias("component")), "components")
 
 
 # ---------------------------------------------------------------- triangles
 
-def triangle_counts(edges: DataFrame, vertices: DataFrame | None = None) -> DataFrame:
+# Edges one triangle task holds on average at most (16 bytes each, and a few arrays as long).
+TASK_EDGES = 2_000_000
+
+
+def _colours(edges: int, parts: int, task_edges: int) -> int:
+    """The least number of colours for which a task has at most ``task_edges`` edges on average and there
+    are about as many tasks as partitions."""
+    return max(1, math.ceil(math.sqrt(6 * edges / task_edges)), round((6 * parts) ** (1 / 3)) - 1)
+
+
+def _closed(colours: int):
+    """Triangles of one task: ``a, b`` are its edges, ``task`` the sorted colours of its triangles."""
+    def run(table: pa.Table) -> pa.Table:
+        a, b = (table.column(c).to_numpy() for c in ("a", "b"))
+        own = np.sort(_split_task(int(table.column("task")[0].as_py()), colours))
+        ids, ends = np.unique(np.concatenate((a, b)), return_inverse=True)
+        x, y = ends[:len(a)], ends[len(a):]
+        n = len(ids)
+        degree = np.bincount(ends, minlength=n)
+        rank = np.empty(n, np.int64)
+        rank[np.lexsort((np.arange(n), degree))] = np.arange(n)
+        # Edges point to the end of higher degree, so no vertex has more than sqrt(2 edges) of them.
+        lo, hi = np.minimum(rank[x], rank[y]), np.maximum(rank[x], rank[y])
+        order = np.lexsort((hi, lo))
+        lo, hi = lo[order], hi[order]
+        key = lo * n + hi
+        last = np.searchsorted(lo, lo, "right")  # behind the last edge of the same vertex
+        name = np.empty(n, np.int64)
+        name[rank] = np.arange(n)
+        colour = np.empty(n, np.int64)
+        colour[ends] = np.concatenate((table.column("ca").to_numpy(), table.column("cb").to_numpy()))
+        found = np.zeros(n, np.int64)
+        wedges = last - np.arange(len(lo)) - 1
+        upto = np.concatenate(([0], np.cumsum(wedges)))
+        at = 0
+        while at < len(lo):  # pairs of edges of one vertex, some millions at a time
+            end = max(at + 1, int(np.searchsorted(upto, upto[at] + 4_000_000, "right")) - 1)
+            w = wedges[at:end]
+            first = np.repeat(np.arange(at, end), w)
+            second = first + 1 + np.arange(int(w.sum())) - np.repeat(np.cumsum(w) - w, w)
+            closing = hi[first] * n + hi[second]
+            spot = np.minimum(np.searchsorted(key, closing), len(key) - 1)
+            ok = key[spot] == closing
+            three = np.stack((lo[first[ok]], hi[first[ok]], hi[second[ok]]))
+            three = name[three]
+            mine = (np.sort(colour[three], axis=0) == own[:, None]).all(axis=0)
+            found += np.bincount(three[:, mine].ravel(), minlength=n)
+            at = end
+        some = found > 0
+        return pa.table({"id": pa.array(ids[some].tolist(), table.schema.field("a").type), "t": pa.array(found[some])})
+
+    return run
+
+
+def _split_task(task: int, colours: int) -> np.ndarray:
+    return np.array([task // colours // colours, task // colours % colours, task % colours])
+
+
+def triangle_tasks(pairs: DataFrame, colours: int) -> DataFrame:
+    """Every edge (with the colours of its ends) once per task that may close a triangle with it:
+    a task is a sorted triple of colours, so an edge goes to ``colours`` of them."""
+    c = F.lit(colours)
+    colour = lambda col: F.pmod(F.xxhash64(col), c).cast("long")
+    third = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(colours - 1).cast("long")))
+    e = pairs.select("a", "b", colour("a").alias("ca"), colour("b").alias("cb"), third.alias("cc"))
+    triple = F.array_sort(F.array("ca", "cb", "cc"))
+    return e.select("a", "b", "ca", "cb", ((triple[0] * c + triple[1]) * c + triple[2]).alias("task"))
+
+
+def triangle_counts(edges: DataFrame, vertices: DataFrame | None = None, task_edges: int = TASK_EDGES) -> DataFrame:
     """``(id, triangles)`` on the undirected simple graph (every vertex, 0 if none).
 
-    Edges are oriented from the lower to the higher (degree, id), which bounds every
-    out-list by sqrt(2|E|) (a hub's edges mostly point into it). For each oriented
-    edge x→y the out-lists of x and y are intersected: every common vertex c closes
-    the triangle {x, y, c}, and each triangle is found at exactly one edge (from its
-    lowest vertex to its middle one). Rows are emitted per triangle, never per pair
-    of neighbours.
+    Vertices get one of c colours by hash; every sorted triple of colours is a task that sees
+    all edges between its colours and counts the triangles with exactly these colours. An
+    edge is shipped c times, c being about ``sqrt(6 |E| / task_edges)``, so a task's input is bounded
+    and a hub's edges are spread by the colours of its neighbours. Inside a task, edges point
+    to the end of higher degree, which bounds the pairs that are looked up.
     """
-    und = undirected(edges)
-    deg = und.select(F.col("a").alias("id")).union(und.select(F.col("b").alias("id"))) \
-             .groupBy("id").agg(F.count(F.lit(1)).alias("d"))
-    da = deg.select(F.col("id").alias("a"), F.col("d").alias("da"))
-    db = deg.select(F.col("id").alias("b"), F.col("d").alias("db"))
-    lower_first = (F.col("da") < F.col("db")) | ((F.col("da") == F.col("db")) & (F.col("a") < F.col("b")))
-    n = und.count()
-    o = attach(attach(und, da, "a", "da", 2 * n), db, "b", "db", 2 * n).select(
-        F.when(lower_first, F.col("a")).otherwise(F.col("b")).alias("x"),
-        F.when(lower_first, F.col("b")).otherwise(F.col("a")).alias("y"),
-    )
-    # ``o`` is read twice: write it once to the shared checkpoint folder.
     checkpoint_root(edges.sparkSession)
-    o = o.checkpoint(eager=True)
-    outs = o.groupBy("x").agg(F.array_sort(F.collect_list("y")).alias("out"))
-    ox = outs.select("x", F.col("out").alias("ox"))
-    oy = outs.select(F.col("x").alias("y"), F.col("out").alias("oy"))
-    # A hub has a short out-list (its edges point into it) but many rows as ``y``: those
-    # are spread over buckets by ``x`` and the list is repeated per bucket (at most 2P hubs).
-    cap = max(1, -(-n // (2 * int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions")))))
-    hubs = F.broadcast(o.groupBy("y").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > cap)
-                       .select("y", F.ceil(F.col("_n") / cap).cast("int").alias("_k")))
-    spread = o.join(hubs, "y", "left").withColumn(
-        "_salt", F.coalesce(F.pmod(F.xxhash64("x"), F.col("_k")).cast("int"), F.lit(0))).drop("_k")
-    repeated = oy.join(hubs, "y", "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_k"), F.lit(1)) - 1))).drop("_k")
-    closing = spread.join(ox, "x").join(repeated, ["y", "_salt"]).select(
-        "x", "y", F.array_intersect("ox", "oy").alias("c")).filter(F.size("c") > 0)
-    k = F.size("c").cast("bigint")
-    credits = closing.select(F.col("x").alias("id"), k.alias("t")) \
-        .union(closing.select(F.col("y").alias("id"), k.alias("t"))) \
-        .union(closing.select(F.explode("c").alias("id"), F.lit(1).cast("bigint").alias("t")))
-    per_vertex = credits.groupBy("id").agg(F.sum("t").alias("triangles"))
+    pairs = _stored(undirected(edges), "triangle-edges")
+    parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    colours = _colours(pairs.count(), parts, task_edges)
+    kind = pairs.schema["a"].dataType.simpleString()
+    found = triangle_tasks(pairs, colours).groupBy("task").applyInArrow(_closed(colours), f"id {kind}, t long")
+    per_vertex = found.groupBy("id").agg(F.sum("t").alias("triangles"))
     ids = vertices.select("id") if vertices is not None else vertices_from_edges(edges)
     return ids.join(per_vertex, "id", "left").select("id", F.coalesce("triangles", F.lit(0)).cast("bigint").alias("triangles"))
 
@@ -309,32 +398,29 @@ def message_passing(vertices: DataFrame, edges: DataFrame, init_msg,
     ``vertices(id, value)``, ``edges(src, dst, …)``. ``update(value, msg)`` is first
     applied with ``init_msg`` to every vertex. Each round, edges whose source is
     active (``active='out'``: received a message in the previous round, every vertex
-    in the first; ``'all'``: always) carry ``send()`` — a Column over ``src_value``
-    and the edge columns; null means no message. Messages are combined per
+    in the first; ``'all'``: always) carry ``send()``, a Column over ``src_value``
+    and the edge columns; null means no message. What is the same for all edges of a source is
+    smaller in its value. Messages are combined per
     destination with the aggregate ``combine`` and applied with ``update``; a vertex
     counts as having received one when ``accept(value, msg)`` holds (default: any
     message). Vertices without a message keep their value. Stops after
     ``max_rounds`` rounds (an operator's own meaning, e.g. 20 rounds of PageRank), or once
     no vertex receives a message; with ``None`` only then.
 
-    Each round is one join and one aggregation: every vertex has a self-edge, so the
+    Each round is one join with the edge blocks and one aggregation: every vertex has a block of its own, so the
     group of a destination holds its own old value next to its incoming messages and
     the state is read once. ``combine`` is a partial aggregate, so a hub's messages
     are pre-combined in every task before the shuffle.
     """
     rounds = _Rounds(checkpoint_every, edges.sparkSession)
-    ext, heavy = _spread_sources(edges.withColumn("_self", F.lit(False)).unionByName(
-        vertices.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(True).alias("_self")),
-        allowMissingColumns=True,
-    ))
-    keys = _join_keys(heavy)
+    adjacency = Adjacency(edges, vertices)
     state = vertices.select("id", update(F.col("value"), F.lit(init_msg)).alias("value"),
                             F.lit(True).alias("_active"))
     state = rounds.keep(state, 0)
     for i in count(1) if max_rounds is None else range(1, max_rounds + 1):
         senders = state.select(F.col("id").alias("src"), F.col("value").alias("src_value"),
                                F.col("_active").alias("src_active"))
-        t = ext.join(_salt_state(senders, heavy), keys)
+        t = adjacency.sent(senders)
         sending = ~F.col("_self") & (F.col("src_active") if active == "out" else F.lit(True))
         g = t.groupBy(F.col("dst").alias("id")).agg(
             F.first(F.when(F.col("_self"), F.col("src_value")), ignorenulls=True).alias("_old"),
@@ -350,7 +436,7 @@ def message_passing(vertices: DataFrame, edges: DataFrame, init_msg,
         if rounds.due(i) and not state.filter("_active").take(1):
             break
     out = rounds.finish(state.select("id", "value"))
-    ext.unpersist()
+    adjacency.release()
     return out
 
 
@@ -359,37 +445,37 @@ def message_passing(vertices: DataFrame, edges: DataFrame, init_msg,
 def pagerank_pregel(edges: DataFrame, rounds: int = 20, reset: float = RESET, checkpoint_every: int = 5) -> DataFrame:
     """Message-passing PageRank: every vertex starts at ``reset`` (initial message 0),
     messages ``rank * 1/outDeg`` flow along out-edges of vertices that received one
-    in the previous round; a vertex without a message keeps its value."""
-    weighted = edge_weights(edges.select("src", "dst")).persist(StorageLevel.MEMORY_AND_DISK)
-    verts = vertices_from_edges(weighted).withColumn("value", F.lit(1.0))
+    in the previous round; a vertex without a message keeps its value. A vertex carries
+    its weight next to its rank."""
+    e = edges.select("src", "dst")
+    weight = (F.lit(1.0) / F.col("outDeg")).alias("weight")
+    verts = vertices_from_edges(e).join(out_degrees(e), "id", "left").select("id", F.struct(F.lit(1.0).alias("rank"), weight).alias("value"))
+
+    def update(value: Column, msg: Column) -> Column:
+        return F.struct((F.lit(reset) + F.lit(1.0 - reset) * msg).alias("rank"), value["weight"].alias("weight"))
+
     ranks = message_passing(
-        verts, weighted, 0.0,
-        send=lambda: F.col("src_value") * F.col("weight"),
-        combine=F.sum,
-        update=lambda v, m: F.lit(reset) + F.lit(1.0 - reset) * m,
-        max_rounds=rounds, active="out", checkpoint_every=checkpoint_every,
+        _stored(verts, "rank-vertices"), e, 0.0,
+        send=lambda: F.col("src_value.rank") * F.col("src_value.weight"),
+        combine=F.sum, update=update, max_rounds=rounds, active="out", checkpoint_every=checkpoint_every,
     )
-    weighted.unpersist()
-    return ranks.select("id", F.col("value").alias("rank"))
+    return ranks.select("id", F.col("value.rank").alias("rank"))
 
 
 def pagerank_join(edges: DataFrame, rounds: int = 20, reset: float = RESET, checkpoint_every: int = 5) -> DataFrame:
     """PageRank by joins: distinct edges; start 1.0 for vertices with out-edges; each
     round only vertices that receive a contribution keep a rank (no join back)."""
-    e = edges.select("src", "dst").distinct()
-    deg = e.groupBy("src").agg(F.count(F.lit(1)).alias("outDeg"))
+    e = _stored(edges.select("src", "dst").distinct(), "rank-edges")
     keeper = _Rounds(checkpoint_every, edges.sparkSession)
-    adj, heavy = _spread_sources(with_out_degree(e))
-    keys = _join_keys(heavy)
-    ranks = deg.select(F.col("src").alias("id"), F.lit(1.0).alias("rank"))
+    adjacency = Adjacency(e, out_degree=True)
+    ranks = e.select(F.col("src").alias("id")).distinct().withColumn("rank", F.lit(1.0))
     for i in range(1, rounds + 1):
-        salted = _salt_state(ranks.withColumnRenamed("id", "src"), heavy)
-        contrib = adj.join(salted, keys).select("dst", (F.col("rank") / F.col("outDeg")).alias("contrib"))
+        contrib = adjacency.sent(ranks.withColumnRenamed("id", "src")).select("dst", (F.col("rank") / F.col("outDeg")).alias("contrib"))
         ranks = contrib.groupBy(F.col("dst").alias("id")).agg(
             (F.lit(reset) + F.lit(1.0 - reset) * F.sum("contrib")).alias("rank"))
         ranks = keeper.keep(ranks, i)
     ranks = keeper.finish(ranks)
-    adj.unpersist()
+    adjacency.release()
     return ranks
 
 
@@ -404,20 +490,16 @@ def pagerank_contributions(ranks: DataFrame, adj: DataFrame) -> DataFrame:
 def pagerank_converged(edges: DataFrame, tol: float = 1e-4, reset: float = RESET, max_rounds: int | None = None,
                        checkpoint_every: int = 5) -> DataFrame:
     """Synchronous PageRank from 1.0 until ``max |new - old| <= tol``:
-    ``r = reset + (1 - reset) * Σ r_src / outDeg_src`` over in-edges. Self-edges
+    ``r = reset + (1 - reset) * Σ r_src / outDeg_src`` over in-edges. Own blocks
     bring each vertex's old rank into its own group (one join, one shuffle a round).
     Raises where a caller's ``max_rounds`` does not suffice."""
     e = edges.select("src", "dst")
-    verts = vertices_from_edges(e)
+    verts = _stored(vertices_from_edges(e), "rank-vertices")
     keeper = _Rounds(checkpoint_every, edges.sparkSession)
-    ext, heavy = _spread_sources(with_out_degree(e).withColumn("_self", F.lit(False))
-                                 .unionByName(verts.select(F.col("id").alias("src"), F.col("id").alias("dst"),
-                                                           F.lit(1).cast("bigint").alias("outDeg"),
-                                                           F.lit(True).alias("_self"))))
-    keys = _join_keys(heavy)
+    adjacency = Adjacency(e, verts, out_degree=True)
     ranks = keeper.keep(verts.withColumn("rank", F.lit(1.0)), 0)
     for i in count(1):
-        t = ext.join(_salt_state(ranks.withColumnRenamed("id", "src"), heavy), keys)
+        t = adjacency.sent(ranks.withColumnRenamed("id", "src"))
         new = t.groupBy(F.col("dst").alias("id")).agg(
             (F.lit(reset) + F.lit(1.0 - reset) *
              F.coalesce(F.sum(F.when(~F.col("_self"), F.col("rank") / F.col("outDeg"))), F.lit(0.0))).alias("rank"),
@@ -431,10 +513,54 @@ def pagerank_converged(edges: DataFrame, tol: float = 1e-4, reset: float = RESET
         if i == max_rounds:
             raise RuntimeError(f"ranks still moved by {delta} after {max_rounds} rounds")
     ranks = keeper.finish(ranks)
-    ext.unpersist()
+    adjacency.release()
     return ranks
 
 
+def pagerank_residual(edges: DataFrame, bound: float = 1e-6, reset: float = RESET, blocks: int | None = None) -> tuple[DataFrame, list[int]]:
+    """PageRank by residual propagation: ``(id, rank)`` and the edges that each round read.
+
+    Every vertex has a rank (0 at first) and a residual (``reset``). A round moves the residual of
+    all vertices above ``bound`` to their ranks and sends ``(1 - reset) / outDeg`` of it
+    along their out-edges; the others keep theirs and send nothing, so rounds read fewer and
+    fewer edges. It ends when no residual is above the bound; what is left unsent changes a rank by at most
+    about ``bound / reset`` times its share of the paths into it. The packed edges are
+    a table with a folder per block of sources (``hash(src) mod blocks``); a round reads only the folders
+    that hold a sender.
+    """
+    spark = edges.sparkSession
+    checkpoint_root(spark)
+    e = edges.select("src", "dst")
+    blocks = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")
+    degrees = _stored(out_degrees(e).withColumnRenamed("id", "src"), "out-degrees")
+    adjacency = Adjacency(e)
+    path = scratch_path(spark, "residual-blocks")
+    adjacency.blocks.select("src", "dsts", block("src").alias("block")).write.partitionBy("block").parquet(path)
+    packed = spark.read.schema(adjacency.blocks.select("src", "dsts").schema.add("block", T.IntegerType())).parquet(path)
+    adjacency.release()
+    state = _stored(vertices_from_edges(e).join(degrees.withColumnRenamed("src", "id"), "id", "left").select(
+        "id", "outDeg", F.lit(0.0).alias("rank"), F.lit(reset).alias("residual")), "residual-state")
+    read: list[int] = []
+    while True:
+        senders = state.where((F.col("residual") > bound) & F.col("outDeg").isNotNull())
+        wanted = [r[0] for r in senders.select(block("id").alias("b")).distinct().collect()]  # at most ``blocks`` numbers
+        more = state.where(F.col("residual") > bound)
+        if not wanted and more.isEmpty():
+            break
+        some = packed.where(F.col("block").isin(wanted)) if wanted else packed.where(F.lit(False))
+        sent = some.join(senders.select(F.col("id").alias("src"), (F.col("residual") * (1 - reset) / F.col("outDeg")).alias("part")), "src")
+        got = sent.select(F.explode("dsts").alias("id"), "part").groupBy("id").agg(F.sum("part").alias("got"), F.count(F.lit(1)).alias("_e"))
+        above = F.col("residual") > bound
+        state = _stored(state.join(got, "id", "left").select(
+            "id", "outDeg", (F.col("rank") + F.when(above, F.col("residual")).otherwise(0.0)).alias("rank"),
+            (F.when(above, 0.0).otherwise(F.col("residual")) + F.coalesce("got", F.lit(0.0))).alias("residual"),
+            F.coalesce("_e", F.lit(0)).alias("_e")), "residual-state")
+        read.append(state.agg(F.sum("_e")).first()[0] or 0)
+        state = state.drop("_e")
+    return state.select("id", (F.col("rank") + F.col("residual")).alias("rank")), read
+
+
 def bfs_levels(edges: DataFrame, source_id) -> DataFrame:
     """Hop distance from ``source_id`` along directed edges, by message passing with
     ``min`` as the combiner; a vertex is active when its level improved. Unreachable

@@ -36,26 +36,35 @@ BUILT_IN = {"sum": F.sum, "min": F.min, "max": F.max, "product": F.product, "bit
             "bit_xor": F.bit_xor, "and": F.bool_and, "or": F.bool_or}
 
 
+# Rows that one fold of ``reduce_by_key`` takes at most.
+RUN_ROWS = 65_536
+
+
 def reduce_by_key(df: DataFrame, k: str, v: str, fn: str | Callable[[Column, Column], Column],
-                  out: str = "reduced") -> DataFrame:
+                  out: str = "reduced", run_rows: int = RUN_ROWS) -> DataFrame:
     """``reduceByKey(fn)`` for any associative, commutative ``fn``.
 
     A name of ``BUILT_IN`` is a partial aggregate: one value per key and task is shuffled.
-    Any other ``fn`` on Columns has no partial form in Spark: the values of a key and input
-    split are shuffled and folded there first (bounded by the split), then the results of
-    the splits are folded per key, so no list grows with a key.
+    Any other ``fn`` on Columns has no partial form in Spark, so it is a tree of folds: the
+    values of a key in a run of ``run_rows`` rows of a split, then the results of about as many runs
+    (dealt by a hash of the run, so a hot key keeps many tasks busy), until one level can
+    fold all results of a key. No array is longer than a run. Null values are left out; a key
+    with none but nulls gives null.
     """
     if isinstance(fn, str):
         return df.groupBy(k).agg(BUILT_IN[fn](v).alias(out))
 
-    def fold(arr: Column) -> Column:
-        return F.aggregate(F.slice(arr, 2, F.size(arr)), F.element_at(arr, 1), fn)
+    def fold(values: str) -> Column:
+        arr = F.collect_list(values)
+        return F.aggregate(F.slice(arr, 2, F.greatest(F.size(arr), F.lit(1))), F.get(arr, F.lit(0)), fn)
 
-    partial = (
-        df.select(F.col(k), F.col(v), F.spark_partition_id().alias("_split"))
-        .groupBy(k, "_split").agg(fold(F.collect_list(v)).alias("_part"))
-    )
-    return partial.groupBy(k).agg(fold(F.collect_list("_part")).alias(out))
+    run = F.floor(F.monotonically_increasing_id() / run_rows)
+    level = df.select(F.col(k), F.col(v).alias("_v"), run.alias("_run")).groupBy(k, "_run").agg(fold("_v").alias("_v"))
+    groups = -(-df.count() // run_rows**2)
+    while groups > 1:
+        level = level.withColumn("_run", F.pmod(F.xxhash64("_run"), F.lit(groups))).groupBy(k, "_run").agg(fold("_v").alias("_v"))
+        groups = -(-groups // run_rows)
+    return level.groupBy(k).agg(fold("_v").alias(out))
 
 
 def lookup(df: DataFrame, k: str, v: str, key) -> DataFrame:
@@ -99,6 +108,9 @@ def cogroup_apply(left: DataFrame, right: DataFrame, k: str, fn: Callable[[pd.Da
 
 def sample_n(df: DataFrame, n: int, key: str, seed: int = 7) -> DataFrame:
     """Exactly ``n`` rows (or all, if fewer) without replacement: those with the smallest
-    seeded hash of ``key``, so the sample does not depend on the partitions. Each task
-    keeps only its ``n`` smallest hashes."""
-    return df.orderBy(F.sha2(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")), 256), key).limit(n)
+    seeded hash of ``key`` and the other columns, so the sample does not depend on the partitions, and rows
+    that share a key, or have none, are drawn one by one (only rows equal in all columns share a
+    hash). Each task keeps only its ``n`` smallest hashes."""
+    cols = [key, *[c for c in df.columns if c != key]]
+    text = F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in cols])
+    return df.orderBy(F.sha2(F.concat(F.lit(f"{seed}:"), text), 256), key).limit(n)

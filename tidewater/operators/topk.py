@@ -17,11 +17,12 @@ def attribute(value: Column, name: str) -> Column:
 
 
 def attribute_map(value: Column) -> Column:
-    """All ``key="value"`` pairs of a line as a map; of a repeated key the last value stays,
+    """All ``key="value"`` pairs of a line as a map; a key is whatever stands between white space
+    and ``=`` (``xml:lang``, ``data-id``). Of a repeated key the last value stays,
     a line without pairs (or null) gives an empty map."""
     line = F.coalesce(value, F.lit(""))
-    names = F.regexp_extract_all(line, F.lit(r'(\w+)="[^"]*"'), F.lit(1))
-    values = F.regexp_extract_all(line, F.lit(r'\w+="([^"]*)"'), F.lit(1))
+    names = F.regexp_extract_all(line, F.lit(r'([^\s="]+)="[^"]*"'), F.lit(1))
+    values = F.regexp_extract_all(line, F.lit(r'[^\s="]+="([^"]*)"'), F.lit(1))
     pairs = F.zip_with(names, values, lambda k, v: F.struct(k.alias("k"), v.alias("v")))
     last = F.filter(pairs, lambda p, i: ~F.array_contains(F.slice(names, i + 2, F.size(names)), p["k"]))
     return F.map_from_entries(last)
@@ -48,11 +49,10 @@ def id_order(id_col: str = "id") -> Column:
 
 
 def top_distinct_scores(records: DataFrame, n: int = 10) -> DataFrame:
-    """The ``n`` highest *distinct* scores with one record each (the highest id),
-    descending. Partial aggregation leaves one row per score and task."""
-    per_score = records.groupBy("score").agg(
-        F.max_by("id", id_order()).alias("id"), F.max_by("value", id_order()).alias("value")
-    )
+    """The ``n`` highest *distinct* scores with one record each (the highest id, of equal ids
+    the greatest line), descending. Partial aggregation leaves one row per score and task."""
+    best = F.max_by(F.struct("id", "value"), F.struct(id_order().alias("by"), "value")).alias("best")
+    per_score = records.groupBy("score").agg(best).select("score", "best.id", "best.value")
     return per_score.orderBy(F.desc("score")).limit(n)
 
 

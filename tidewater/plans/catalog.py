@@ -6,13 +6,15 @@ one); ``oracle.py`` holds an independent SQL statement for each name.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf, udtf
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.functions import arrow_udtf, pandas_udf
+from pyspark.sql.types import IntegerType
 
 from tidewater.functions.clf import CLF_FIELDS
 from tidewater.functions.tokens import NON_WORD, word_tokens
@@ -109,6 +111,22 @@ def src_delimited(spark, sf):
     return _people(spark, sf)
 
 
+@query
+def src_vertices(spark, sf):
+    """Vertices written as ``id,name`` lines and read back."""
+    path = scratch_path(spark, "vertices")
+    SK.write_text(_t(spark, sf, "part").select(F.concat_ws(",", F.col("p_partkey").cast("string"), "p_name").alias("value")), path)
+    return SF.read_vertices(spark, path)
+
+
+@query
+def repartitioned(spark, sf):
+    """Lines of orders dealt over seven partitions: how many there are, how many hold rows, and the rows."""
+    dealt = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber").repartition(7)
+    return dealt.agg(F.lit(dealt.rdd.getNumPartitions()).alias("partitions"),
+                     F.count_distinct(F.spark_partition_id()).alias("used"), F.count(F.lit(1)).alias("n"))
+
+
 @query
 def sink_text_roundtrip(spark, sf):
     path = scratch_path(spark, "sink-text")
@@ -343,23 +361,20 @@ def topk_long_words(spark, sf):
     return T.top_long_words(T.word_count(_docs(spark, sf), "stripped"), 20, 5)
 
 
-@udtf(returnType=StructType([StructField("word", StringType())]), useArrow=True)
+@arrow_udtf(returnType="word string")
 class WordTokens:
-    """Row-generating function form of the lower-case word tokenizer."""
+    """Row-generating function form of the lower-case word tokenizer: a table in, Arrow batch by
+    Arrow batch, any number of rows out, without a row of Python."""
 
-    def eval(self, text: str):
-        import re
-        if text is None:
-            return
-        for w in re.split(NON_WORD, text.lower(), flags=re.ASCII):
-            if w:
-                yield (w,)
+    def eval(self, batch: pa.RecordBatch) -> Iterator[pa.Table]:
+        words = pc.list_flatten(pc.split_pattern_regex(pc.utf8_lower(batch.column("text")), NON_WORD))
+        yield pa.table({"word": words.filter(pc.not_equal(words, ""))})
 
 
 @query
 def udtf_tokenize(spark, sf):
     docs = spread(_t(spark, sf, "documents").select("text"))
-    return docs.lateralJoin(WordTokens(F.col("text").outer())).groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+    return WordTokens(docs.asTable()).groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 
 # ================================================================ access log
@@ -797,6 +812,13 @@ def graph_subgraph(spark, sf):
     return G.subgraph(v, e, F.col("age") > 30)[1]
 
 
+@query
+def graph_subgraph_by_edge(spark, sf):
+    """Vertices by age, edges by weight and by both their ends."""
+    v, e = _graph(spark, sf)
+    return G.subgraph(v, e, F.col("age") > 30, F.col("w") > 5)[1]
+
+
 @query
 def graph_subgraph_components(spark, sf):
     v, e = _graph(spark, sf)
@@ -853,6 +875,13 @@ def pagerank_converged(spark, sf):
     return G.pagerank_converged(_rank_edges(spark, sf), 1e-4).select("id", _rank_key())
 
 
+@query
+def pagerank_residual(spark, sf):
+    """Ranks by residual propagation, compared at 1e-4."""
+    ranks, _ = G.pagerank_residual(_rank_edges(spark, sf), bound=1e-9)
+    return ranks.select("id", F.floor(F.col("rank") * 1e4 + 0.137).cast("bigint").alias("rank_e4"))
+
+
 @query
 def pagerank_named(spark, sf):
     ranks = G.pagerank_converged(_rank_edges(spark, sf), 1e-4)

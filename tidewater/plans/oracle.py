@@ -196,6 +196,8 @@ ALL_EDGES = f"""ge0 AS (SELECT src, dst FROM ({GE.strip()[len('ge AS '):]}) g)""
 ORACLE: dict[str, str] = {
     # sources and sinks
     "src_text": "SELECT unnest(string_split(text, chr(10))) AS value FROM documents",
+    "src_vertices": "SELECT p_partkey AS id, p_name AS name FROM part",
+    "repartitioned": "SELECT 7 AS partitions, 7 AS used, count(*) AS n FROM lineitem",
     "src_json": "SELECT * FROM customer",
     "src_json_inferred": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders",
     "src_delimited": "SELECT c_name AS name, c_nationkey AS age FROM customer",
@@ -221,7 +223,7 @@ ORACLE: dict[str, str] = {
     "kv_reduce_sum": "SELECT l_suppkey, sum(l_quantity) AS total FROM lineitem GROUP BY 1",
     "kv_reduce_general": "SELECT l_suppkey, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS total FROM lineitem GROUP BY 1",
     "kv_reduce_builtin": "SELECT l_suppkey, bit_xor(CAST(l_partkey AS BIGINT)) AS mixed FROM lineitem GROUP BY 1",
-    "sample_n": "SELECT c_custkey, c_name FROM customer ORDER BY sha256('7:' || c_custkey), c_custkey LIMIT 10",
+    "sample_n": "SELECT c_custkey, c_name FROM customer ORDER BY sha256('7:' || c_custkey || chr(31) || c_name), c_custkey LIMIT 10",
     "kv_as_map": """SELECT l_orderkey, map(list(l_linenumber ORDER BY l_linenumber), list(p ORDER BY l_linenumber)) AS parts
 FROM (SELECT l_orderkey, l_linenumber, max(l_partkey) AS p FROM lineitem GROUP BY 1, 2) GROUP BY 1""",
     "cogroup_lists": """WITH a AS (SELECT l_orderkey AS orderkey, list_sort(list(l_linenumber)) AS lv FROM lineitem GROUP BY 1),
@@ -385,11 +387,15 @@ bfs(id, level) USING KEY (id) AS (
 SELECT id, CAST(level AS INTEGER) AS level FROM bfs""",
     "graph_components": _components(ALL_EDGES, "SELECT src AS id FROM ge0 UNION SELECT dst FROM ge0")
         + "\nSELECT id, comp AS component FROM cc",
+    "graph_subgraph_by_edge": "WITH " + GE + """
+SELECT src, dst, w FROM ge WHERE w > 5 AND src IN (SELECT p_partkey FROM part WHERE p_size > 30)
+  AND dst IN (SELECT p_partkey FROM part WHERE p_size > 30)""",
     "graph_subgraph_components": _components(SUB_EDGES, "SELECT p_partkey AS id FROM part WHERE p_size > 30")
         + "\nSELECT p.p_partkey AS id, p.p_name AS name, cc.comp AS component FROM part p JOIN cc ON cc.id = p.p_partkey",
     "pagerank_pregel": PR_PREGEL + f"\nSELECT id, {_key()} FROM pr",
     "pagerank_join_iterative": PR_JOIN + f"\nSELECT id, {_key()} FROM pr",
     "pagerank_converged": PR_CONV + f"\nSELECT id, {_key()} FROM pr",
+    "pagerank_residual": PR_CONV.replace("1e-4", "1e-10") + "\nSELECT id, CAST(floor(rank * 1e4 + 0.137) AS BIGINT) AS rank_e4 FROM pr",
     "pagerank_named": PR_CONV + f"\nSELECT pr.id, p.p_name AS name, {_key('pr.rank')} FROM pr JOIN part p ON p.p_partkey = pr.id",
     "pagerank_top10": PR_JOIN + f"\nSELECT id, {_key()} FROM pr ORDER BY rank DESC, id LIMIT 10",
     "pagerank_contributions": "WITH " + RE + """,

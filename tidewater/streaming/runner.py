@@ -74,7 +74,8 @@ def run_batches(stream: DataFrame, spark: SparkSession, name: str, outputs: dict
 
 
 def run_update_log(stream: DataFrame, spark: SparkSession, name: str, keys: list[str],
-                   output_mode: str = "update", timeout_s: float | None = None) -> DataFrame:
+                   output_mode: str = "update", timeout_s: float | None = None,
+                   arrivals: Iterable[None] = (None,)) -> DataFrame:
     """Every micro-batch's changed rows go to ``batch=<id>`` (overwritten on retry, so a
     replayed batch is idempotent); the result is the last version of each key."""
     out = scratch_path(spark, f"{name}-log")
@@ -87,9 +88,10 @@ def run_update_log(stream: DataFrame, spark: SparkSession, name: str, keys: list
         batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
         batches.add(batch_id)
 
-    q = (stream.writeStream.outputMode(output_mode).foreachBatch(write_batch)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    _finish(q, timeout_s)
+    for _ in arrivals:
+        q = (stream.writeStream.outputMode(output_mode).foreachBatch(write_batch)
+             .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+        _finish(q, timeout_s)
     if not batches:  # the input was empty
         return spark.createDataFrame([], schema)
     log = spark.read.parquet(out)
