@@ -303,6 +303,76 @@ def test_texts_stay_without_language_labels(spark):
         assert Counter(r.text for r in out) == {"some words": 3, "andere Wörter": 3, "x": 3}
 
 
+def test_prototypes_decide_the_language_of_the_corpus(spark, monkeypatch):
+    """Labels teach; the prototypes give every text its language, and others give it another."""
+    stage = dict(pytest.importorskip("corpus_pipeline").STAGES)["language_id"]
+    rows = [(i, "the cat and the dog are here with the other one", "en") for i in range(30)]
+    rows += [(100 + i, "der Hund und die Katze sind nicht hier bei den anderen", "de") for i in range(30)]
+    rows += [(200, "the dog and the cat", None), (201, "der Hund und die Katze", None), (202, "die Katze und der Hund sind hier", "en"), (203, "1 2", "en")]
+    docs = rows_of(spark, rows)
+    want = {i: g for i, _, g in rows[:-4]} | {200: "en", 201: "de", 202: "de"}
+    assert {r.doc_id: r.lang for r in stage(spark, docs, SF).collect()} == want
+    learn = language_id.trained_on_folds
+    monkeypatch.setattr(language_id, "trained_on_folds", lambda d: dict(zip(("de", "en"), reversed(list(learn(d).values())))))
+    assert {r.doc_id: r.lang for r in stage(spark, docs, SF).collect()} == {i: {"en": "de", "de": "en"}[g] for i, g in want.items()}
+
+
+def test_languages_against_a_plain_recount(spark):
+    """Prototypes and cosines summed trigram by trigram in plain Python."""
+    texts = [("en", "The cat, and THE dog!"), ("de", "der Hund und die Katze"), ("en", "other words; here"), ("fr", "le chien est là"), (None, "zzz")]
+    rows = [(i, t, g) for i, (g, t) in enumerate(texts)]
+    tri = language_id.Trigrams()
+
+    def vector(text):
+        letters = "".join(c if c.isalpha() else " " for c in text.lower())
+        padded = " " + " ".join(letters.split()) + " "
+        total = np.zeros(language_id.DIM)
+        for i in range(len(padded) - 2):
+            a, b, c = (tri.letter(0 if x == " " else ord(x)) for x in padded[i:i + 3])
+            total += [a[(k - 2) % len(a)] * b[(k - 1) % len(a)] * c[k] for k in range(len(a))]
+        return total
+
+    want = {}
+    for lang, text in texts:
+        if lang:
+            want[lang] = want.get(lang, 0) + vector(text)
+    protos = language_id.prototypes(rows_of(spark, rows), "text", language_id.F.col("lang"))
+    assert list(protos) == sorted(want) and all(np.allclose(protos[g], want[g]) for g in want)
+    unit = {g: v / np.linalg.norm(v) for g, v in want.items()}
+    mean = sum(unit.values())
+    mean = mean / np.linalg.norm(mean)
+    bare = lambda v: v - (v @ mean) * mean
+    cosine = lambda a, b: a @ b / np.linalg.norm(a) / np.linalg.norm(b)
+    for r in language_id.identify(rows_of(spark, rows), protos).collect():
+        scores = {g: cosine(bare(v), bare(vector(r.text))) for g, v in unit.items()}
+        best = max(sorted(scores), key=scores.get)
+        assert r.lang_pred == best and abs(r.score - min(1, max(0, scores[best]))) < 1e-4
+
+
+def test_toxicity_query_on_any_tables(spark, tmp_path):
+    """A row per document whatever the labels: none usable, of absent documents, of empty texts, no documents."""
+    labels = "doc_id long, quality int, toxic int"
+    texts = [(i, None if i % 3 == 0 else "" if i % 3 == 1 else f"plain words {i}", None, None, 0) for i in range(41)]
+    cases = [([], [(i, 1, i % 2) for i in range(20)]), (texts, []), (texts, [(1000 + i, 1, i % 2) for i in range(20)]),
+             (texts, [(i, 1, int(i % 3 == 0)) for i in range(41)]), (texts, [(None, None, None), (2, 0, 1)])]
+    for at, (docs, marks) in enumerate(cases):
+        sf = str(tmp_path / str(at))
+        spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{sf}/documents.parquet")
+        spark.createDataFrame(marks, labels).write.parquet(f"{sf}/labels.parquet")
+        out = toxicity.op4_toxicity(spark, sf).collect()
+        assert sorted(r.doc_id for r in out) == [d[0] for d in docs]
+        assert {r.score for r in out} <= {0.0} and {r.predicted for r in out} <= {0}
+
+
+def test_toxicity_query(spark):
+    out = toxicity.op4_toxicity(spark, SF).collect()
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    assert sorted(r.doc_id for r in out) == sorted(docs)
+    for r in out:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5)
+
+
 def test_stages_on_odd_rows(spark):
     stages = dict(pytest.importorskip("corpus_pipeline").STAGES)
     schema = "doc_id long, text string, lang string, source string, n_chars long, score string, kept string, text_sha256 int"

@@ -45,7 +45,7 @@ from tidewater.llm.words import byte_kinds, chunks, words
 TOP, LEAST, INSIDE = 2000, 10, 50
 MILLION, GRAIN = 1_000_000, 50
 KINDS = byte_kinds(b"\x20\x09", b".,;:!?\x0a\x0b\x0c\x0d")
-CHUNK = 4_000_000
+CHUNK = 2_000_000
 MIN_SLOTS, MAX_SLOTS = 2**16, 2**26
 FIRST, WIDER = 2, 8
 PLACE = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)]
