@@ -539,25 +539,27 @@ def pagerank_residual(edges: DataFrame, bound: float = 1e-6, reset: float = RESE
     adjacency.blocks.select("src", "dsts", block("src").alias("block")).write.partitionBy("block").parquet(path)
     packed = spark.read.schema(adjacency.blocks.select("src", "dsts").schema.add("block", T.IntegerType())).parquet(path)
     adjacency.release()
+    above = F.col("residual") > bound
     state = _stored(vertices_from_edges(e).join(degrees.withColumnRenamed("src", "id"), "id", "left").select(
-        "id", "outDeg", F.lit(0.0).alias("rank"), F.lit(reset).alias("residual")), "residual-state")
+        "id", "outDeg", F.lit(0.0).alias("rank"), F.lit(reset).alias("residual"), F.lit(0).cast("long").alias("_e")), "residual-state")
     read: list[int] = []
     while True:
-        senders = state.where((F.col("residual") > bound) & F.col("outDeg").isNotNull())
-        wanted = [r[0] for r in senders.select(block("id").alias("b")).distinct().collect()]  # at most ``blocks`` numbers
-        more = state.where(F.col("residual") > bound)
-        if not wanted and more.isEmpty():
+        # One row: the blocks with a sender (at most ``blocks`` numbers), whether any residual is above, the edges read.
+        now = state.agg(F.collect_set(F.when(above & F.col("outDeg").isNotNull(), block("id"))).alias("wanted"),
+                        F.count(F.when(above, 1)).alias("above"), F.sum("_e").alias("read")).first()
+        read.append(now["read"] or 0)
+        if not now["above"]:
             break
-        some = packed.where(F.col("block").isin(wanted)) if wanted else packed.where(F.lit(False))
-        sent = some.join(senders.select(F.col("id").alias("src"), (F.col("residual") * (1 - reset) / F.col("outDeg")).alias("part")), "src")
-        got = sent.select(F.explode("dsts").alias("id"), "part").groupBy("id").agg(F.sum("part").alias("got"), F.count(F.lit(1)).alias("_e"))
-        above = F.col("residual") > bound
-        state = _stored(state.join(got, "id", "left").select(
+        some = packed.where(F.col("block").isin(now["wanted"])) if now["wanted"] else packed.where(F.lit(False))
+        senders = state.where(above & F.col("outDeg").isNotNull()).select(
+            F.col("id").alias("src"), (F.col("residual") * (1 - reset) / F.col("outDeg")).alias("part"))
+        got = (some.join(senders, "src").select(F.explode("dsts").alias("id"), "part").groupBy("id")
+               .agg(F.sum("part").alias("got"), F.count(F.lit(1)).alias("_e")))
+        state = _stored(state.drop("_e").join(got, "id", "left").select(
             "id", "outDeg", (F.col("rank") + F.when(above, F.col("residual")).otherwise(0.0)).alias("rank"),
             (F.when(above, 0.0).otherwise(F.col("residual")) + F.coalesce("got", F.lit(0.0))).alias("residual"),
             F.coalesce("_e", F.lit(0)).alias("_e")), "residual-state")
-        read.append(state.agg(F.sum("_e")).first()[0] or 0)
-        state = state.drop("_e")
+    read = read[1:]
     return state.select("id", (F.col("rank") + F.col("residual")).alias("rank")), read
 
 
