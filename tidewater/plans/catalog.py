@@ -875,13 +875,6 @@ def pagerank_converged(spark, sf):
     return G.pagerank_converged(_rank_edges(spark, sf), 1e-4).select("id", _rank_key())
 
 
-@query
-def pagerank_residual(spark, sf):
-    """Ranks by residual propagation, compared at 1e-2."""
-    ranks, _ = G.pagerank_residual(_rank_edges(spark, sf), bound=1e-7)
-    return ranks.select("id", F.floor(F.col("rank") * 100 + 0.137).cast("bigint").alias("rank_e2"))
-
-
 @query
 def pagerank_named(spark, sf):
     ranks = G.pagerank_converged(_rank_edges(spark, sf), 1e-4)
