@@ -250,9 +250,10 @@ def nearest(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_
     asked = usable(queries, id_col, vec_col).distinct().withColumn("qh", F.xxhash64("v")).withColumn("dim", F.size("v"))
     asked = written(asked, "ann-queries")
     asked, blocks = in_blocks(asked, query_block)
-    shards = index.select(F.col("dim").alias("to_dim"), F.col("shard").alias("to_shard"))
+    shards = F.broadcast(index.groupBy(F.col("dim").alias("to_dim")).agg(F.max("shard").alias("last")))  # a row per length of vectors
     sent = (asked.join(shards, F.col("dim") == F.col("to_dim"))
-            .select("to_dim", "to_shard", F.col("block").alias("to_block"), "vec_id", "qh", "v"))
+            .select("to_dim", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("to_shard"), F.col("block").alias("to_block"),
+                    "vec_id", "qh", "v"))
     copies = index.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
     found = (copies.groupBy("dim", "shard", "block").cogroup(sent.groupBy("to_dim", "to_shard", "to_block"))
              .applyInArrow(_searcher(k, ef), "query_id long, qh long, vec_id long, score double"))
