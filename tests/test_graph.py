@@ -251,3 +251,15 @@ def test_residual_ranks_read_fewer_edges(spark):
     got = pr(ranks)
     assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-2 for k in want)
     assert read[0] == 86 and read[-1] <= 10 and sum(read) < 0.5 * 86 * len(read), read
+
+
+def test_residual_ranks_with_ends_of_two_types(spark):
+    """Equal ids of two types hash apart; no edge may be passed over where only some folders are read."""
+    pairs = [(i, (i * 7 + 3) % 40) for i in range(40)] + [(i, (i * i) % 20) for i in range(40)]
+    e = spark.createDataFrame(pairs, "src int, dst long")
+    out = {a: sum(x == a for x, _ in pairs) for a, _ in pairs}
+    want = {v: 1.0 for p in pairs for v in p}
+    for _ in range(60):
+        want = {v: 0.5 + 0.5 * sum(want[a] / out[a] for a, b in pairs if b == v) for v in want}
+    got = pr(G.pagerank_residual(e, bound=1e-5, reset=0.5, blocks=16)[0])
+    assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-3 for k in want)

@@ -517,7 +517,8 @@ def pagerank_converged(edges: DataFrame, tol: float = 1e-4, reset: float = RESET
     return ranks
 
 
-def pagerank_residual(edges: DataFrame, bound: float = 1e-6, reset: float = RESET, blocks: int | None = None) -> tuple[DataFrame, list[int]]:
+def pagerank_residual(edges: DataFrame, bound: float = 1e-6, reset: float = RESET, blocks: int | None = None,
+                      checkpoint_every: int = 4) -> tuple[DataFrame, list[int]]:
     """PageRank by residual propagation: ``(id, rank)`` and the edges that each round read.
 
     Every vertex has a rank (0 at first) and a residual (``reset``). A round moves the residual of
@@ -526,24 +527,25 @@ def pagerank_residual(edges: DataFrame, bound: float = 1e-6, reset: float = RESE
     fewer edges. It ends when no residual is above the bound; what is left unsent changes a rank by at most
     about ``bound / reset`` times its share of the paths into it. The packed edges are
     a table with a folder per block of sources (``hash(src) mod blocks``); a round reads only the folders
-    that hold a sender.
+    that hold a sender. Both ends get one type first, because equal ids of two types hash apart.
     """
     spark = edges.sparkSession
-    checkpoint_root(spark)
-    e = edges.select("src", "dst")
+    ids = vertices_from_edges(edges)
+    kind = ids.schema["id"].dataType
+    e = edges.select(F.col("src").cast(kind).alias("src"), F.col("dst").cast(kind).alias("dst"))
     blocks = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")
-    degrees = _stored(out_degrees(e).withColumnRenamed("id", "src"), "out-degrees")
+    keeper = _Rounds(checkpoint_every, spark)
     adjacency = Adjacency(e)
     path = scratch_path(spark, "residual-blocks")
     adjacency.blocks.select("src", "dsts", block("src").alias("block")).write.partitionBy("block").parquet(path)
     packed = spark.read.schema(adjacency.blocks.select("src", "dsts").schema.add("block", T.IntegerType())).parquet(path)
     adjacency.release()
     above = F.col("residual") > bound
-    state = _stored(vertices_from_edges(e).join(degrees.withColumnRenamed("src", "id"), "id", "left").select(
-        "id", "outDeg", F.lit(0.0).alias("rank"), F.lit(reset).alias("residual"), F.lit(0).cast("long").alias("_e")), "residual-state")
+    state = keeper.keep(ids.join(out_degrees(e), "id", "left").select(
+        "id", "outDeg", F.lit(0.0).alias("rank"), F.lit(reset).alias("residual"), F.lit(0).cast("long").alias("_e")), 0)
     read: list[int] = []
-    while True:
+    for i in count(1):
         # One row: the blocks with a sender (at most ``blocks`` numbers), whether any residual is above, the edges read.
         now = state.agg(F.collect_set(F.when(above & F.col("outDeg").isNotNull(), block("id"))).alias("wanted"),
                         F.count(F.when(above, 1)).alias("above"), F.sum("_e").alias("read")).first()
@@ -555,12 +557,11 @@ def pagerank_residual(edges: DataFrame, bound: float = 1e-6, reset: float = RESE
             F.col("id").alias("src"), (F.col("residual") * (1 - reset) / F.col("outDeg")).alias("part"))
         got = (some.join(senders, "src").select(F.explode("dsts").alias("id"), "part").groupBy("id")
                .agg(F.sum("part").alias("got"), F.count(F.lit(1)).alias("_e")))
-        state = _stored(state.drop("_e").join(got, "id", "left").select(
+        state = keeper.keep(state.drop("_e").join(got, "id", "left").select(
             "id", "outDeg", (F.col("rank") + F.when(above, F.col("residual")).otherwise(0.0)).alias("rank"),
             (F.when(above, 0.0).otherwise(F.col("residual")) + F.coalesce("got", F.lit(0.0))).alias("residual"),
-            F.coalesce("_e", F.lit(0)).alias("_e")), "residual-state")
-    read = read[1:]
-    return state.select("id", (F.col("rank") + F.col("residual")).alias("rank")), read
+            F.coalesce("_e", F.lit(0)).alias("_e")), i)
+    return keeper.finish(state.select("id", (F.col("rank") + F.col("residual")).alias("rank"))), read[1:]
 
 
 def bfs_levels(edges: DataFrame, source_id) -> DataFrame:

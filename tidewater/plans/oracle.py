@@ -395,6 +395,8 @@ SELECT src, dst, w FROM ge WHERE w > 5 AND src IN (SELECT p_partkey FROM part WH
     "pagerank_pregel": PR_PREGEL + f"\nSELECT id, {_key()} FROM pr",
     "pagerank_join_iterative": PR_JOIN + f"\nSELECT id, {_key()} FROM pr",
     "pagerank_converged": PR_CONV + f"\nSELECT id, {_key()} FROM pr",
+    "pagerank_residual": PR_CONV.replace("0.15 + 0.85", "0.5 + 0.5").replace("1e-4", "1e-12")
+        + "\nSELECT id, CAST(floor(rank * 1000 + 0.137) AS BIGINT) AS rank_e3 FROM pr",
     "pagerank_named": PR_CONV + f"\nSELECT pr.id, p.p_name AS name, {_key('pr.rank')} FROM pr JOIN part p ON p.p_partkey = pr.id",
     "pagerank_top10": PR_JOIN + f"\nSELECT id, {_key()} FROM pr ORDER BY rank DESC, id LIMIT 10",
     "pagerank_contributions": "WITH " + RE + """,
