@@ -263,3 +263,18 @@ def test_residual_ranks_with_ends_of_two_types(spark):
         want = {v: 0.5 + 0.5 * sum(want[a] / out[a] for a, b in pairs if b == v) for v in want}
     got = pr(G.pagerank_residual(e, bound=1e-5, reset=0.5, blocks=16)[0])
     assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-3 for k in want)
+
+
+def test_residual_folders_hold_one_file(spark, monkeypatch):
+    """Not one file per folder and writing task."""
+    import glob
+    folders = []
+    monkeypatch.setattr(G, "scratch_path", lambda s, name, real=G.scratch_path: folders.append(real(s, name)) or folders[-1])
+    e = edges(spark, [(i, (i * 7 + 3) % 300) for i in range(300)])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        G.pagerank_residual(e, bound=1e-1, blocks=16)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    path = next(f for f in folders if "residual-blocks" in f).removeprefix("file:")
+    assert len(glob.glob(f"{path}/block=*")) == 16 == len(glob.glob(f"{path}/block=*/*.parquet"))

@@ -527,7 +527,8 @@ def pagerank_residual(edges: DataFrame, bound: float = 1e-6, reset: float = RESE
     fewer edges. It ends when no residual is above the bound; what is left unsent changes a rank by at most
     about ``bound / reset`` times its share of the paths into it. The packed edges are
     a table with a folder per block of sources (``hash(src) mod blocks``); a round reads only the folders
-    that hold a sender. Both ends get one type first, because equal ids of two types hash apart.
+    that hold a sender. A folder is one file, and one more per salt of its hubs: tasks that each wrote into
+    all folders would leave the square of the partitions. Both ends get one type first, because equal ids of two types hash apart.
     """
     spark = edges.sparkSession
     ids = vertices_from_edges(edges)
@@ -538,7 +539,8 @@ def pagerank_residual(edges: DataFrame, bound: float = 1e-6, reset: float = RESE
     keeper = _Rounds(checkpoint_every, spark)
     adjacency = Adjacency(e)
     path = scratch_path(spark, "residual-blocks")
-    adjacency.blocks.select("src", "dsts", block("src").alias("block")).write.partitionBy("block").parquet(path)
+    adjacency.blocks.select("src", "dsts", "_salt", block("src").alias("block")).repartition("block", "_salt").drop("_salt") \
+        .write.partitionBy("block").parquet(path)
     packed = spark.read.schema(adjacency.blocks.select("src", "dsts").schema.add("block", T.IntegerType())).parquet(path)
     adjacency.release()
     above = F.col("residual") > bound
