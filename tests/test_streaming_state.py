@@ -195,3 +195,21 @@ def test_running_totals_per_record(spark, range_rows):
 def test_running_total_of_words_is_the_word_count_at_the_end(spark):
     last = C.stream_running_wordcount(spark, SF).groupBy("word").agg(F.max("count").alias("count"))
     assert rows(last) == rows(C.wordcount_regex(spark, SF))
+
+
+def test_running_totals_find_ranges_by_binary_search(spark):
+    """Work per record does not grow with the number of ranges, and the records are shuffled once; values
+    that are null add nothing and null keys are a key."""
+    df = spark.createDataFrame([(i, None if i % 3 else "k", i, None if i % 7 == 0 else 1) for i in range(2000)], "id long, k string, at long, n long")
+    none = spark.createDataFrame([], "key string, total long")
+    found, after = ST.running(df, "k", "n", ["at", "id"], none, "total", range_rows=20)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "filter(" not in plan and "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan and plan.count("Exchange hashpartitioning") == 1
+    totals, want = {}, []
+    for i in range(2000):
+        k = None if i % 3 else "k"
+        totals[k] = totals.get(k) if i % 7 == 0 else (totals.get(k) or 0) + 1
+        want.append((i, totals[k]))
+    key = lambda r: (r[0], r[1] or 0)
+    assert sorted(rows(found, "id", "total"), key=key) == want
+    assert {r.key: r.total for r in after.collect()} == totals

@@ -1,16 +1,19 @@
 """Running totals per key, one result per input record, in arrival order.
 
 Within a micro-batch the records of a key are cut into ranges of the order column, each a
-group of bounded size on average, so a hot key is no single task: sums within the ranges are
-taken by a window, the totals of ranges (one row per key and range) by a second one, and the
-total that earlier batches left for the key is added. Every batch writes its new totals per
+group of bounded size on average, so a hot key is no single task. A first window over the totals
+of ranges (one row per key and range) gives what lies before a range, the total that earlier
+batches left for the key included; it goes as a row of its own in front of the records of its range, so one
+shuffle and one window over the records gives their totals. Every batch writes its new totals per
 key, so a batch that runs again starts from the same ones.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,11 +23,19 @@ from tidewater.streaming.runner import run_batches
 RANGE_ROWS, MOST_RANGES = 50_000, 4096
 
 
-def _range_of(col: Column, bounds: list[float]) -> Column:
-    """How many of the ascending ``bounds`` lie at or below the value (null: 0)."""
+def _ranged(rows: DataFrame, col: str, bounds: list[float]) -> DataFrame:
+    """``rows`` with ``_part``: how many of the ascending ``bounds`` lie at or below the value of ``col``
+    (null: 0), by binary search."""
+    bounds = [b for b in bounds if math.isfinite(b)]
     if not bounds:
-        return F.lit(0)
-    return F.coalesce(F.size(F.filter(F.array(*[F.lit(float(b)) for b in bounds]), lambda b: b <= col.cast("double"))), F.lit(0))
+        return rows.withColumn("_part", F.lit(0))
+    cut = Bucketizer(splits=[-math.inf, *bounds, math.inf], inputCol="_at", outputCol="_bucket", handleInvalid="keep")
+    found = cut.transform(rows.withColumn("_at", F.col(col).cast("double")))
+    return found.withColumn("_part", F.coalesce(F.col("_bucket").cast("int"), F.lit(0))).drop("_at", "_bucket")
+
+
+def _plus(a: Column, b: Column) -> Column:
+    return F.coalesce(a + b, a, b)
 
 
 def running(rows: DataFrame, key: str, value: str, order: list[str], carried: DataFrame, out: str,
@@ -36,23 +47,24 @@ def running(rows: DataFrame, key: str, value: str, order: list[str], carried: Da
     ranges = min(MOST_RANGES, -(-rows.count() // range_rows))
     probs = [i / ranges for i in range(1, ranges)]
     bounds = sorted(set(rows.approxQuantile(order[0], probs, 0.5 / ranges))) if probs else []
-    parted = rows.withColumn("_part", _range_of(F.col(order[0]), bounds))
-    inside = Window.partitionBy(key, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sums = parted.groupBy(key, "_part").agg(F.sum(value).alias("_sum"))
+    parted = _ranged(rows, order[0], bounds)
+    sums = parted.groupBy(F.col(key).alias("_key"), "_part").agg(F.sum(value).alias("_sum"))
     before = Window.partitionBy("_key").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     have = carried.select(F.col("key").alias("_have"), F.col("total").alias("_total"))
-    sums = sums.withColumnRenamed(key, "_key").withColumnRenamed("_part", "_part")
     base = sums.join(have, F.col("_key").eqNullSafe(F.col("_have")), "left").select(
-        "_key", F.col("_part").alias("_range"), "_sum",
-        (F.coalesce(F.sum("_sum").over(before), F.lit(0)) + F.coalesce("_total", F.lit(0))).alias("_base"))
-    totals = base.groupBy("_key").agg(F.max_by(F.col("_base") + F.col("_sum"), "_range").alias("_new"))
+        "_key", "_part", "_sum", _plus(F.sum("_sum").over(before), F.col("_total")).alias("_base"))
+    path = scratch_path(rows.sparkSession, "running-base")  # both results need it; it is taken from the rows once
+    base.write.parquet(path)
+    base = rows.sparkSession.read.schema(base.schema).parquet(path)
+    totals = base.groupBy("_key").agg(F.max_by(_plus(F.col("_base"), F.col("_sum")), "_part").alias("_new"), F.lit(True).alias("_seen"))
     after = have.join(totals, F.col("_key").eqNullSafe(F.col("_have")), "full").select(
-        F.when(F.col("_new").isNotNull(), F.col("_key")).otherwise(F.col("_have")).alias("key"),
-        F.coalesce("_new", "_total").alias("total"))
-    summed = parted.withColumn("_inside", F.sum(value).over(inside))
-    found = summed.join(base.select("_key", "_range", "_base"),
-                        F.col(key).eqNullSafe(F.col("_key")) & (F.col("_part") == F.col("_range")))
-    return found.select(*rows.columns, (F.col("_base") + F.col("_inside")).alias(out)), after
+        F.when(F.col("_seen"), F.col("_key")).otherwise(F.col("_have")).alias("key"),
+        F.when(F.col("_seen"), F.col("_new")).otherwise(F.col("_total")).alias("total"))
+    own = base.select(*[F.col("_key").alias(f.name) if f.name == key else F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields],
+                      "_part", F.col("_base").alias("_n"), F.lit(0).alias("_later"))
+    every = parted.withColumns({"_n": F.col(value), "_later": F.lit(1)}).unionByName(own)
+    inside = Window.partitionBy(key, "_part").orderBy("_later", *order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return every.withColumn(out, F.sum("_n").over(inside)).where("_later = 1").select(*rows.columns, out), after
 
 
 def run_running_total(stream: DataFrame, spark: SparkSession, name: str, key: str, value: str, order: list[str],
