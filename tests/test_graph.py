@@ -278,3 +278,20 @@ def test_residual_folders_hold_one_file(spark, monkeypatch):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     path = next(f for f in folders if "residual-blocks" in f).removeprefix("file:")
     assert len(glob.glob(f"{path}/block=*")) == 16 == len(glob.glob(f"{path}/block=*/*.parquet"))
+
+
+def test_small_rounds_of_components_are_few_files(spark, monkeypatch):
+    """A round's tables have a file per so many rows, not one per shuffle partition."""
+    import glob
+    folders = []
+    monkeypatch.setattr(G, "scratch_path", lambda s, name, real=G.scratch_path: folders.append(real(s, name)) or folders[-1])
+    monkeypatch.setattr(G, "ROUND_ROWS", 250, raising=False)
+    e = edges(spark, [(i, i + 1) for i in range(400) if i % 100])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r.id: r.component for r in G.connected_components(e).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert got == {i: (i - 1) // 100 * 100 + 1 for i in range(1, 401)}
+    files = [len(glob.glob(f"{f.removeprefix('file:')}/*.parquet")) for f in folders if "component-map" in f]
+    assert files[0] <= 4 and files[-1] == 1, files

@@ -227,10 +227,17 @@ class Adjacency:
 
 # ---------------------------------------------------------------- components
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
+# Rows a task of a contraction round takes on average before the round gets a further task.
+ROUND_ROWS = 100_000
+
+
+def _stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """``df`` as a table in the shared folder: it survives lost executors, and counting it
-    reads file footers only."""
+    reads file footers only. With ``rows``, the most that it has, it is written by a task per
+    ``ROUND_ROWS`` of them, if these are fewer than its partitions: a small table is no file per partition."""
     path = scratch_path(df.sparkSession, name)
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // ROUND_ROWS)))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -260,11 +267,11 @@ def contraction_rounds(pairs: DataFrame, max_rounds: int | None = None) -> tuple
 
         ends = e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(e.select("b", "a"))
         near = ends.groupBy("u").agg(F.min(ranked("v")).alias("near"))
-        to = _stored(near.select("u", F.least("near", ranked("u"))["id"].alias("to")), "component-map")
+        to = _stored(near.select("u", F.least("near", ranked("u"))["id"].alias("to")), "component-map", 2 * n)
         maps.append(to)
         x, y = to.select(F.col("u").alias("a"), F.col("to").alias("x")), to.select(F.col("u").alias("b"), F.col("to").alias("y"))
         moved = e.join(x, "a").join(y, "b").where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        e = _stored(moved.distinct(), "component-edges")
+        e = _stored(moved.distinct(), "component-edges", n)
 
 
 def connected_components(edges: DataFrame, vertices: DataFrame | None = None, max_rounds: int | None = None) -> DataFrame:
@@ -276,7 +283,7 @@ def connected_components(edges: DataFrame, vertices: DataFrame | None = None, ma
     their rows by broadcast (``attach``). A caller's ``max_rounds`` that does not suffice raises.
     """
     checkpoint_root(edges.sparkSession)
-    maps, _ = contraction_rounds(undirected(edges), max_rounds)
+    maps, sizes = contraction_rounds(undirected(edges), max_rounds)
     ids = vertices.select("id") if vertices is not None else vertices_from_edges(edges)
     if not maps:
         return ids.select("id", F.col("id").alias("component"))
@@ -287,9 +294,10 @@ def connected_components(edges: DataFrame, vertices: DataFrame | None = None, ma
         else:
             up = roots.select(F.col("u").alias("to"), "root")
             roots = to.join(up, "to", "left").select("u", F.coalesce("root", "to").alias("root"))
-    roots = _stored(roots, "component-roots")
-    least = _stored(roots.groupBy("root").agg(F.min("u").alias("component"), F.count(F.lit(1)).alias("_n")), "component-least")
-    labels = attach(roots, least, "root", "_n", roots.count()).select(F.col("u").alias("id"), "component")
+    roots = _stored(roots, "component-roots", 2 * sizes[0])
+    n = roots.count()
+    least = _stored(roots.groupBy("root").agg(F.min("u").alias("component"), F.count(F.lit(1)).alias("_n")), "component-least", n)
+    labels = attach(roots, least, "root", "_n", n).select(F.col("u").alias("id"), "component")
     return _stored(ids.join(labels, "id", "left").select("id", F.coalesce("component", "id").alias("component")), "components")
 
 
