@@ -295,3 +295,26 @@ def test_small_rounds_of_components_are_few_files(spark, monkeypatch):
     assert got == {i: (i - 1) // 100 * 100 + 1 for i in range(1, 401)}
     files = [len(glob.glob(f"{f.removeprefix('file:')}/*.parquet")) for f in folders if "component-map" in f]
     assert files[0] <= 4 and files[-1] == 1, files
+
+
+def test_triangle_task_holds_little_beside_its_edges():
+    """Some arrays as long as the edges, and pairs of edges half a million at a time."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+    rng = np.random.default_rng(3)
+    a, b = rng.integers(0, 1500, (2, 300_000))
+    key = np.unique(np.minimum(a, b) * 1500 + np.maximum(a, b))
+    key = key[key // 1500 != key % 1500]
+    zero = np.zeros(len(key), np.int64)
+    table = pa.table({"a": key // 1500, "b": key % 1500, "ca": zero, "cb": zero, "task": zero})
+    tracemalloc.start()
+    out = G._closed(1)(table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    m = np.zeros((1500, 1500))
+    m[key // 1500, key % 1500] = m[key % 1500, key // 1500] = 1
+    want = ((m @ m) * m).sum(axis=1) / 2
+    assert dict(zip(out.column("id").to_pylist(), out.column("t").to_pylist())) == {i: int(w) for i, w in enumerate(want) if w}
+    assert peak < 80 << 20, peak >> 20

@@ -305,6 +305,8 @@ def connected_components(edges: DataFrame, vertices: DataFrame | None = None, ma
 
 # Edges one triangle task holds on average at most (16 bytes each, and a few arrays as long).
 TASK_EDGES = 2_000_000
+# Pairs of edges looked up at a time.
+PAIRS = 500_000
 
 
 def _colours(edges: int, parts: int, task_edges: int) -> int:
@@ -318,32 +320,39 @@ def _closed(colours: int):
     def run(table: pa.Table) -> pa.Table:
         a, b = (table.column(c).to_numpy() for c in ("a", "b"))
         own = np.sort(_split_task(int(table.column("task")[0].as_py()), colours))
-        ids, ends = np.unique(np.concatenate((a, b)), return_inverse=True)
-        x, y = ends[:len(a)], ends[len(a):]
+        ids = np.unique(np.concatenate((a, b)))
+        x, y = (np.searchsorted(ids, v).astype(np.int32) for v in (a, b))
+        del a, b
         n = len(ids)
+        colour = np.empty(n, np.int32)
+        for v, c in ((x, "ca"), (y, "cb")):
+            colour[v] = table.column(c).to_numpy()
+        kind, table = table.schema.field("a").type, None
+        ends = np.concatenate((x, y))
         degree = np.bincount(ends, minlength=n)
         rank = np.empty(n, np.int64)
         rank[np.lexsort((np.arange(n), degree))] = np.arange(n)
         # Edges point to the end of higher degree, so no vertex has more than sqrt(2 edges) of them.
         lo, hi = np.minimum(rank[x], rank[y]), np.maximum(rank[x], rank[y])
-        order = np.lexsort((hi, lo))
-        lo, hi = lo[order], hi[order]
+        del x, y, ends
         key = lo * n + hi
-        last = np.searchsorted(lo, lo, "right")  # behind the last edge of the same vertex
-        name = np.empty(n, np.int64)
-        name[rank] = np.arange(n)
-        colour = np.empty(n, np.int64)
-        colour[ends] = np.concatenate((table.column("ca").to_numpy(), table.column("cb").to_numpy()))
+        del lo, hi
+        key.sort()
+        lo, hi = (key // n).astype(np.int32), (key % n).astype(np.int32)
+        last = np.cumsum(np.bincount(lo, minlength=n))[lo]  # behind the last edge of the same vertex
+        name = np.empty(n, np.int32)
+        name[rank] = np.arange(n, dtype=np.int32)
+        del rank
         found = np.zeros(n, np.int64)
         wedges = last - np.arange(len(lo)) - 1
         upto = np.concatenate(([0], np.cumsum(wedges)))
         at = 0
-        while at < len(lo):  # pairs of edges of one vertex, some millions at a time
-            end = max(at + 1, int(np.searchsorted(upto, upto[at] + 4_000_000, "right")) - 1)
+        while at < len(lo):  # pairs of edges of one vertex, half a million at a time
+            end = max(at + 1, int(np.searchsorted(upto, upto[at] + PAIRS, "right")) - 1)
             w = wedges[at:end]
             first = np.repeat(np.arange(at, end), w)
             second = first + 1 + np.arange(int(w.sum())) - np.repeat(np.cumsum(w) - w, w)
-            closing = hi[first] * n + hi[second]
+            closing = hi[first].astype(np.int64) * n + hi[second]
             spot = np.minimum(np.searchsorted(key, closing), len(key) - 1)
             ok = key[spot] == closing
             three = np.stack((lo[first[ok]], hi[first[ok]], hi[second[ok]]))
@@ -352,7 +361,7 @@ def _closed(colours: int):
             found += np.bincount(three[:, mine].ravel(), minlength=n)
             at = end
         some = found > 0
-        return pa.table({"id": pa.array(ids[some].tolist(), table.schema.field("a").type), "t": pa.array(found[some])})
+        return pa.table({"id": pa.array(ids[some].tolist(), kind), "t": pa.array(found[some])})
 
     return run
 
