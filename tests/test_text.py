@@ -54,3 +54,16 @@ def test_vocabulary_and_empty_input(spark):
     empty = spark.createDataFrame([], "value string")
     assert T.word_count(empty).count() == 0
     assert T.vocabulary_size(T.word_count(empty)).first()["n"] == 0
+
+
+def test_table_function_yields_words_of_some_bytes_at_a_time():
+    """Not the words of a whole batch, however long its texts are."""
+    import pyarrow as pa
+
+    from tidewater.plans import catalog as C
+    texts = ["Ab c, d! " * 20_000, None, "", "x" * 3_000_000, *["one Two" * 1000] * 500]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    tables = list(C.WordTokens.func().eval(batch))
+    assert max(t.nbytes for t in tables) < 4 << 20 and len(tables) > 4
+    got = [w for t in tables for w in t.column("word").to_pylist()]
+    assert got == [w for t in texts if t for w in t.lower().replace(",", "").replace("!", "").split()]

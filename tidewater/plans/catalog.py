@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -361,14 +362,24 @@ def topk_long_words(spark, sf):
     return T.top_long_words(T.word_count(_docs(spark, sf), "stripped"), 20, 5)
 
 
+TOKEN_BYTES = 1 << 20
+
+
 @arrow_udtf(returnType="word string")
 class WordTokens:
     """Row-generating function form of the lower-case word tokenizer: a table in, Arrow batch by
-    Arrow batch, any number of rows out, without a row of Python."""
+    Arrow batch, any number of rows out, without a row of Python. A batch has a number of texts of any
+    length, so its words come in tables of the texts that have about ``TOKEN_BYTES``."""
 
     def eval(self, batch: pa.RecordBatch) -> Iterator[pa.Table]:
-        words = pc.list_flatten(pc.split_pattern_regex(pc.utf8_lower(batch.column("text")), NON_WORD))
-        yield pa.table({"word": words.filter(pc.not_equal(words, ""))})
+        text = batch.column("text")
+        ends = np.cumsum(pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        lo = 0
+        while lo < len(text):
+            hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + TOKEN_BYTES, "right")))
+            words = pc.list_flatten(pc.split_pattern_regex(pc.utf8_lower(text.slice(lo, hi - lo)), NON_WORD))
+            yield pa.table({"word": words.filter(pc.not_equal(words, ""))})
+            lo = hi
 
 
 @query
