@@ -331,6 +331,28 @@ def test_confirmation_against_a_plain_recount(spark):
         assert (r.confirmed, r.similarity) == best, r
 
 
+def test_licences_learn_from_every_line(spark):
+    """One text of many has lines of licence words in other orders: all of them teach the unknown class and its cut."""
+    rng = random.Random(3)
+    words = sorted({w for _, t in license_scan.TEMPLATES for w in re.findall(r"[^\W_]+", t.lower())})
+    odd = [" ".join(rng.sample(words, 14)) for _ in range(300)]
+    rows = [(i, "\n".join(f"line {j} of the story {i} about {i * j} things" for j in range(20))) for i in range(40)]
+    rows += [(100, "\n".join(odd)), (101, "Released under the MIT License."), (102, WRAPPED["MIT"])]
+    docs = rows_of(spark, rows)
+    got = {r.doc_id: r for r in license_scan.scan(docs, license_scan.train(docs)).collect()}
+    assert (got[101].families, got[102].families) == (["MIT"], ["MIT"])
+    assert sum(r.n_paragraphs for r in got.values()) == 40 * 20 + 300 + 1 + 4
+    assert sum(r.n_unconfirmed for i, r in got.items() if i < 101) <= 2
+
+
+def test_every_line_is_an_example_but_those_of_notices(spark):
+    texts = ["a plain line\nand one more\n!!\n", WRAPPED["GPL-3.0"] + "\nA story\nof plain words", "x\nReleased under the MIT License.", None, " \n"]
+    known = [[f"{a} {b}" for a, b in zip(w, w[1:])] for w in (re.findall(r"[^\W_]+", t.lower()) for _, t in license_scan.TEMPLATES)]
+    reach = max(map(len, known)) + 1
+    got = license_scan.unknown_lines(rows_of(spark, list(enumerate(texts))), "doc_id", "text", known, reach, ["a", "of", "one more", "story"])
+    assert sorted(sorted(r.grams) for r in got.collect()) == sorted([["a"], ["one more"], [], ["a", "story"], ["of"], []])
+
+
 def test_wrapped_licences(spark):
     corpus = [(100 + i, f"the word {i} of a story about {i * 7} things and places\nsecond line {i} in it") for i in range(300)]
     families = list(WRAPPED)

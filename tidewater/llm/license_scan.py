@@ -1,11 +1,12 @@
 """Operator 1: licence scan with a trained paragraph classifier, JVM-side throughout.
 
 A text's paragraphs (its lines) become sparse 0/1 vectors of the word 1- and 2-grams of the
-licence templates below. A multinomial logistic regression over them, with
-one class per family and an ``unknown`` class, is trained on thinned copies of the
+licence templates below. Two logistic regressions over them are trained, on thinned copies of the
 templates (each copy loses some words and half of them sit inside a corpus paragraph) and
-on a bounded hash sample of about ``NEGATIVES`` corpus paragraphs that resemble no
-template. A second sample of the same size calibrates the unknown class: a family needs a
+on every corpus paragraph that resembles no template: a binary one tells copies from
+paragraphs (class ``unknown``), which weigh together as much as ``UNKNOWN_WEIGHT`` copies; a
+multinomial one tells the families of copies apart. A family's probability is the product of
+both. All these paragraphs calibrate the unknown class, too: a family needs a
 probability above ``FALSE_ALARMS`` of the largest family probabilities seen there (and
 above 0.5). Each remaining prediction is confirmed by comparing the paragraph with the
 family's templates: it must hold ``CONFIRM`` of the distinct 2-grams of one of them.
@@ -18,7 +19,7 @@ Only texts that hold ``CONFIRM`` of a template as a whole can have such a join;
 passed over without loss. A confirmed join counts as one more licence paragraph, unless a
 confirmed line or a better join of the same family lies in it or meets it, or a more similar
 line or a better join of another covers half of its lines (better: more similar, then
-shorter). A sampled line that adds to a notice wrapped around it is no example of the
+shorter). A line that adds to a notice wrapped around it is no example of the
 unknown class.
 
 Result: one row per document id with the number of paragraphs (lines), of confirmed licence
@@ -89,9 +90,8 @@ for _short, _long in CC_TERMS.items():
 # The words that tell related notices apart.
 TELLING = {"affero", "lesser", "sharealike", "noncommercial", "noderivatives", "noderivs", "sa", "nc", "nd", "1", "2", "3", "4", "5", "v1", "v2"}
 RELATED = 0.5
-UNKNOWN = "unknown"
 COPIES, KEEP_WORDS = 40, 88
-NEGATIVES = 2000
+UNKNOWN_WEIGHT = 2000
 FALSE_ALARMS = 0.999
 CONFIRM = 0.6
 SHORT, CONFIRM_SHORT = 12, 0.7  # a line of a longer notice holds much of a template of few 2-grams
@@ -107,8 +107,15 @@ def pairs_of(words: Column) -> Column:
                       F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))), lambda a, b: F.concat(a, F.lit(" "), b))
 
 
-def with_grams(paragraphs: DataFrame) -> DataFrame:
-    return paragraphs.withColumn("grams", F.concat("words", pairs_of(F.col("words"))))
+def masked(words: Column, grams: list[str]) -> Column:
+    """``words`` with null for those that are in none of ``grams``, so that their pairs are null, too, and cost nothing."""
+    some = sorted({w for g in grams for w in g.split(" ")})
+    return F.transform(words, lambda w: F.when(w.isin(some), w))
+
+
+def grams_of(words: Column, vocabulary: list[str]) -> Column:
+    """The distinct 1- and 2-grams of ``words`` that are in ``vocabulary``."""
+    return let(masked(words, vocabulary), lambda m: F.array_distinct(F.filter(F.concat(m, pairs_of(m)), lambda g: g.isin(vocabulary))))
 
 
 def template_rows(spark: SparkSession, templates: list[tuple[str, str]]) -> DataFrame:
@@ -119,7 +126,7 @@ def template_rows(spark: SparkSession, templates: list[tuple[str, str]]) -> Data
 
 def held_share(pairs: Column, of: Column) -> Column:
     """The largest share of a template's 2-grams (one array per template) that ``pairs`` has."""
-    return F.array_max(F.transform(of, lambda t: F.size(F.array_intersect(pairs, t)) / F.size(t)))
+    return F.array_max(F.transform(of, lambda t: F.size(F.array_intersect(t, pairs)) / F.size(t)))
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -127,11 +134,16 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def hits_of(pairs: Column, known: list[list[str]]) -> Column:
+    """The distinct ``pairs`` that a template has."""
+    every = sorted({p for t in known for p in t})
+    return F.array_distinct(F.filter(pairs, lambda p: p.isin(every)))
+
+
 def held_of_any(words: Column, known: list[list[str]]) -> Column:
     """The largest share of a template's 2-grams that ``words`` has; null where it has none."""
-    of, all_pairs = F.lit(known), F.lit(sorted({p for t in known for p in t}))
-    return let(words, lambda w: let(F.array_intersect(pairs_of(w), all_pairs),
-                                    lambda c: F.when(F.size(c) > 0, held_share(c, of))))
+    some = sorted({p for t in known for p in t})
+    return let(masked(words, some), lambda w: let(hits_of(pairs_of(w), known), lambda c: F.when(F.size(c) > 0, held_share(c, F.lit(known)))))
 
 
 def lines_of(text: Column) -> Column:
@@ -163,26 +175,26 @@ def part_of(pairs: Column, of: Column) -> Column:
 
 class LicenseModel:
     """``templates`` has per family the 2-grams of every template with their rivals, ``known`` the
-    2-grams of every template, ``reach`` is the number of words of the longest."""
+    2-grams of every template, ``reach`` is the number of words of the longest. ``notice`` tells
+    copies of templates from other paragraphs, ``regression`` the families of copies."""
 
-    def __init__(self, vectors: CountVectorizerModel, regression, names: list[str], cut: float, templates: DataFrame,
+    def __init__(self, vectors: CountVectorizerModel, notice, regression, names: list[str], cut: float, templates: DataFrame,
                  known: list[list[str]], reach: int):
-        self.vectors, self.regression, self.names, self.cut, self.templates = vectors, regression, names, cut, templates
-        self.known, self.reach = known, reach
+        self.vectors, self.notice, self.regression, self.names = vectors, notice, regression, names
+        self.cut, self.templates, self.known, self.reach = cut, templates, known, reach
 
     def scored(self, paragraphs: DataFrame) -> DataFrame:
-        """Adds ``family`` (the likeliest one but unknown) and ``probability``."""
-        p = vector_to_array(F.col("probability"))
-        families = F.slice(p, 2, len(self.names) - 1)
-        names = F.array(*[F.lit(n) for n in self.names[1:]])
-        out = self.regression.transform(self.vectors.transform(paragraphs)).withColumn("p", families)
-        return (out.withColumn("top", F.array_max("p"))
-                .withColumn("family", F.element_at(names, F.array_position("p", F.col("top")).cast("int")))
-                .drop("probability", "rawPrediction", "prediction", "features", "p").withColumnRenamed("top", "probability"))
+        """Adds ``family`` (the likeliest one) and ``probability`` to rows with ``grams``."""
+        names = F.array(*[F.lit(n) for n in self.names])
+        out = self.regression.transform(self.notice.transform(self.vectors.transform(paragraphs)))
+        out = out.withColumn("p", vector_to_array(F.col("p_family"))).withColumn("top", F.array_max("p"))
+        return (out.withColumn("family", F.element_at(names, F.array_position("p", F.col("top")).cast("int")))
+                .withColumn("probability", F.col("top") * vector_to_array(F.col("p_notice"))[1])
+                .drop("p_notice", "p_family", "features", "p", "top"))
 
     def compared(self, paragraphs: DataFrame, *keep: str) -> DataFrame:
         """``keep``, ``family`` (null below the cut), ``probability``, ``similarity`` and ``confirmed``."""
-        scored = self.scored(with_grams(paragraphs)).select(
+        scored = self.scored(paragraphs.withColumn("grams", grams_of(F.col("words"), self.vectors.vocabulary))).select(
             *keep, "words", "probability", F.when(F.col("probability") > self.cut, F.col("family")).alias("family"))
         return (scored.join(F.broadcast(self.templates.withColumnRenamed("family", "f")), F.col("family") == F.col("f"), "left")
                 .withColumn("judged", F.when(F.col("family").isNotNull(), let(pairs_of(F.col("words")), lambda p: F.transform(
@@ -193,34 +205,52 @@ class LicenseModel:
                 .select(*keep, "family", "probability", "similarity", "confirmed"))
 
 
-def around_line(reach: int) -> list[Column]:
-    """The last words of the lines before line ``at`` and the first words of those after it."""
-    at, n = F.col("at"), F.lit(reach)
-    before = words_of(F.array_join(F.slice("lines", F.greatest(at - n, F.lit(1)), F.least(at - 1, n)), "\n"))
-    after = words_of(F.array_join(F.slice("lines", at + 1, n), "\n"))
-    return [let(before, lambda w: F.slice(w, F.greatest(F.size(w) - n, F.lit(0)) + 1, n)).alias("before"),
-            F.slice(after, 1, n).alias("after")]
+def resembled(pairs: Column, of: Column, more_than: Column | None = None) -> Column:
+    """Whether ``pairs`` have ``RESEMBLES`` of a template's 2-grams and, of these, more than the pairs ``more_than``."""
+    return F.exists(of, lambda t: let(F.size(F.array_intersect(t, pairs)), lambda n: (n >= F.lit(RESEMBLES) * F.size(t)) & (
+        F.lit(True) if more_than is None else n > F.size(F.array_intersect(t, more_than)))))
+
+
+def adds_to_notice(lines: Column, words: Column, i: Column, known: list[list[str]], reach: int, close: Column) -> Column:
+    """Whether line ``i`` (from 0) of ``lines``, arrays of words, adds to a template of ``close`` that it resembles
+    together with the last ``reach`` words of the lines before it and the first of those after it."""
+    n = F.lit(reach)
+    last = lambda w: F.slice(w, F.greatest(F.size(w) - n, F.lit(0)) + 1, n)
+    before = let(F.flatten(F.transform(F.slice(lines, F.greatest(i - n, F.lit(0)) + 1, F.least(i, n)), last)), last)
+    after = F.slice(F.flatten(F.transform(F.slice(lines, i + 2, n), lambda w: F.slice(w, F.lit(1), n))), F.lit(1), n)
 
+    return let(F.struct(before.alias("before"), after.alias("after")), lambda c: let(F.struct(
+        hits_of(pairs_of(F.concat(c["before"], words, c["after"])), known).alias("whole"),
+        hits_of(F.concat(pairs_of(c["before"]), pairs_of(c["after"])), known).alias("rest")),
+        lambda x: (F.size(F.array_except(x["whole"], x["rest"])) > 0) & resembled(x["whole"], close, x["rest"])))
 
-def adds_to_notice(every: Column) -> Column:
-    """Whether ``words`` between ``before`` and ``after`` add to a template that all together resemble."""
-    whole = pairs_of(F.concat("before", "words", "after"))
-    rest = F.concat(pairs_of(F.col("before")), pairs_of(F.col("after")))
-    return let(F.struct(whole.alias("whole"), rest.alias("rest")), lambda x: F.exists(every, lambda t: let(
-        F.size(F.array_intersect(x["whole"], t)),
-        lambda n: (n >= F.lit(RESEMBLES) * F.size(t)) & (n > F.size(F.array_intersect(x["rest"], t))))))
+
+def unknown_lines(docs: DataFrame, id_col: str, text_col: str, known: list[list[str]], reach: int, vocabulary: list[str]) -> DataFrame:
+    """``draw, grams`` of every line that neither resembles a template nor adds to a notice around it; ``draw``
+    is a hash of id and place. A line can only resemble templates that its text resembles as a whole (``close``)."""
+
+    def taken(lines: Column, words: Column, i: Column, close: Column) -> Column:
+        own = let(hits_of(pairs_of(words), known), lambda c: resembled(c, close))
+        return (F.size(close) > 0) & (own | adds_to_notice(lines, words, i, known, reach, close))
+
+    def judged(lines: Column) -> Column:
+        close = let(hits_of(pairs_of(F.flatten(lines)), known), lambda c: F.filter(
+            F.lit(known), lambda t: (F.size(c) > 0) & (F.size(F.array_intersect(t, c)) >= F.lit(RESEMBLES) * F.size(t))))
+        return let(close, lambda close: F.transform(lines, lambda words, i: F.struct(
+            words.alias("words"), taken(lines, words, i, close).alias("taken"))))
+
+    lines = F.transform(lines_of(F.col(text_col)), lambda t: masked(words_of(t), vocabulary))
+    rows = docs.select(F.col(id_col).alias("d"), F.posexplode(let(lines, judged)).alias("i", "line"))
+    return rows.where(~F.col("line.taken")).select(F.xxhash64("d", "i").alias("draw"), grams_of(F.col("line.words"), vocabulary).alias("grams"))
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          templates: list[tuple[str, str]] = TEMPLATES, negatives: int = NEGATIVES) -> LicenseModel:
+          templates: list[tuple[str, str]] = TEMPLATES) -> LicenseModel:
     spark = docs.sparkSession
     known = template_rows(spark, templates)
-    names = [UNKNOWN, *sorted({f for f, _ in templates})]
+    names = sorted({f for f, _ in templates})
     label = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("family")) - 1
 
-    # Two hash samples of corpus paragraphs, one line of each chosen text.
-    share = int(min(1.0, 2 * negatives / max(1, docs.count())) * 1_000_000)
-    draw = F.xxhash64(F.col(id_col), F.lit("licence sample"))
     known_rows = known.select("family", "pairs", "words").collect()  # one row per template
     rivals = rivals_of([(r.family, list(r.pairs)) for r in known_rows])
     entries = [{"family": r.family, "pairs": list(r.pairs), "rivals": [{"own": a, "other": b} for a, b in x]} for r, x in zip(known_rows, rivals)]
@@ -229,32 +259,34 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                .groupBy("family").agg(F.collect_list(F.struct("pairs", "rivals")).alias("templates")))
     grouped = written(grouped, "licence-templates")
     pairs, reach = [list(map(str, r.pairs)) for r in known_rows], max((len(r.words) for r in known_rows), default=0)
-    every = F.lit(pairs)
-    drawn = written(docs.where(F.pmod(draw, F.lit(1_000_000)) < share).select(draw.alias("d"), lines_of(F.col(text_col)).alias("lines"))
-                    .where(F.size("lines") > 0).withColumn("at", (F.pmod(F.col("d"), F.size("lines")) + 1).cast("int"))
-                    .select("d", words_of(F.element_at("lines", F.col("at"))).alias("words"), *around_line(reach)), "licence-drawn")
-    sample = drawn.where(let(pairs_of(F.col("words")), lambda p: held_share(p, every)) < RESEMBLES).where(~adds_to_notice(every)) \
-        .select("d", "words")
-    sample = written(sample.withColumn("i", F.row_number().over(Window.orderBy("d", "words")) - 1), "licence-sample")
-    fit, calibrate = sample.where("i % 2 = 0"), sample.where("i % 2 = 1")
+    vocabulary = sorted({g for r in known_rows for g in (*map(str, r.words), *map(str, r.pairs))})
+    lines = written(unknown_lines(docs, id_col, text_col, pairs, reach, vocabulary), "licence-lines")
+    n = lines.count()
 
+    # Every second copy sits inside a corpus line: those of the least hashes, one per such copy. The hash bound
+    # only keeps the sort small.
     thin = F.filter("words", lambda w, i: w.isin(sorted(TELLING)) | (F.pmod(F.xxhash64(w, i, F.col("copy")), F.lit(100)) < KEEP_WORDS))
     copies = known.select("family", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))).alias("copy"), "words") \
         .withColumn("words", F.when(F.col("copy") == 0, F.col("words")).otherwise(thin))
-    n = max(1, sample.count())
-    around = sample.select(F.col("i").alias("at"), F.col("words").alias("context"))
-    inside = F.when(F.col("copy") % 2 == 1, F.coalesce(F.col("context"), F.array().cast("array<string>")))
-    positives = (copies.join(around, F.pmod(F.xxhash64("family", "copy"), F.lit(n)) == F.col("at"), "left")
-                 .select(label.cast("double").alias("label"), F.concat("words", F.coalesce(inside, F.array().cast("array<string>"))).alias("words")))
-    rows = with_grams(positives.union(fit.select(F.lit(0.0).alias("label"), "words")))
-
-    vocabulary = sorted({w for r in with_grams(known).select("grams").collect() for w in r.grams})
+    wanted = len(known_rows) * COPIES // 2
+    bound = F.lit(min(2**63 - 1, -2**63 + int(2**64 * min(1.0, 4 * wanted / max(1, n)))))
+    around = written(lines.where(F.col("draw") <= bound).orderBy("draw", "grams").limit(wanted)
+                     .select((F.row_number().over(Window.orderBy("draw", "grams")) - 1).alias("at"), F.col("grams").alias("context")), "licence-around")
+    inside = F.when(F.col("copy") % 2 == 1, F.col("context"))
+    positives = (copies.join(around, F.pmod(F.xxhash64("family", "copy"), F.lit(max(1, around.count()))) == F.col("at"), "left")
+                 .select(label.cast("double").alias("label"), F.array_distinct(F.concat(
+                     grams_of(F.col("words"), vocabulary), F.coalesce(inside, F.array().cast("array<string>")))).alias("grams")))
+
     vectors = CountVectorizerModel.from_vocabulary(vocabulary, "grams", "features").setBinary(True)
-    data = written(vectors.transform(rows).select("label", "features").repartition(4, "label", F.hash("features")), "licence-train")
+    data = written(vectors.transform(positives).select("label", "features").repartition(4, "label", F.hash("features")), "licence-train")
     regression = LogisticRegression(maxIter=40, regParam=1e-4, family="multinomial").fit(data)
-    model = LicenseModel(vectors, regression, names, 0.5, grouped, pairs, reach)
-    high = model.scored(with_grams(calibrate.select("words"))).agg(
-        F.percentile_approx("probability", FALSE_ALARMS, 10_000)).first()[0]
+    rows = data.select(F.lit(1.0).alias("label"), F.lit(1.0).alias("weight"), "features").unionByName(
+        vectors.transform(lines).select(F.lit(0.0).alias("label"), F.lit(min(1.0, UNKNOWN_WEIGHT / max(1, n))).alias("weight"), "features"))
+    notice = LogisticRegression(maxIter=40, regParam=1e-4, family="binomial", weightCol="weight").fit(rows)
+    for m, column in ((regression, "p_family"), (notice, "p_notice")):
+        m.setProbabilityCol(column).setRawPredictionCol("").setPredictionCol("")
+    model = LicenseModel(vectors, notice, regression, names, 0.5, grouped, pairs, reach)
+    high = model.scored(lines).agg(F.percentile_approx("probability", FALSE_ALARMS, 100_000)).first()[0]
     model.cut = max(0.5, high or 0.0)
     return model
 
