@@ -239,7 +239,7 @@ def unknown_lines(docs: DataFrame, id_col: str, text_col: str, known: list[list[
         return let(close, lambda close: F.transform(lines, lambda words, i: F.struct(
             words.alias("words"), taken(lines, words, i, close).alias("taken"))))
 
-    lines = F.transform(lines_of(F.col(text_col)), lambda t: masked(words_of(t), vocabulary))
+    lines = F.transform(lines_of(F.col(text_col)), lambda t: masked(words_of(t), [*vocabulary, *(p for t in known for p in t)]))
     rows = docs.select(F.col(id_col).alias("d"), F.posexplode(let(lines, judged)).alias("i", "line"))
     return rows.where(~F.col("line.taken")).select(F.xxhash64("d", "i").alias("draw"), grams_of(F.col("line.words"), vocabulary).alias("grams"))
 
