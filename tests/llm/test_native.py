@@ -370,3 +370,18 @@ def test_wrapped_licences(spark):
     assert (got[12].families, got[12].n_licences) == (["BSD", "MIT"], 3)
     assert (got[None].families, got[None].n_licences) == (["GPL-2.0", "MIT"], 2)
     assert not any(got[i].n_licences for i, _ in corpus)
+
+
+def test_licences_read_the_texts_once(spark):
+    """Training and scan share one table of lines; the texts are not read again."""
+    rows = [(i, f"the word {i} of a story\nsecond line {i} in it") for i in range(60)]
+    rows += [(100, WRAPPED["MIT"]), (101, "Released under the MIT License."), (102, None), (102, "a\nb")]
+    docs = rows_of(spark, rows)
+    read = license_scan.read_lines(docs)
+    assert read.where("i is not null").count() == 120 + len(WRAPPED["MIT"].split("\n")) + 1 + 2
+    assert {r.doc_id for r in read.where("whole is not null").collect()} == {100}
+    gone = docs.withColumn("text", F.raise_error(F.lit("read again")).cast("string"))
+    model = license_scan.train(gone, read=read)
+    got = {r.doc_id: r for r in license_scan.scan(gone, model, read=read).collect()}
+    assert (got[100].families, got[101].families, got[102].n_paragraphs) == (["MIT"], ["MIT"], 2)
+    assert got == {r.doc_id: r for r in license_scan.scan(docs, model).collect()}

@@ -99,7 +99,9 @@ RESEMBLES = 0.3
 
 
 def words_of(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    # Only the first and the last part can be empty.
+    return let(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: let(F.when(w[0] == "", 2).otherwise(1), lambda first: F.slice(
+        w, first, F.greatest(F.size(w) - first + F.when(F.element_at(w, -1) == "", 0).otherwise(1), F.lit(0)))))
 
 
 def pairs_of(words: Column) -> Column:
@@ -124,11 +126,6 @@ def template_rows(spark: SparkSession, templates: list[tuple[str, str]]) -> Data
             .withColumn("pairs", F.array_distinct(pairs_of(F.col("words")))))
 
 
-def held_share(pairs: Column, of: Column) -> Column:
-    """The largest share of a template's 2-grams (one array per template) that ``pairs`` has."""
-    return F.array_max(F.transform(of, lambda t: F.size(F.array_intersect(t, pairs)) / F.size(t)))
-
-
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with ``value`` computed once."""
     return F.element_at(F.transform(F.array(value), use), 1)
@@ -140,21 +137,18 @@ def hits_of(pairs: Column, known: list[list[str]]) -> Column:
     return F.array_distinct(F.filter(pairs, lambda p: p.isin(every)))
 
 
-def held_of_any(words: Column, known: list[list[str]]) -> Column:
-    """The largest share of a template's 2-grams that ``words`` has; null where it has none."""
+def held_by(words: Column, known: list[list[str]]) -> Column:
+    """The templates (their 2-grams) of which ``words`` hold ``CONFIRM``. Those of too many 2-grams are passed over by a count."""
     some = sorted({p for t in known for p in t})
-    return let(masked(words, some), lambda w: let(hits_of(pairs_of(w), known), lambda c: F.when(F.size(c) > 0, held_share(c, F.lit(known)))))
+    enough = lambda n, t: n >= F.lit(CONFIRM) * F.size(t)
+    return let(masked(words, some), lambda w: let(hits_of(pairs_of(w), known), lambda c: F.filter(
+        F.lit(known), lambda t: (F.size(c) > 0) & enough(F.size(c), t) & enough(F.size(F.array_intersect(t, c)), t))))
 
 
 def lines_of(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), r"[\r\n]+"), lambda p: F.trim(p) != "")
 
 
-def paragraphs_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, paragraph``, with a null paragraph for a text that has none."""
-    return docs.select(F.col(id_col).alias("doc_id"), F.explode_outer(lines_of(F.col(text_col))).alias("paragraph"))
-
-
 def rivals_of(templates: list[tuple[str, list[str]]]) -> list[list[tuple[list[str], list[str]]]]:
     """For every template ``(family, 2-grams)``, per related template of another family the
     telling 2-grams that only it has and those that only the other has. Templates are related that share
@@ -193,13 +187,16 @@ class LicenseModel:
                 .drop("p_notice", "p_family", "features", "p", "top"))
 
     def compared(self, paragraphs: DataFrame, *keep: str) -> DataFrame:
-        """``keep``, ``family`` (null below the cut), ``probability``, ``similarity`` and ``confirmed``."""
-        scored = self.scored(paragraphs.withColumn("grams", grams_of(F.col("words"), self.vectors.vocabulary))).select(
-            *keep, "words", "probability", F.when(F.col("probability") > self.cut, F.col("family")).alias("family"))
+        """``keep``, ``family`` (null below the cut), ``probability``, ``similarity`` and ``confirmed`` of rows with
+        ``grams`` or ``words``. All 2-grams of the templates are in the vocabulary."""
+        if "grams" not in paragraphs.columns:
+            paragraphs = paragraphs.withColumn("grams", grams_of(F.col("words"), self.vectors.vocabulary))
+        scored = self.scored(paragraphs.select(*keep, "grams")).select(
+            *keep, "grams", "probability", F.when(F.col("probability") > self.cut, F.col("family")).alias("family"))
         return (scored.join(F.broadcast(self.templates.withColumnRenamed("family", "f")), F.col("family") == F.col("f"), "left")
-                .withColumn("judged", F.when(F.col("family").isNotNull(), let(pairs_of(F.col("words")), lambda p: F.transform(
-                    F.col("templates"), lambda t: let(F.size(F.array_intersect(p, t["pairs"])) / F.size(t["pairs"]), lambda share: F.struct(
-                        ((share >= F.when(F.size(t["pairs"]) > SHORT, CONFIRM).otherwise(CONFIRM_SHORT)) & F.forall(t["rivals"], lambda r: part_of(p, r["own"]) > part_of(p, r["other"]))).alias("ok"), share.alias("share")))))))
+                .withColumn("judged", F.when(F.col("family").isNotNull(), F.transform(
+                    F.col("templates"), lambda t: let(F.size(F.array_intersect("grams", t["pairs"])) / F.size(t["pairs"]), lambda share: F.struct(
+                        ((share >= F.when(F.size(t["pairs"]) > SHORT, CONFIRM).otherwise(CONFIRM_SHORT)) & F.forall(t["rivals"], lambda r: part_of(F.col("grams"), r["own"]) > part_of(F.col("grams"), r["other"]))).alias("ok"), share.alias("share"))))))
                 .withColumn("best", F.array_max("judged"))
                 .withColumns({"similarity": F.col("best.share"), "confirmed": F.coalesce("best.ok", F.lit(False))})
                 .select(*keep, "family", "probability", "similarity", "confirmed"))
@@ -225,27 +222,69 @@ def adds_to_notice(lines: Column, words: Column, i: Column, known: list[list[str
         lambda x: (F.size(F.array_except(x["whole"], x["rest"])) > 0) & resembled(x["whole"], close, x["rest"])))
 
 
-def unknown_lines(docs: DataFrame, id_col: str, text_col: str, known: list[list[str]], reach: int, vocabulary: list[str]) -> DataFrame:
-    """``draw, grams`` of every line that neither resembles a template nor adds to a notice around it; ``draw``
-    is a hash of id and place. A line can only resemble templates that its text resembles as a whole (``close``)."""
+def line_rows(docs: DataFrame, id_col: str, text_col: str, known: list[list[str]], reach: int, vocabulary: list[str]) -> DataFrame:
+    """``doc_id, i, grams, taken, whole`` of every line, in one pass over the texts; a text without a line has one row with
+    a null ``i``.
+
+    ``taken``: the line resembles a template or adds to a notice around it. A line can only resemble templates that its
+    text resembles as a whole (``close``). ``whole``, on the first line of a text that holds ``CONFIRM`` of
+    a template and has two lines or more: the words of all its lines, null for those of no template."""
+    wanted = sorted({*vocabulary, *(p for t in known for p in t)})
+
+    def read(text: Column) -> Column:
+        return let(masked(words_of(text), wanted), lambda m: F.struct(m.alias("words"), F.filter(pairs_of(m), lambda p: p.isin(wanted)).alias("pairs")))
+
+    def borders(lines: Column) -> Column:
+        """The 2-grams of the last word of a line and the first of the next that has words."""
+        n = F.greatest(F.size(lines) - 1, F.lit(0))
+        return F.zip_with(F.slice(lines, F.lit(1), n), F.slice(lines, F.lit(2), n), lambda a, b: F.concat(
+            F.element_at(a["words"], -1), F.lit(" "), F.element_at(b["words"], 1)))
+
+    def close_to(lines: Column) -> Column:
+        every = F.concat(F.flatten(F.transform(lines, lambda x: x["pairs"])), let(F.filter(lines, lambda x: F.size(x["words"]) > 0), borders))
+        return let(hits_of(every, known), lambda c: F.transform(
+            F.filter(F.lit(known), lambda t: (F.size(c) > 0) & (F.size(c) >= F.lit(RESEMBLES) * F.size(t)) & (F.size(F.array_intersect(t, c)) >= F.lit(RESEMBLES) * F.size(t))),
+            lambda t: F.struct(t.alias("pairs"), (F.size(F.array_intersect(t, c)) >= F.lit(CONFIRM) * F.size(t)).alias("held"))))
 
-    def taken(lines: Column, words: Column, i: Column, close: Column) -> Column:
-        own = let(hits_of(pairs_of(words), known), lambda c: resembled(c, close))
-        return (F.size(close) > 0) & (own | adds_to_notice(lines, words, i, known, reach, close))
+    def taken(lines: Column, x: Column, i: Column, close: Column) -> Column:
+        own = let(hits_of(x["pairs"], known), lambda c: resembled(c, close))
+        return (F.size(close) > 0) & (own | adds_to_notice(F.transform(lines, lambda y: y["words"]), x["words"], i, known, reach, close))
 
     def judged(lines: Column) -> Column:
-        close = let(hits_of(pairs_of(F.flatten(lines)), known), lambda c: F.filter(
-            F.lit(known), lambda t: (F.size(c) > 0) & (F.size(F.array_intersect(t, c)) >= F.lit(RESEMBLES) * F.size(t))))
-        return let(close, lambda close: F.transform(lines, lambda words, i: F.struct(
-            words.alias("words"), taken(lines, words, i, close).alias("taken"))))
+        return let(close_to(lines), lambda found: let(F.struct(F.transform(found, lambda t: t["pairs"]).alias("close"), F.exists(found, lambda t: t["held"]).alias("held")), lambda f: F.transform(
+            lines, lambda x, i: F.struct(
+                F.array_distinct(F.filter(F.concat(x["words"], x["pairs"]), lambda g: g.isin(vocabulary))).alias("grams"),
+                taken(lines, x, i, f["close"]).alias("taken"),
+                F.when((i == 0) & (F.size(lines) > 1) & f["held"], F.transform(lines, lambda y: y["words"])).alias("whole")))))
+
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.posexplode_outer(let(F.transform(lines_of(F.col(text_col)), read), judged)).alias("i", "line"))
+    return rows.select("doc_id", "i", F.coalesce("line.grams", F.array().cast("array<string>")).alias("grams"), "line.taken", "line.whole")
+
+
+def examples_of(lines: DataFrame) -> DataFrame:
+    """``draw, grams`` of the lines that are examples of the unknown class; ``draw`` is a hash of id and place."""
+    return lines.where(~F.col("taken")).select(F.xxhash64("doc_id", "i").alias("draw"), "grams")
+
+
+def unknown_lines(docs: DataFrame, id_col: str, text_col: str, known: list[list[str]], reach: int, vocabulary: list[str]) -> DataFrame:
+    """``draw, grams`` of every line that neither resembles a template nor adds to a notice around it."""
+    return examples_of(line_rows(docs, id_col, text_col, known, reach, vocabulary))
+
+
+def wording(rows: list) -> tuple[list[list[str]], int, list[str]]:
+    """The 2-grams of every template, the words of the longest one, and all their 1- and 2-grams."""
+    return ([list(map(str, r.pairs)) for r in rows], max((len(r.words) for r in rows), default=0),
+            sorted({g for r in rows for g in (*map(str, r.words), *map(str, r.pairs))}))
+
 
-    lines = F.transform(lines_of(F.col(text_col)), lambda t: masked(words_of(t), [*vocabulary, *(p for t in known for p in t)]))
-    rows = docs.select(F.col(id_col).alias("d"), F.posexplode(let(lines, judged)).alias("i", "line"))
-    return rows.where(~F.col("line.taken")).select(F.xxhash64("d", "i").alias("draw"), grams_of(F.col("line.words"), vocabulary).alias("grams"))
+def read_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
+    """``line_rows`` of ``docs`` as a table that both ``train`` and ``scan`` take, so that texts are read once for both."""
+    return written(line_rows(docs, id_col, text_col, *wording(template_rows(docs.sparkSession, templates).collect())), "licence-lines")
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          templates: list[tuple[str, str]] = TEMPLATES) -> LicenseModel:
+          templates: list[tuple[str, str]] = TEMPLATES, read: DataFrame | None = None) -> LicenseModel:
+    """The model; ``read`` is ``read_lines`` of the same ``docs`` and ``templates`` where the caller has it."""
     spark = docs.sparkSession
     known = template_rows(spark, templates)
     names = sorted({f for f, _ in templates})
@@ -258,9 +297,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     grouped = (spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(entries)), kind)))
                .groupBy("family").agg(F.collect_list(F.struct("pairs", "rivals")).alias("templates")))
     grouped = written(grouped, "licence-templates")
-    pairs, reach = [list(map(str, r.pairs)) for r in known_rows], max((len(r.words) for r in known_rows), default=0)
-    vocabulary = sorted({g for r in known_rows for g in (*map(str, r.words), *map(str, r.pairs))})
-    lines = written(unknown_lines(docs, id_col, text_col, pairs, reach, vocabulary), "licence-lines")
+    pairs, reach, vocabulary = wording(known_rows)
+    lines = examples_of(read_lines(docs, id_col, text_col, templates) if read is None else read)
     n = lines.count()
 
     # Every second copy sits inside a corpus line: those of the least hashes, one per such copy. The hash bound
@@ -303,28 +341,26 @@ def joined_lines(lines: DataFrame, known: list[list[str]], reach: int) -> DataFr
     tail = F.slice("words", F.greatest(F.size("words") - reach, F.lit(0)) + 1, reach)
     starts = (lines.withColumn("upto", upto).withColumn("later", later).withColumn("ahead", ahead)
               .withColumn("run", F.concat(F.array(tail), near))
-              .select("row", "doc_id", "i", "run").where((F.size("run") > 1) & (held_of_any(F.flatten("run"), known) >= CONFIRM)))
+              .select("row", "doc_id", "i", "run").where(F.size("run") > 1)
+              .select("*", F.explode(held_by(F.flatten("run"), known)).alias("t")))
 
     def held(lo, n) -> Column:
         return F.size(F.array_intersect(pairs_of(F.flatten(F.slice("run", lo, n))), F.col("t")))
 
-    fits = (starts.withColumn("t", F.explode(F.lit(known)))
-            .withColumn("held", F.transform(F.sequence(F.lit(1), F.size("run")), lambda k: held(F.lit(1), k)))
-            .withColumn("most", F.array_max("held")).where(F.col("most") >= F.lit(CONFIRM) * F.size("t"))
+    fits = (starts.withColumn("held", F.transform(F.sequence(F.lit(1), F.size("run")), lambda k: held(F.lit(1), k)))
+            .withColumn("most", F.array_max("held"))
             .withColumn("n", F.array_position("held", F.col("most")).cast("int"))
             .where((F.col("n") > 1) & (held(F.lit(2), F.col("n") - 1) < F.col("most"))))
     return fits.select("row", "doc_id", "i", (F.col("i") + F.col("n") - 1).alias("j"),
                        F.flatten(F.slice("run", F.lit(1), F.col("n"))).alias("words")).dropDuplicates(["row", "i", "j"])
 
 
-def wrapped_notices(docs: DataFrame, model: LicenseModel, id_col: str, text_col: str) -> DataFrame:
+def wrapped_notices(read: DataFrame, model: LicenseModel) -> DataFrame:
     """``doc_id, family, probability, similarity, confirmed`` of the confirmed joins of lines."""
-    text = F.col(text_col)
-    possible = docs.where(text.rlike(r"[\r\n]") & (held_of_any(words_of(text), model.known) >= CONFIRM))
-    rows = numbered(possible.select(F.col(id_col).alias("doc_id"), text.alias("text")), "row")
-    lines = rows.select("row", "doc_id", F.posexplode(F.filter(F.transform(lines_of(F.col("text")), words_of),
-                                                              lambda w: F.size(w) > 0)).alias("i", "words"))
-    alone = lines.select("row", "doc_id", "i", F.col("i").alias("j"), "words")
+    parts = int(read.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # masked lines are small for the work they make
+    rows = numbered(read.where(F.col("whole").isNotNull()).select("doc_id", "whole"), "row").repartition(parts, "row")
+    lines = rows.select("row", "doc_id", F.posexplode(F.filter("whole", lambda w: F.size(w) > 0)).alias("i", "words"))
+    alone = lines.select("row", "doc_id", "i", F.col("i").alias("j"), "words").where(F.size(held_by(F.col("words"), model.known)) > 0)
     joins = joined_lines(lines, model.known, model.reach)
     found = model.compared(joins.unionByName(alone), "row", "doc_id", "i", "j").where("confirmed")
     found = found.withColumn("rank", F.struct("similarity", (F.col("i") - F.col("j")).alias("short"), "probability", -F.col("i")))
@@ -341,12 +377,12 @@ def wrapped_notices(docs: DataFrame, model: LicenseModel, id_col: str, text_col:
             .select("doc_id", "family", "probability", "similarity", "confirmed"))
 
 
-def scan(docs: DataFrame, model: LicenseModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document id; see the module text."""
-    paragraphs = paragraphs_of(docs, id_col, text_col)
-    lines = model.compared(paragraphs.withColumn("words", words_of(F.coalesce("paragraph", F.lit(""))))
-                           .withColumn("real", F.col("paragraph").isNotNull()), "doc_id", "real")
-    compared = lines.unionByName(wrapped_notices(docs, model, id_col, text_col).withColumn("real", F.lit(False)))
+def scan(docs: DataFrame, model: LicenseModel, id_col: str = "doc_id", text_col: str = "text", read: DataFrame | None = None) -> DataFrame:
+    """One row per document id; see the module text. ``read`` is ``read_lines`` of the same ``docs`` where the caller has it."""
+    if read is None:
+        read = written(line_rows(docs, id_col, text_col, model.known, model.reach, model.vectors.vocabulary), "licence-lines")
+    lines = model.compared(read.withColumn("real", F.col("i").isNotNull()), "doc_id", "real")
+    compared = lines.unionByName(wrapped_notices(read, model).withColumn("real", F.lit(False)))
     surest = F.max(F.when(F.col("confirmed"), F.struct("probability", "similarity", "family")))
     return (compared.groupBy("doc_id").agg(
         F.count(F.when(F.col("real"), 1)).alias("n_paragraphs"), F.count(F.when(F.col("confirmed"), 1)).alias("n_licences"),
@@ -358,7 +394,8 @@ def scan(docs: DataFrame, model: LicenseModel, id_col: str = "doc_id", text_col:
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return scan(docs, train(docs))
+    read = read_lines(docs)
+    return scan(docs, train(docs, read=read), read=read)
 
 
 QUERIES = {"op1_license_scan": op1_license_scan}
