@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -157,6 +159,59 @@ def test_blocks_are_bounded_and_keep_edge_columns(spark):
     adjacency.release()
 
 
+def plain_join_ranks(pairs, rounds):
+    """Ranks by dictionaries, as ``pagerank_join`` defines them."""
+    pairs, degree = set(pairs), {}
+    for s, _ in pairs:
+        degree[s] = degree.get(s, 0) + 1
+    rank = dict.fromkeys(degree, 1.0)
+    for _ in range(rounds):
+        got = {}
+        for s, d in pairs:
+            if s in rank:
+                got[d] = got.get(d, 0.0) + rank[s] / degree[s]
+        rank = {d: 0.15 + 0.85 * x for d, x in got.items()}
+    return rank
+
+
+@pytest.mark.parametrize("of", [int, str])
+def test_join_ranks_equal_a_plain_loop(spark, monkeypatch, of):
+    """Hubs that send and get much, parallel edges, vertices that lose their rank, a checkpoint."""
+    monkeypatch.setattr(G, "SHARD_EDGES", 50)
+    rng = random.Random(3)
+    pairs = [(0, i) for i in range(1, 301)] + [(i, 0) for i in range(1, 200)] + [(7, i) for i in range(100, 400)]
+    pairs += [(rng.randrange(500), 2 * rng.randrange(250)) for _ in range(1500)] + [(401, 402)] * 900
+    pairs = [(of(a), of(b)) for a, b in pairs]
+    e = edges(spark, pairs) if of is int else spark.createDataFrame(pairs, "src string, dst string")
+    for rounds in (1, 3, 7):
+        got, want = pr(G.pagerank_join(e.repartition(5), rounds)), plain_join_ranks(pairs, rounds)
+        assert got.keys() == want.keys()
+        assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_a_missing_source_sends_nothing_and_a_missing_end_is_an_end(spark):
+    e = spark.createDataFrame([(1, 2), (1, None), (2, 1), (None, 2), (None, 7)], "src bigint, dst int")
+    ranks = G.pagerank_join(e, 2)
+    assert ranks.dtypes == [("id", "int"), ("rank", "double")]
+    one = 0.15 + 0.85
+    assert pr(ranks) == pytest.approx({1: 0.15 + 0.85 * (0.15 + 0.85 / 2), 2: 0.15 + 0.85 * one / 2, None: 0.15 + 0.85 * one / 2})
+
+
+def test_rank_rounds_send_numbers_by_shard(spark, monkeypatch):
+    """A round shuffles a row per pair of shards, not one per edge, and no shard has a hub's edges alone."""
+    monkeypatch.setattr(G, "SHARD_EDGES", 500)
+    e = spark.range(8000).select((F.col("id") % 90).alias("src"), (F.col("id") % 1000).alias("dst")) \
+        .union(spark.range(2000).select(F.lit(0).cast("long"), F.col("id") + 5000))
+    shards = G.RankShards(e, 0.15)
+    sent = shards.next(shards.first())
+    assert shards.rows.count() == 8 and sent.count() <= 64
+    assert sent.agg(F.sum(F.length("sums"))).first()[0] / 8 <= e.distinct().count()
+    held = [r[0] // 4 for r in shards.rows.select(F.length("edges")).collect()]
+    assert sum(held) == e.distinct().count() and max(held) < 2000
+    assert "FlatMapCoGroupsInArrow" in sent._jdf.queryExecution().executedPlan().toString()
+    shards.release()
+
+
 def test_message_passing_reads_edge_columns(spark):
     e = spark.createDataFrame([(1, 2, 5.0), (1, 3, 1.0), (3, 2, 1.5)], "src long, dst long, w double")
     verts = spark.createDataFrame([(1, 0.0), (2, None), (3, None)], "id long, value double")

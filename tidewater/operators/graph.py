@@ -225,6 +225,194 @@ class Adjacency:
         self.blocks.unpersist()
 
 
+# ---------------------------------------------------------------- sums at fixed places
+
+# Edges a shard has on average before the graph gets a further one, while these are fewer than the shuffle partitions.
+SHARD_EDGES = 50_000
+PLAN = {"degrees": np.int64, "edges": np.int32, "runs": np.int32, "slots": np.int32, "targets": np.int32, "bounds": np.int32}
+SENT = "to int, sender int, sums binary"
+
+
+def _bytes(values: np.ndarray, kind: type) -> pa.Array:
+    """Numbers as one binary value, which is carried whole and not number by number."""
+    return pa.array([np.ascontiguousarray(values, kind).tobytes()], pa.binary())
+
+
+def _numbers(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    """The numbers of all rows of a binary column, one row after the other."""
+    return np.frombuffer(b"".join(column.drop_null().to_pylist()), kind)
+
+
+def _lists(values: pa.Array, starts: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.append(starts, len(values)), pa.int32()), values)
+
+
+def _runs(values: np.ndarray) -> np.ndarray:
+    """Where each run of equal values begins."""
+    return np.flatnonzero(np.append(len(values) > 0, values[1:] != values[:-1]))
+
+
+def _sending(shards: int):
+    """The edges of a shard -> the ids of the sums it sends, a row per shard they go to, and its plan of sending.
+
+    Parallel edges become one. Edges are ordered by destination, so each sum is of one run of them (``runs``).
+    ``slots`` are the runs in the order in which they are sent, ``targets`` and ``bounds`` the shards and where
+    the slots of each begin."""
+
+    def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        src, dst = (pc.dictionary_encode(rows[c].combine_chunks(), null_encoding="encode") for c in ("src", "dst"))
+        s, d, to = src.indices.to_numpy(), dst.indices.to_numpy(), rows["to"].to_numpy()
+        order = np.lexsort((s, d, to))
+        order = order[np.append(True, (s[order][1:] != s[order][:-1]) | (d[order][1:] != d[order][:-1]))]
+        degrees = np.bincount(s[order], minlength=len(src.dictionary))
+        runs = _runs(d[order])
+        first = order[runs]
+        copies = np.ones(len(first), np.int64)
+        if "copies" in rows.column_names:  # there are hubs
+            copies = rows["copies"].to_numpy()[first]
+            salted = np.flatnonzero(rows["degree"].is_valid().to_numpy())
+            degrees[s[salted]] = rows["degree"].take(pa.array(salted)).to_numpy()
+        slots = np.repeat(np.arange(len(first)), copies)
+        copy = np.arange(len(slots)) - np.repeat(np.cumsum(copies) - copies, copies)
+        target = (to[first[slots]] + copy) % shards
+        by = np.argsort(target, kind="stable")
+        slots, copy, target = slots[by], copy[by], target[by].astype(np.int32)
+        bounds = _runs(target)
+        me = np.full(len(bounds), key[0].as_py(), np.int32)
+        sums = pa.table({"shard": target[bounds], "sender": me, "copies": _lists(pa.array(copy > 0), bounds),
+                         "ids": _lists(dst.dictionary.take(pa.array(d[first[slots]])), bounds)})
+        numbers = dict(zip(PLAN, (degrees, s[order], runs, slots, target[bounds], bounds)))
+        plan = pa.table({"shard": me[:1], "sources": _lists(src.dictionary, np.array([0])),
+                         **{c: _bytes(numbers[c], kind) for c, kind in PLAN.items()}})
+        return pa.concat_tables([sums, plan], promote_options="default")
+
+    return run
+
+
+def _laid_out(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+    """The ids of all sums sent to a shard, and its plan of sending -> its row: vertices (``ids``; ``own``: not as a
+    copy), the vertex of every sum (``places``, by sender) and of every source (``back``; -1 gets no sum)."""
+    sums = rows.filter(pc.is_valid(rows["sender"])).sort_by("sender")
+    ids = pc.dictionary_encode(pc.list_flatten(sums["ids"]).combine_chunks(), null_encoding="encode")
+    places = ids.indices.to_numpy()
+    own = np.ones(len(ids.dictionary), bool)
+    own[places] = ~pc.list_flatten(sums["copies"]).combine_chunks().to_numpy(zero_copy_only=False)
+    back = pc.index_in(pc.list_flatten(rows["sources"]).combine_chunks(), value_set=ids.dictionary).fill_null(-1)
+    return pa.table({
+        "shard": pa.array([key[0].as_py()], pa.int32()), "ids": _lists(ids.dictionary, np.array([0])), "own": _bytes(own, bool),
+        "places": _bytes(places, np.int32), "back": _bytes(back.to_numpy(), np.int32),
+        **{c: _bytes(_numbers(rows[c], kind), kind) for c, kind in PLAN.items()}})
+
+
+def _sums(shard: pa.Table, ranks: np.ndarray | None) -> pa.Table:
+    """The sums of ``rank / degree`` that a shard sends. A vertex without a rank (NaN) adds nothing, a sum of
+    nothing is NaN; without ``ranks`` every source has 1.0."""
+    plan = {c: _numbers(shard[c], kind) for c, kind in PLAN.items()}
+    back = _numbers(shard["back"], np.int32)
+    source = np.ones(len(back)) if ranks is None else np.append(ranks, np.nan)[back]
+    sent = []
+    if len(plan["edges"]):
+        part = (source / plan["degrees"])[plan["edges"]]
+        none = np.isnan(part)
+        sums = np.add.reduceat(np.where(none, 0.0, part), plan["runs"])
+        sums[np.logical_and.reduceat(none, plan["runs"])] = np.nan
+        sent = [p.tobytes() for p in np.split(sums[plan["slots"]], plan["bounds"][1:])]
+    me = np.repeat(shard["shard"].to_numpy(), len(sent))
+    return pa.table({"to": plan["targets"], "sender": me, "sums": pa.array(sent, pa.binary())})
+
+
+def _ranks(shard: pa.Table, sent: pa.Table, reset: float) -> np.ndarray:
+    """The ranks of a shard's vertices from the sums sent to it; NaN where all of these are of nothing."""
+    sums, places = _numbers(sent.sort_by("sender")["sums"], np.float64), _numbers(shard["places"], np.int32)
+    if len(sums) != len(places):
+        raise RuntimeError(f"{len(sums)} sums for {len(places)} places")
+    got = np.flatnonzero(~np.isnan(sums))
+    ranks = np.full(len(_numbers(shard["own"], bool)), np.nan)
+    ranks[places[got]] = 0.0
+    return reset + (1.0 - reset) * (ranks + np.bincount(places[got], sums[got], len(ranks)))
+
+
+class RankShards:
+    """The distinct edges in shards, laid out once so that rounds of ranks send numbers without ids.
+
+    A shard has the out-edges of its vertices (hash of the id). In a round it adds up what these bring to each
+    destination and sends every shard an array of such sums; whose they are is fixed by the layout, a cached row
+    per shard. A round is one shuffle of 8 bytes for each destination of each shard.
+    Shards leave out parallel edges. Sources with more than ``cap = |E| / (2 * shards)`` edges, parallel ones counted,
+    lose these by an aggregate before and are salted: their ``d`` edges are dealt over ``ceil(d / cap)`` shards, from
+    their own on, by a hash of the destination, and each of these shards gets the sums for them.
+    """
+
+    def __init__(self, edges: DataFrame, reset: float):
+        spark = edges.sparkSession
+        checkpoint_root(spark)
+        self.reset, self.id = reset, edges.schema["dst"].dataType
+        kind = vertices_from_edges(edges).schema["id"].dataType
+        e = edges.where("src IS NOT NULL").select(F.col("src").cast(kind).alias("src"), F.col("dst").cast(kind).alias("dst"))
+        sizes = out_degrees(e).select(F.col("id").alias("src"), F.col("outDeg").alias("degree"))  # with parallel edges
+        size = sizes.agg(F.sum("degree").alias("total"), F.max("degree").alias("top")).first()
+        total, parts = size["total"] or 0, int(spark.conf.get("spark.sql.shuffle.partitions"))
+        shards = max(1, min(parts, -(-total // SHARD_EDGES)), -(-total // TASK_EDGES))
+        cap = max(1, -(-total // (2 * shards)))
+        place = lambda c, salt=F.lit(0): F.pmod(F.pmod(F.xxhash64(c), F.lit(shards)) + salt, F.lit(shards)).cast("int")
+        salt, extra = F.lit(0), []
+        if (size["top"] or 0) > cap:
+            large = F.broadcast(_stored(sizes.where(F.col("degree") > cap).select("src"), "hubs"))
+            theirs = _stored(e.join(large, "src", "left_semi").distinct(), "hub-edges")
+            hubs = theirs.groupBy("src").agg(F.count(F.lit(1)).alias("degree")) \
+                         .withColumn("k", F.least(F.ceil(F.col("degree") / cap), F.lit(shards)).cast("int"))
+            e = e.join(large, "src", "left_anti").unionByName(theirs).join(F.broadcast(hubs), "src", "left") \
+                 .join(F.broadcast(hubs.select(F.col("src").alias("dst"), F.col("k").alias("copies"))), "dst", "left")
+            salt = F.when(F.col("k").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("dst"), F.col("k")))
+            extra = [F.coalesce("copies", F.lit(1)).alias("copies"), "degree"]
+        placed = e.select(place("src", salt).alias("shard"), "src", "dst", place("dst").alias("to"), *extra)
+        plan, ids = "".join(f", {c} binary" for c in PLAN), f"array<{kind.simpleString()}>"
+        sent = f"shard int, ids {ids}, sender int, copies array<boolean>, sources {ids}{plan}"
+        laid = f"shard int, ids {ids}, own binary, places binary, back binary{plan}"
+        sending = _stored(placed.groupBy("shard").applyInArrow(_sending(shards), sent), "rank-sends")
+        rows = sending.groupBy("shard").applyInArrow(_laid_out, laid)
+        self.rows = rows.repartition(parts, "shard").sortWithinPartitions("shard").persist(StorageLevel.MEMORY_AND_DISK)
+        self.rows.count()  # only a filled cache tells Spark its partitioning and order
+
+    def _each(self, rows: DataFrame, key: str, fn: Callable[[pa.Table, pa.Table], pa.Table], schema, ids: bool = False) -> DataFrame:
+        shards = self.rows if ids else self.rows.drop("ids")
+        return rows.groupBy(key).cogroup(shards.groupBy("shard")).applyInArrow(fn, schema)
+
+    def first(self) -> DataFrame:
+        """What is sent in the first round, in which every source has rank 1.0."""
+        return self.rows.drop("ids").groupBy("shard").applyInArrow(lambda shard: _sums(shard, None), SENT)
+
+    def next(self, sent: DataFrame) -> DataFrame:
+        """What is sent in the round after ``sent``."""
+        reset = self.reset
+        return self._each(sent, "to", lambda got, shard: _sums(shard, _ranks(shard, got, reset)), SENT)
+
+    def state(self, sent: DataFrame) -> DataFrame:
+        """The ranks that ``sent`` leads to, an array per shard."""
+        reset = self.reset
+        return self._each(sent, "to", lambda got, shard: pa.table({
+            "shard": shard["shard"], "ranks": _bytes(_ranks(shard, got, reset), np.float64)}), "shard int, ranks binary")
+
+    def after(self, state: DataFrame) -> DataFrame:
+        """What is sent in the round after ``state``."""
+        return self._each(state, "shard", lambda ranks, shard: _sums(shard, _numbers(ranks["ranks"], np.float64)), SENT)
+
+    def ranks(self, sent: DataFrame) -> DataFrame:
+        """``(id, rank)`` that ``sent`` leads to, for the vertices that got something."""
+        reset = self.reset
+
+        def run(got: pa.Table, shard: pa.Table) -> pa.Table:
+            rank = _ranks(shard, got, reset)
+            some = pa.array(np.flatnonzero(_numbers(shard["own"], bool) & ~np.isnan(rank)))
+            return pa.table({"id": pc.list_flatten(shard["ids"]).combine_chunks().take(some), "rank": pa.array(rank).take(some)})
+
+        schema = T.StructType([T.StructField("id", self.rows.schema["ids"].dataType.elementType), T.StructField("rank", T.DoubleType())])
+        return self._each(sent, "to", run, schema, ids=True).withColumn("id", F.col("id").cast(self.id))
+
+    def release(self) -> None:
+        self.rows.unpersist()
+
+
 # ---------------------------------------------------------------- components
 
 # Rows a task of a contraction round takes on average before the round gets a further task.
@@ -481,18 +669,18 @@ def pagerank_pregel(edges: DataFrame, rounds: int = 20, reset: float = RESET, ch
 
 def pagerank_join(edges: DataFrame, rounds: int = 20, reset: float = RESET, checkpoint_every: int = 5) -> DataFrame:
     """PageRank by joins: distinct edges; start 1.0 for vertices with out-edges; each
-    round only vertices that receive a contribution keep a rank (no join back)."""
-    e = _stored(edges.select("src", "dst").distinct(), "rank-edges")
+    round only vertices that receive a contribution keep a rank (no join back). A round joins the sums that
+    shards sent each other with the shards' edges (``RankShards``); ranks are written every few rounds."""
+    if rounds < 1:
+        return edges.select(F.col("src").alias("id")).distinct().withColumn("rank", F.lit(1.0))
     keeper = _Rounds(checkpoint_every, edges.sparkSession)
-    adjacency = Adjacency(e, out_degree=True)
-    ranks = e.select(F.col("src").alias("id")).distinct().withColumn("rank", F.lit(1.0))
-    for i in range(1, rounds + 1):
-        contrib = adjacency.sent(ranks.withColumnRenamed("id", "src")).select("dst", (F.col("rank") / F.col("outDeg")).alias("contrib"))
-        ranks = contrib.groupBy(F.col("dst").alias("id")).agg(
-            (F.lit(reset) + F.lit(1.0 - reset) * F.sum("contrib")).alias("rank"))
-        ranks = keeper.keep(ranks, i)
-    ranks = keeper.finish(ranks)
-    adjacency.release()
+    shards = RankShards(edges, reset)
+    sent = shards.first()
+    for i in range(1, rounds):
+        sent = shards.after(keeper.keep(shards.state(sent), i)) if keeper.due(i) else shards.next(sent)
+    ranks = _stored(shards.ranks(sent), "ranks")
+    keeper.release()
+    shards.release()
     return ranks
 
 
