@@ -373,3 +373,53 @@ def test_triangle_task_holds_little_beside_its_edges():
     want = ((m @ m) * m).sum(axis=1) / 2
     assert dict(zip(out.column("id").to_pylist(), out.column("t").to_pylist())) == {i: int(w) for i, w in enumerate(want) if w}
     assert peak < 80 << 20, peak >> 20
+
+
+def test_triangles_ship_packed_edges(spark, monkeypatch):
+    """What goes to the tasks is some bytes an edge and task, not a row for each."""
+    import random
+    from pyspark.sql import functions as F
+    rng = random.Random(5)
+    pairs = {tuple(sorted((rng.randrange(3000), rng.randrange(3000)))) for _ in range(40_000)} | {(-1, i) for i in range(2000)}
+    pairs = [p for p in pairs if p[0] != p[1]]
+    shipped = []
+    monkeypatch.setattr(G, "triangle_tasks", lambda rows, c, real=G.triangle_tasks: shipped.append((real(rows, c), c)) or shipped[-1][0])
+    got = dict(rows(G.triangle_counts(edges(spark, pairs + pairs[:500]), task_edges=20_000)))
+    assert got == plain_triangles(pairs)
+    (sent, colours), = shipped
+    assert colours == 4
+    size = sent.agg(F.count(F.lit(1)), F.sum("n"), *[F.sum(F.length(c)) for c in ("a", "b", "runs", "spots")]).first() if "n" in sent.columns else (sent.count(),)
+    assert size[0] < len(pairs) / 50, size
+    assert size[1] == colours * len(pairs) and sum(size[2:]) < 5 * size[1], size
+
+
+@pytest.mark.parametrize("kind", ["long", "int", "string", "timestamp"])
+def test_triangles_of_blocks_of_any_ids(spark, monkeypatch, kind):
+    """Far apart, negative and repeated ids, loops and missing ends; blocks cut after a few rows."""
+    import random
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(G, "BLOCK_EDGES", 100)
+    rng = random.Random(6)
+    far = {"long": 2 ** 57, "int": 2 ** 25}.get(kind, 86_400)
+    pairs = [((rng.randrange(60) - 30) * far, (rng.randrange(60) - 30) * far) for _ in range(700)]
+    raw = spark.createDataFrame(pairs + [(None, 5 * far), (7 * far, None), (99 * (far // 4), 99 * (far // 4))], "src long, dst long")
+    e = raw.select(*[(F.timestamp_seconds(c) if kind == "timestamp" else F.col(c).cast(kind)).alias(c) for c in ("src", "dst")])
+    out = G.triangle_counts(e, task_edges=50)
+    assert out.schema["id"].dataType == e.schema["src"].dataType
+    got = dict(rows(out.select(F.col("id").cast("long"), "triangles")))
+    want = {v: 0 for p in raw.collect() for v in p} | plain_triangles(pairs)
+    assert got == want
+
+
+def test_edge_blocks_hold_the_edges():
+    import numpy as np
+    import pyarrow as pa
+    rng = np.random.default_rng(2)
+    a, b = np.unique(rng.integers(-2 ** 63, 2 ** 63 - 1, 300)[rng.integers(0, 300, (2, 5000))], axis=1)
+    ca, cb = np.abs(a % 3), np.abs(b % 3)
+    batch = pa.RecordBatch.from_arrays([pa.array(v) for v in (a, b, ca, cb)], ["a", "b", "ca", "cb"])
+    blocks = pa.Table.from_batches(list(G._edge_blocks(iter([batch.slice(0, 2000), batch.slice(2000)]))))
+    assert len(blocks) == 9
+    ids, colour, x, y = G._ends(blocks, pa.int64())
+    assert sorted(zip(ids[x].tolist(), ids[y].tolist())) == sorted(zip(a.tolist(), b.tolist()))
+    assert (colour == np.abs(ids % 3)).all()

@@ -19,6 +19,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tidewater.session import checkpoint_root, scratch_path
 
@@ -491,10 +492,14 @@ def connected_components(edges: DataFrame, vertices: DataFrame | None = None, ma
 
 # ---------------------------------------------------------------- triangles
 
-# Edges one triangle task holds on average at most (16 bytes each, and a few arrays as long).
-TASK_EDGES = 2_000_000
-# Pairs of edges looked up at a time.
+# Edges one triangle task holds on average at most (8 bytes each as a key, 4 slots of a byte, 12 for counts of pairs).
+TASK_EDGES = 6_000_000
+# Edges packed at a time; a block has those among them whose ends have the same two colours.
+BLOCK_EDGES = 500_000
+# Pairs of edges looked up at a time, and ids of blocks sorted at a time.
 PAIRS = 500_000
+IDS = 2_000_000
+EDGE_BLOCK = "ca long, cb long, na int, nb int, n int, a binary, b binary, runs binary, spots binary"
 
 
 def _colours(edges: int, parts: int, task_edges: int) -> int:
@@ -503,53 +508,154 @@ def _colours(edges: int, parts: int, task_edges: int) -> int:
     return max(1, math.ceil(math.sqrt(6 * edges / task_edges)), round((6 * parts) ** (1 / 3)) - 1)
 
 
-def _closed(colours: int):
-    """Triangles of one task: ``a, b`` are its edges, ``task`` the sorted colours of its triangles."""
-    def run(table: pa.Table) -> pa.Table:
+def _squeezed(numbers: np.ndarray) -> bytes:
+    """Numbers from 0 on, compressed: their lowest bytes one after the other, then the next ones."""
+    planes = np.ascontiguousarray(numbers, "<u8").view(np.uint8).reshape(-1, 8)
+    raw = planes[:, : max(1, -(-int(numbers.max()).bit_length() // 8))].T.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def _loosened(data: bytes, n: int, kind: type) -> np.ndarray:
+    raw = pa.decompress(memoryview(data)[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
+    low, *higher = np.frombuffer(raw, np.uint8).reshape(-1, n)
+    numbers = low.astype(kind)
+    for i, plane in enumerate(higher, 1):
+        numbers |= plane.astype(kind) << kind(8 * i)
+    return numbers
+
+
+def _squeezed_ids(ids: np.ndarray, kind: pa.DataType) -> bytes:
+    """Sorted ids: whole numbers by their steps, others as an Arrow stream."""
+    if pa.types.is_integer(kind):
+        return _squeezed(np.diff(ids.astype(np.int64).view(np.uint64), prepend=np.uint64(0)))
+    batch = pa.RecordBatch.from_arrays([pa.array(ids.tolist(), kind)], ["id"])
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _loosened_ids(data: bytes, n: int, kind: pa.DataType) -> np.ndarray:
+    if pa.types.is_integer(kind):
+        return np.cumsum(_loosened(data, n, np.uint64), dtype=np.uint64).view(np.int64)
+    return pa.ipc.open_stream(data).read_all().column("id").to_numpy()
+
+
+def _edge_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges ``a, b`` with the colours of their ends -> blocks of edges of two colours: the ids of either end,
+    how many edges each ``a`` has (``runs``), and which of the ids ``b`` they go to (``spots``)."""
+    def packed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held)
+        a, b, ca, cb = (table.column(c).to_numpy() for c in ("a", "b", "ca", "cb"))
+        kind = table.schema.field("a").type
+        order = np.lexsort((cb, ca))
+        rows = []
+        for part in np.split(order, np.flatnonzero((np.diff(ca[order]) != 0) | (np.diff(cb[order]) != 0)) + 1):
+            x, at_x = np.unique(a[part], return_inverse=True)
+            y, at_y = np.unique(b[part], return_inverse=True)
+            key = np.sort(at_x * len(y) + at_y)
+            rows.append((ca[part[0]], cb[part[0]], len(x), len(y), len(part), _squeezed_ids(x, kind), _squeezed_ids(y, kind),
+                         _squeezed(np.bincount(key // len(y))), _squeezed(key % len(y))))
+        kinds = [pa.int64()] * 2 + [pa.int32()] * 3 + [pa.binary()] * 4
+        names = [c.split()[0] for c in EDGE_BLOCK.split(", ")]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= BLOCK_EDGES:
+            yield packed(held)
+            held, size = [], 0
+    if size:
+        yield packed(held)
+
+
+def _ends(table: pa.Table, kind: pa.DataType) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The ids and colours of a task's vertices, and which of them are the ends of its edges (rows or blocks)."""
+    if "spots" not in table.column_names:
         a, b = (table.column(c).to_numpy() for c in ("a", "b"))
-        own = np.sort(_split_task(int(table.column("task")[0].as_py()), colours))
         ids = np.unique(np.concatenate((a, b)))
+        colour = np.empty(len(ids), np.int32)
         x, y = (np.searchsorted(ids, v).astype(np.int32) for v in (a, b))
-        del a, b
-        n = len(ids)
-        colour = np.empty(n, np.int32)
         for v, c in ((x, "ca"), (y, "cb")):
             colour[v] = table.column(c).to_numpy()
-        kind, table = table.schema.field("a").type, None
-        ends = np.concatenate((x, y))
-        degree = np.bincount(ends, minlength=n)
-        rank = np.empty(n, np.int64)
-        rank[np.lexsort((np.arange(n), degree))] = np.arange(n)
+        return ids, colour, x, y
+    blocks = [dict(zip(table.column_names, row)) for row in zip(*(c.to_pylist() for c in table.columns))]
+    ids, new, size = [], [], 0
+    for i, r in enumerate(blocks, 1):
+        new += [_loosened_ids(r[c], r["n" + c], kind) for c in "ab"]
+        size += r["na"] + r["nb"]
+        if size > IDS or i == len(blocks):
+            ids = np.concatenate((*new, ids) if len(ids) else new)
+            ids.sort()
+            ids = ids[np.concatenate(([True], ids[1:] != ids[:-1]))]
+            new, size = [], 0
+    colour = np.empty(len(ids), np.int32)
+    x, y = np.empty((2, sum(r["n"] for r in blocks)), np.int32)
+    at = 0
+    for r in blocks:
+        to_a, to_b = (np.searchsorted(ids, _loosened_ids(r[c], r["n" + c], kind)).astype(np.int32) for c in "ab")
+        colour[to_a], colour[to_b] = r["ca"], r["cb"]
+        x[at : at + r["n"]] = np.repeat(to_a, _loosened(r["runs"], r["na"], np.int32))
+        y[at : at + r["n"]] = to_b[_loosened(r["spots"], r["n"], np.int32)]
+        at += r["n"]
+    return ids, colour, x, y
+
+
+def _closed(colours: int, kind: pa.DataType | None = None):
+    """Triangles of one task: ``a, b`` are its edges (or blocks of edges between ids of ``kind``), ``task`` the
+    sorted colours of its triangles."""
+    def run(table: pa.Table) -> pa.Table:
+        own = np.sort(_split_task(int(table.column("task")[0].as_py()), colours))
+        id_kind = kind or table.schema.field("a").type
+        ids, colour, x, y = _ends(table, id_kind)
+        del table
+        n = len(ids)
+        name = np.argsort(np.bincount(x, minlength=n) + np.bincount(y, minlength=n), kind="stable").astype(np.int32)
+        rank = np.empty(n, np.int32)
+        rank[name] = np.arange(n, dtype=np.int32)
+        x, y = rank[x], rank[y]
+        del rank
         # Edges point to the end of higher degree, so no vertex has more than sqrt(2 edges) of them.
-        lo, hi = np.minimum(rank[x], rank[y]), np.maximum(rank[x], rank[y])
-        del x, y, ends
-        key = lo * n + hi
-        del lo, hi
+        bits = np.int64(n.bit_length())
+        low = np.int64((1 << bits) - 1)
+        key = np.minimum(x, y).astype(np.int64)
+        key <<= bits
+        key |= np.maximum(x, y, out=x)
+        del x, y
         key.sort()
-        lo, hi = (key // n).astype(np.int32), (key % n).astype(np.int32)
-        last = np.cumsum(np.bincount(lo, minlength=n))[lo]  # behind the last edge of the same vertex
-        name = np.empty(n, np.int32)
-        name[rank] = np.arange(n, dtype=np.int32)
-        del rank
+        upto = np.zeros(len(key) + 1, np.int64)  # pairs of each edge with the later ones of the same vertex, summed up
+        last = np.searchsorted(key, np.arange(1, n + 1) << bits)  # behind the last edge of each vertex
+        # A slot per hash of an edge rules out most pairs that no edge closes; those left are looked up.
+        shift = np.uint64(64 - max(10, (4 * len(key)).bit_length()))
+        slots = np.zeros(1 << (64 - int(shift)), bool)
+        slot = lambda k: (k.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> shift
+        for at in range(0, len(key), PAIRS):
+            some = key[at : at + PAIRS]
+            upto[at + 1 : at + 1 + len(some)] = last[some >> bits] - np.arange(at, at + len(some)) - 1
+            slots[slot(some)] = True
+        np.cumsum(upto, out=upto)
+        del last
         found = np.zeros(n, np.int64)
-        wedges = last - np.arange(len(lo)) - 1
-        upto = np.concatenate(([0], np.cumsum(wedges)))
         at = 0
-        while at < len(lo):  # pairs of edges of one vertex, half a million at a time
+        while at < len(key):  # pairs of edges of one vertex, half a million at a time
             end = max(at + 1, int(np.searchsorted(upto, upto[at] + PAIRS, "right")) - 1)
-            w = wedges[at:end]
+            w = np.diff(upto[at : end + 1])
             first = np.repeat(np.arange(at, end), w)
-            second = first + 1 + np.arange(int(w.sum())) - np.repeat(np.cumsum(w) - w, w)
-            closing = hi[first].astype(np.int64) * n + hi[second]
+            second = np.arange(upto[at], upto[end]) - np.repeat(upto[at:end] - np.arange(at + 1, end + 1), w)
+            closing = ((key[first] & low) << bits) | (key[second] & low)
+            maybe = np.flatnonzero(slots[slot(closing)])
+            closing = closing[maybe]
             spot = np.minimum(np.searchsorted(key, closing), len(key) - 1)
-            ok = key[spot] == closing
-            three = np.stack((lo[first[ok]], hi[first[ok]], hi[second[ok]]))
-            three = name[three]
+            ok = maybe[key[spot] == closing]
+            one, two = key[first[ok]], key[second[ok]]
+            three = name[np.stack((one >> bits, one & low, two & low))]
             mine = (np.sort(colour[three], axis=0) == own[:, None]).all(axis=0)
-            found += np.bincount(three[:, mine].ravel(), minlength=n)
+            np.add.at(found, three[:, mine].ravel(), 1)
             at = end
         some = found > 0
-        return pa.table({"id": pa.array(ids[some].tolist(), kind), "t": pa.array(found[some])})
+        return pa.table({"id": pa.array(ids[some].tolist(), id_kind), "t": pa.array(found[some])})
 
     return run
 
@@ -558,15 +664,20 @@ def _split_task(task: int, colours: int) -> np.ndarray:
     return np.array([task // colours // colours, task // colours % colours, task % colours])
 
 
+def _coloured(pairs: DataFrame, colours: int) -> DataFrame:
+    """Every edge with the colours of its ends."""
+    colour = lambda col: F.pmod(F.xxhash64(col), F.lit(colours)).cast("long")
+    return pairs.select("a", "b", colour("a").alias("ca"), colour("b").alias("cb"))
+
+
 def triangle_tasks(pairs: DataFrame, colours: int) -> DataFrame:
-    """Every edge (with the colours of its ends) once per task that may close a triangle with it:
-    a task is a sorted triple of colours, so an edge goes to ``colours`` of them."""
+    """Every edge, or block of edges of two colours, (with the colours of its ends) once per task that may close
+    a triangle with it: a task is a sorted triple of colours, so an edge goes to ``colours`` of them."""
     c = F.lit(colours)
-    colour = lambda col: F.pmod(F.xxhash64(col), c).cast("long")
     third = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(colours - 1).cast("long")))
-    e = pairs.select("a", "b", colour("a").alias("ca"), colour("b").alias("cb"), third.alias("cc"))
+    e = pairs if "ca" in pairs.columns else _coloured(pairs, colours)
     triple = F.array_sort(F.array("ca", "cb", "cc"))
-    return e.select("a", "b", "ca", "cb", ((triple[0] * c + triple[1]) * c + triple[2]).alias("task"))
+    return e.select("*", third.alias("cc")).select(*e.columns, ((triple[0] * c + triple[1]) * c + triple[2]).alias("task"))
 
 
 def triangle_counts(edges: DataFrame, vertices: DataFrame | None = None, task_edges: int = TASK_EDGES) -> DataFrame:
@@ -575,15 +686,21 @@ def triangle_counts(edges: DataFrame, vertices: DataFrame | None = None, task_ed
     Vertices get one of c colours by hash; every sorted triple of colours is a task that sees
     all edges between its colours and counts the triangles with exactly these colours. An
     edge is shipped c times, c being about ``sqrt(6 |E| / task_edges)``, so a task's input is bounded
-    and a hub's edges are spread by the colours of its neighbours. Inside a task, edges point
+    and a hub's edges are spread by the colours of its neighbours. Edges are shipped in packed blocks of two
+    colours, some bytes an edge instead of a row. Inside a task, edges point
     to the end of higher degree, which bounds the pairs that are looked up.
     """
     checkpoint_root(edges.sparkSession)
-    pairs = _stored(undirected(edges), "triangle-edges")
+    ends = F.xxhash64(F.least("src", "dst"), F.greatest("src", "dst"))
+    about = edges.where(F.col("src") != F.col("dst")).agg(F.approx_count_distinct(ends)).first()[0]
     parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    colours = _colours(pairs.count(), parts, task_edges)
-    kind = pairs.schema["a"].dataType.simpleString()
-    found = triangle_tasks(pairs, colours).groupBy("task").applyInArrow(_closed(colours), f"id {kind}, t long")
+    colours = _colours(about, parts, task_edges)
+    pairs = _coloured(undirected(edges), colours)
+    id_type = pairs.schema["a"].dataType
+    share = F.pmod(F.xxhash64("a", "b"), F.lit(-(-parts // colours**2)))
+    blocks = pairs.repartition("ca", "cb", share).mapInArrow(_edge_blocks, EDGE_BLOCK)
+    closed = _closed(colours, to_arrow_type(id_type))
+    found = triangle_tasks(blocks, colours).groupBy("task").applyInArrow(closed, f"id {id_type.simpleString()}, t long")
     per_vertex = found.groupBy("id").agg(F.sum("t").alias("triangles"))
     ids = vertices.select("id") if vertices is not None else vertices_from_edges(edges)
     return ids.join(per_vertex, "id", "left").select("id", F.coalesce("triangles", F.lit(0)).cast("bigint").alias("triangles"))
