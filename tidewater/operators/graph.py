@@ -492,12 +492,14 @@ def connected_components(edges: DataFrame, vertices: DataFrame | None = None, ma
 
 # ---------------------------------------------------------------- triangles
 
-# Edges one triangle task holds on average at most (8 bytes each as a key, 4 slots of a byte, 12 for counts of pairs).
-TASK_EDGES = 6_000_000
+# Edges one triangle task holds on average at most (8 bytes each as a key and 8 as two ends before, or 16 bits and more).
+TASK_EDGES = 8_000_000
+# Tasks per core that are enough, however many partitions a shuffle of rows needs.
+CORE_TASKS = 4
 # Edges packed at a time; a block has those among them whose ends have the same two colours.
-BLOCK_EDGES = 500_000
-# Pairs of edges looked up at a time, and ids of blocks sorted at a time.
-PAIRS = 500_000
+BLOCK_EDGES = 1_000_000
+# Edges or pairs of edges looked up at a time, and ids of blocks sorted at a time.
+PAIRS = 250_000
 IDS = 2_000_000
 EDGE_BLOCK = "ca long, cb long, na int, nb int, n int, a binary, b binary, runs binary, spots binary"
 
@@ -515,8 +517,8 @@ def _squeezed(numbers: np.ndarray) -> bytes:
     return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
 
 
-def _loosened(data: bytes, n: int, kind: type) -> np.ndarray:
-    raw = pa.decompress(memoryview(data)[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
+def _loosened(data: pa.Buffer, n: int, kind: type) -> np.ndarray:
+    raw = pa.decompress(data.slice(8), int.from_bytes(memoryview(data)[:8], "little"), "zstd", asbytes=True)
     low, *higher = np.frombuffer(raw, np.uint8).reshape(-1, n)
     numbers = low.astype(kind)
     for i, plane in enumerate(higher, 1):
@@ -535,7 +537,7 @@ def _squeezed_ids(ids: np.ndarray, kind: pa.DataType) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-def _loosened_ids(data: bytes, n: int, kind: pa.DataType) -> np.ndarray:
+def _loosened_ids(data: pa.Buffer, n: int, kind: pa.DataType) -> np.ndarray:
     if pa.types.is_integer(kind):
         return np.cumsum(_loosened(data, n, np.uint64), dtype=np.uint64).view(np.int64)
     return pa.ipc.open_stream(data).read_all().column("id").to_numpy()
@@ -547,7 +549,8 @@ def _edge_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def packed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(held)
         a, b, ca, cb = (table.column(c).to_numpy() for c in ("a", "b", "ca", "cb"))
-        kind = table.schema.field("a").type
+        kind, table = table.schema.field("a").type, None
+        held.clear()
         order = np.lexsort((cb, ca))
         rows = []
         for part in np.split(order, np.flatnonzero((np.diff(ca[order]) != 0) | (np.diff(cb[order]) != 0)) + 1):
@@ -566,7 +569,7 @@ def _edge_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size += batch.num_rows
         if size >= BLOCK_EDGES:
             yield packed(held)
-            held, size = [], 0
+            size = 0
     if size:
         yield packed(held)
 
@@ -581,7 +584,11 @@ def _ends(table: pa.Table, kind: pa.DataType) -> tuple[np.ndarray, np.ndarray, n
         for v, c in ((x, "ca"), (y, "cb")):
             colour[v] = table.column(c).to_numpy()
         return ids, colour, x, y
-    blocks = [dict(zip(table.column_names, row)) for row in zip(*(c.to_pylist() for c in table.columns))]
+    plain = ("ca", "cb", "na", "nb", "n")
+    blocks = [dict(zip(plain, row)) for row in zip(*(table.column(c).to_pylist() for c in plain))]
+    for c in ("a", "b", "runs", "spots"):
+        for r, data in zip(blocks, table.column(c)):
+            r[c] = data.as_buffer()
     ids, new, size = [], [], 0
     for i, r in enumerate(blocks, 1):
         new += [_loosened_ids(r[c], r["n" + c], kind) for c in "ab"]
@@ -615,37 +622,34 @@ def _closed(colours: int, kind: pa.DataType | None = None):
         name = np.argsort(np.bincount(x, minlength=n) + np.bincount(y, minlength=n), kind="stable").astype(np.int32)
         rank = np.empty(n, np.int32)
         rank[name] = np.arange(n, dtype=np.int32)
-        x, y = rank[x], rank[y]
-        del rank
         # Edges point to the end of higher degree, so no vertex has more than sqrt(2 edges) of them.
         bits = np.int64(n.bit_length())
         low = np.int64((1 << bits) - 1)
-        key = np.minimum(x, y).astype(np.int64)
-        key <<= bits
-        key |= np.maximum(x, y, out=x)
-        del x, y
+        key = np.empty(len(x), np.int64)
+        for at in range(0, len(key), PAIRS):
+            one, two = (rank[v[at : at + PAIRS]].astype(np.int64) for v in (x, y))
+            key[at : at + PAIRS] = (np.minimum(one, two) << bits) | np.maximum(one, two)
+        del x, y, rank
         key.sort()
-        upto = np.zeros(len(key) + 1, np.int64)  # pairs of each edge with the later ones of the same vertex, summed up
         last = np.searchsorted(key, np.arange(1, n + 1) << bits)  # behind the last edge of each vertex
-        # A slot per hash of an edge rules out most pairs that no edge closes; those left are looked up.
-        shift = np.uint64(64 - max(10, (4 * len(key)).bit_length()))
-        slots = np.zeros(1 << (64 - int(shift)), bool)
-        slot = lambda k: (k.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> shift
+        # A bit per hash of an edge rules out most pairs that no edge closes; those left are looked up.
+        shift = np.uint64(64 - max(10, (16 * len(key)).bit_length()))
+        marks = np.zeros(1 << (61 - int(shift)), np.uint8)
+        place = lambda k: (k.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> shift
         for at in range(0, len(key), PAIRS):
-            some = key[at : at + PAIRS]
-            upto[at + 1 : at + 1 + len(some)] = last[some >> bits] - np.arange(at, at + len(some)) - 1
-            slots[slot(some)] = True
-        np.cumsum(upto, out=upto)
-        del last
+            to = place(key[at : at + PAIRS])
+            np.bitwise_or.at(marks, to >> np.uint64(3), np.uint8(1) << (to & np.uint64(7)).astype(np.uint8))
         found = np.zeros(n, np.int64)
         at = 0
-        while at < len(key):  # pairs of edges of one vertex, half a million at a time
-            end = max(at + 1, int(np.searchsorted(upto, upto[at] + PAIRS, "right")) - 1)
-            w = np.diff(upto[at : end + 1])
+        while at < len(key):  # pairs of an edge with the later ones of its vertex, so many at a time
+            w = last[key[at : at + PAIRS] >> bits] - np.arange(at, min(at + PAIRS, len(key))) - 1
+            w = w[: max(1, int(np.searchsorted(np.cumsum(w), PAIRS, "right")))]
+            end = at + len(w)
             first = np.repeat(np.arange(at, end), w)
-            second = np.arange(upto[at], upto[end]) - np.repeat(upto[at:end] - np.arange(at + 1, end + 1), w)
+            second = first + 1 + np.arange(len(first)) - np.repeat(np.cumsum(w) - w, w)
             closing = ((key[first] & low) << bits) | (key[second] & low)
-            maybe = np.flatnonzero(slots[slot(closing)])
+            to = place(closing)
+            maybe = np.flatnonzero((marks[to >> np.uint64(3)] >> (to & np.uint64(7)).astype(np.uint8)) & 1)
             closing = closing[maybe]
             spot = np.minimum(np.searchsorted(key, closing), len(key) - 1)
             ok = maybe[key[spot] == closing]
@@ -664,10 +668,13 @@ def _split_task(task: int, colours: int) -> np.ndarray:
     return np.array([task // colours // colours, task // colours % colours, task % colours])
 
 
+def _colour(end: str, colours: int) -> Column:
+    return F.pmod(F.xxhash64(end), F.lit(colours)).cast("long")
+
+
 def _coloured(pairs: DataFrame, colours: int) -> DataFrame:
     """Every edge with the colours of its ends."""
-    colour = lambda col: F.pmod(F.xxhash64(col), F.lit(colours)).cast("long")
-    return pairs.select("a", "b", colour("a").alias("ca"), colour("b").alias("cb"))
+    return pairs.select("a", "b", _colour("a", colours).alias("ca"), _colour("b", colours).alias("cb"))
 
 
 def triangle_tasks(pairs: DataFrame, colours: int) -> DataFrame:
@@ -690,15 +697,16 @@ def triangle_counts(edges: DataFrame, vertices: DataFrame | None = None, task_ed
     colours, some bytes an edge instead of a row. Inside a task, edges point
     to the end of higher degree, which bounds the pairs that are looked up.
     """
-    checkpoint_root(edges.sparkSession)
     ends = F.xxhash64(F.least("src", "dst"), F.greatest("src", "dst"))
     about = edges.where(F.col("src") != F.col("dst")).agg(F.approx_count_distinct(ends)).first()[0]
-    parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = edges.sparkSession
+    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), CORE_TASKS * spark.sparkContext.defaultParallelism)
     colours = _colours(about, parts, task_edges)
-    pairs = _coloured(undirected(edges), colours)
+    pairs = undirected(edges)
     id_type = pairs.schema["a"].dataType
     share = F.pmod(F.xxhash64("a", "b"), F.lit(-(-parts // colours**2)))
-    blocks = pairs.repartition("ca", "cb", share).mapInArrow(_edge_blocks, EDGE_BLOCK)
+    dealt = pairs.repartition(_colour("a", colours), _colour("b", colours), share)
+    blocks = _coloured(dealt, colours).mapInArrow(_edge_blocks, EDGE_BLOCK)
     closed = _closed(colours, to_arrow_type(id_type))
     found = triangle_tasks(blocks, colours).groupBy("task").applyInArrow(closed, f"id {id_type.simpleString()}, t long")
     per_vertex = found.groupBy("id").agg(F.sum("t").alias("triangles"))
